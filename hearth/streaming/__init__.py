@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The source workload has no streaming construct — no watermark, window, session, state or
+late data; every table is refreshed by a full rebuild. A refresh here is a re-run of
+``hearth.plans.pipeline.materialized_model`` into a fresh folder, which is atomic for readers
+that switch to the new folder. Nothing streaming-specific is built.
+"""
