@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from hearth.operators import model as M
 from hearth.plans.pipeline import CleanedInputs, Model, build_model, clean_inputs, materialized_model
 from hearth.sources import tpch
+from hearth.session import new_run_dir
 from hearth.sources.tpch import RawInputs
 
 
@@ -26,9 +27,21 @@ class Housing:
     dirty: bool = True
     materialize: bool = True
 
+    @cached_property
+    def run_dir(self) -> str:
+        return new_run_dir(self.spark, "housing")
+
     @cached_property
     def raw(self) -> RawInputs:
-        return tpch.raw_inputs(self.spark, self.sf_dir, self.dirty)
+        means = None
+        if self.materialize:
+            # the yearly line-item summary feeds two imports (rents, earnings): write it once
+            # (nations x years rows) so the line items are scanned a single time
+            target = f"{self.run_dir}/import/nation_year_means"
+            means_df = tpch.nation_year_means(self.spark, self.sf_dir)
+            means_df.write.mode("overwrite").parquet(target)
+            means = self.spark.read.schema(means_df.schema).parquet(target)
+        return tpch.raw_inputs(self.spark, self.sf_dir, self.dirty, means)
 
     @cached_property
     def cleaned(self) -> CleanedInputs:
@@ -37,7 +50,7 @@ class Housing:
     @cached_property
     def model(self) -> Model:
         if self.materialize:
-            return materialized_model(self.spark, self.cleaned, self.country)
+            return materialized_model(self.spark, self.cleaned, self.country, path=f"{self.run_dir}/model")
         return build_model(self.spark, self.cleaned, self.country)
 
     @cached_property

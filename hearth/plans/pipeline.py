@@ -123,7 +123,7 @@ def materialized_model(
     def write(df: DataFrame, name: str) -> DataFrame:
         target = f"{root}/{name}"
         df.write.mode("overwrite").parquet(target)
-        return spark.read.parquet(target)
+        return spark.read.schema(df.schema).parquet(target)
 
     dim = write(M.dim_region(cleaned.regions, country), MODEL_TABLES["dim_region"])
     bridge = write(M.bridge_lad_region(cleaned.lad, dim), MODEL_TABLES["bridge"])

@@ -161,8 +161,10 @@ def earnings(means: DataFrame, dirty: bool = True) -> DataFrame:
     )
 
 
-def raw_inputs(spark: SparkSession, sf_dir: str, dirty: bool = True) -> RawInputs:
-    means = nation_year_means(spark, sf_dir)
+def raw_inputs(spark: SparkSession, sf_dir: str, dirty: bool = True, means: DataFrame | None = None) -> RawInputs:
+    """The five raw inputs. ``means`` may be a written copy of :func:`nation_year_means` (one
+    row per nation-year) so that line items are scanned once for both rents and earnings."""
+    means = nation_year_means(spark, sf_dir) if means is None else means
     return RawInputs(
         regions=regions(spark, sf_dir),
         lad=lad_lookup(spark, sf_dir, dirty),
