@@ -96,11 +96,43 @@ def _year_of(time_col: str) -> Column:
     return F.year(time_col) if time_col == "YearMonth" else F.col(time_col)
 
 
+def _district_ratio(model, numerator: str, out_col: str, factor: float) -> DataFrame:
+    """District-level ratio with a single fan-out.
+
+    Both district means are sums over the district's region rows. The two reduced facts are
+    first paired at region level — every numerator time value with the denominator rows of its
+    year, full outer, so a region contributing to only one side still counts for that side —
+    which stays bounded by |regions| x |time values|. That table is broadcast into the bridge
+    (partitioned by district), and one in-place aggregate yields both district means: the
+    district fan-out is never shuffled and never joined with another fan-out.
+    """
+    num_m, den_m = MEASURES[numerator], MEASURES["earnings"]
+    fact = {"price": model.fact_house_price, "rent": model.fact_rent}[numerator]
+    t = num_m.time_col
+    num = per_region(fact, t, num_m.value_col).withColumn("_hn", F.lit(1))
+    den = per_region(model.fact_earnings, den_m.time_col, den_m.value_col).select(
+        F.col("Year").alias("_y"), "RegionKey", F.col("_s").alias("_es"), F.col("_n").alias("_en"),
+        F.lit(1).alias("_hd"))
+    times = num.select(t).distinct()
+    den_at = times.join(den, _year_of(t) == F.col("_y")).drop("_y")
+    pairs = num.join(den_at, [t, "RegionKey"], "full_outer").fillna(0, ["_n", "_en", "_hn", "_hd"])
+    g = districts_by_name(model.bridge).join(F.broadcast(pairs), "RegionKey").groupBy(t, "LADName").agg(
+        F.sum("_s").alias("_s"), F.sum("_n").alias("_n"), F.sum("_es").alias("_es"), F.sum("_en").alias("_en"),
+        F.sum("_hn").alias("_hn"), F.sum("_hd").alias("_hd"))
+    num_col, den_col = num_m.out_cols["lad"], den_m.out_cols["lad"]
+    g = g.filter((F.col("_hn") > 0) & (F.col("_hd") > 0)).select(
+        t, "LADName", exact_mean("_s", "_n").alias(num_col), exact_mean("_es", "_en").alias(den_col))
+    value = F.col(num_col) * F.lit(factor) if factor != 1.0 else F.col(num_col)
+    return g.select(t, "LADName", num_col, den_col, nullif_ratio(value, den_col).alias(out_col))
+
+
 def ratio_by_level(model, numerator: str, level: str, out_col: str, factor: float = 1.0) -> DataFrame:
     """``numerator mean x factor / earnings mean`` joined on year (and member name).
 
     Division by a zero mean yields NULL instead of an error.
     """
+    if level == "lad":
+        return _district_ratio(model, numerator, out_col, factor)
     num_m = MEASURES[numerator]
     den_m = MEASURES["earnings"]
     num = measure_by_level(model, numerator, level)

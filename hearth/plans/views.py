@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.functions.measures import nullif_ratio
-from hearth.operators.levels import measure_by_level, ratio_by_level
+from hearth.operators.levels import districts_by_name, measure_by_level, ratio_by_level
 from hearth.plans.pipeline import Model
 
 
@@ -66,7 +66,8 @@ def vw_lad_price_ratios(m: Model) -> DataFrame:
     lad = measure_by_level(m, "price", "lad")
     region = measure_by_level(m, "price", "region")
     national = measure_by_level(m, "price", "national")
-    membership = m.bridge.select(F.col("LAD23NM").alias("LADName"), "RegionName").distinct()
+    # same partitioning as the district means (reused exchange): the join below needs no shuffle
+    membership = districts_by_name(m.bridge).select("LADName", "RegionName").distinct()
     j = (
         lad.join(membership, "LADName")
         .join(F.broadcast(region), ["YearMonth", "RegionName"])
