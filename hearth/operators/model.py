@@ -22,26 +22,26 @@ from pyspark.sql import functions as F
 from hearth.functions.measures import MONEY, round_half_up_cents
 from hearth.functions.text import month_start, norm, period_end_year
 from hearth.operators.cleaning import enforce_not_null
+from hearth.operators.keys import dense_key
 
 # Calendar span of the date dimension in the source.
 DATE_START = "1995-01-01"
 DATE_END = "2025-12-31"
 
 
-def dim_region(regions: DataFrame, country: str = "ENGLAND") -> DataFrame:
+def dim_region(regions: DataFrame, country: str = "ENGLAND", distributed_key: bool = False) -> DataFrame:
     """``(RegionKey BIGINT, RegionCode, RegionName, Country)`` for one country.
 
-    The surrogate key is the row number in ``RegionCode`` order. The window has no partition
-    key, so it runs in one task: acceptable because the input is the bounded reference list
-    of regions (see ``hearth.operators.keys.dense_key`` for large dimensions).
+    The surrogate key is the row number in ``RegionCode`` order. By default a window without a
+    partition key numbers the rows in one task — right for the bounded reference list of
+    regions. ``distributed_key=True`` numbers them in parallel (``keys.dense_key``) for a
+    dimension that does not fit one task; both give the same keys when codes are unique.
     """
+    rows = regions.filter(F.upper("Country") == country.upper()).select("RegionCode", "RegionName", "Country")
+    if distributed_key:
+        return dense_key(rows, ["RegionCode"], "RegionKey")
     w = Window.orderBy("RegionCode")
-    return regions.filter(F.upper("Country") == country.upper()).select(
-        F.row_number().over(w).cast("bigint").alias("RegionKey"),
-        "RegionCode",
-        "RegionName",
-        "Country",
-    )
+    return rows.select(F.row_number().over(w).cast("bigint").alias("RegionKey"), "RegionCode", "RegionName", "Country")
 
 
 def _region_lookup(dim: DataFrame) -> DataFrame:

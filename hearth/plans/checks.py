@@ -45,6 +45,10 @@ CHECKS: dict[str, Callable[[Housing], DataFrame]] = {
     "dq_price_dupes": lambda h: Q.duplicates(h.cleaned.prices, ["Date", "RegionName"], "dupes"),
     "dq_price_unmatched_names": lambda h: Q.unmatched_names(
         h.cleaned.prices, "RegionName", h.model.dim_region, "RegionName", normalise_left=False),
+    # the check above compares district names with *region* names, so it lists every
+    # district; this one compares them with the districts the model can place
+    "dq_price_unmatched_districts": lambda h: Q.unmatched_names(
+        h.cleaned.prices, "RegionName", h.model.bridge, "LAD23NM"),
     # district lookup
     "dq_lad_total_rows": lambda h: Q.count_where(h.cleaned.lad, None, "TotalRows"),
     "dq_lad_null_profile": lambda h: Q.null_profile(h.cleaned.lad, LAD_COLUMNS),

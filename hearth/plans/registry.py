@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hearth.operators import cleaning as C
 from hearth.plans.checks import CHECKS
@@ -14,10 +15,43 @@ from hearth.plans.views import VIEWS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Presentation order of the source's queries (``ORDER BY``). Spark's default null ordering
+# (ASC nulls first, DESC nulls last) is the source engine's, so plain asc/desc reproduce it.
+# The results are small (regions x years), so the global sort is cheap. ``-col`` = descending.
+ORDER: dict[str, list[str]] = {
+    "q1a_price_vs_rent_left": ["Year", "RegionName"],
+    "q1b_price_vs_rent_inner": ["Year", "RegionName"],
+    "q2_price_yoy": ["RegionName", "Year"],
+    "q3_price_to_rent": ["Year", "RegionName"],
+    "q4_price_to_earnings": ["Year", "RegionName"],
+    "q5_growth_rank": ["Year", "GrowthRank"],
+    "q6_rent_rank": ["Year", "RentRank_Highest"],
+    "q7_price_rent_corr": ["RegionName"],
+    "q7b_overlap_years": ["-OverlappingYears"],
+    "q8_price_to_income": ["Year", "RegionName"],
+    "q8n_national_price_to_income": ["Year"],
+    "q9_rent_to_income": ["Year", "RegionName"],
+    "q9a_rent_to_income_region": ["-RentToIncomeRatio"],
+    "q10_national_trend": ["Year"],
+    "dq_rent_regions_per_year": ["-PeriodEndYear"],
+    "dq_rent_rows_per_region": ["Region"],
+    "dq_rent_unmatched_regions": ["Region"],
+    "dq_lad_region_names": ["RGN23NM"],
+    "dq_lad_unmatched_regions": ["ONS_Region"],
+    "dq_lads_per_region": ["RegionName"],
+    "dq_rent_years": ["PeriodEndYear"],
+    "dq_earnings_years": ["Year"],
+}
+
+
+def _sort_key(c: str) -> F.Column:
+    return F.col(c[1:]).desc() if c.startswith("-") else F.col(c).asc()
+
 
-def _on(fn: Callable[[Housing], DataFrame]) -> Query:
+def _on(fn: Callable[[Housing], DataFrame], order: list[str] | None = None) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(housing(spark, sf_dir))
+        df = fn(housing(spark, sf_dir))
+        return df.orderBy(*[_sort_key(c) for c in order]) if order else df
 
     return run
 
@@ -56,7 +90,7 @@ VIEW_QUERIES: dict[str, Callable[[Housing], DataFrame]] = {
 }
 
 QUERIES: dict[str, Query] = {
-    name: _on(fn)
+    name: _on(fn, ORDER.get(name))
     for group in (MODEL_QUERIES, CLEANING_QUERIES, CHECKS, INSIGHT_QUERIES, VIEW_QUERIES)
     for name, fn in group.items()
 }

@@ -96,3 +96,23 @@ def test_unmatched_and_orphans(spark):
     assert rows(Q.unmatched_names(df, "Region", dim, "RegionName")) == [("n18",), (None,)]
     child = spark.createDataFrame([(1,), (7,)], "RegionKey bigint")
     assert rows(Q.orphans(child, dim, "RegionKey")) == [(7,)]
+
+
+def test_dense_key_equals_global_row_number(spark):
+    from pyspark.sql import Window
+
+    from hearth.operators.keys import dense_key
+
+    df = spark.range(0, 1500).select(
+        F.format_string("E%08d", (F.col("id") * 7919) % 100003).alias("RegionCode"), F.col("id").alias("v"))
+    expected = rows(df.select(F.row_number().over(Window.orderBy("RegionCode")).cast("bigint").alias("k"),
+                              "RegionCode"))
+    got = dense_key(df, ["RegionCode"], "k", num_partitions=8)
+    assert got.columns == ["k", "RegionCode", "v"]
+    assert rows(got, "k", "RegionCode") == expected
+
+
+def test_dim_region_distributed_key_matches_window(spark):
+    regions = spark.createDataFrame([(f"E{i:03d}", f"R{i}", "England") for i in (5, 1, 9, 3, 7)],
+                                    "RegionCode string, RegionName string, Country string")
+    assert rows(M.dim_region(regions, "england", distributed_key=True)) == rows(M.dim_region(regions, "england"))
