@@ -99,7 +99,7 @@ def not_null_rules(h: Housing) -> dict:
     """Tables as they are *before* each NOT NULL rule is enforced."""
     c, m = h.cleaned, h.model
     return {
-        "rental_median_monthly": (c.rents_deleted, ["Median_int", "Region", "PeriodLabel"]),
+        "rents": (c.rents_deleted, ["Median_int", "Region", "PeriodLabel"]),
         "dim_region": (m.dim_region, ["RegionKey"]),
         "fact_rent": (M.fact_rent_unchecked(c.rents, m.dim_region), ["PeriodEndYear", "MedianMonthlyRent"]),
         "bridge_lad_region": (M.bridge_lad_region_unchecked(c.lad, m.dim_region), ["LAD23CD"]),

@@ -10,14 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 RAW_SCHEMAS: dict[str, T.StructType] = {
-    "earnings_region": T.StructType(
+    "earnings": T.StructType(
         [
             T.StructField("Year", T.IntegerType()),
             T.StructField("Region_name", T.StringType()),
             T.StructField("Median_Annual_Earnings", T.StringType()),
         ]
     ),
-    "rental_median_monthly": T.StructType(
+    "rents": T.StructType(
         [
             T.StructField("Region", T.StringType()),
             T.StructField("PeriodLabel", T.StringType()),
@@ -33,14 +33,14 @@ RAW_SCHEMAS: dict[str, T.StructType] = {
             T.StructField("Country", T.StringType()),
         ]
     ),
-    "ukhpi_average_price": T.StructType(
+    "district_prices": T.StructType(
         [
             T.StructField("Date", T.DateType()),
             T.StructField("RegionName", T.StringType()),
             T.StructField("AveragePrice", T.DecimalType(18, 2)),
         ]
     ),
-    "ons_lad_to_region": T.StructType(
+    "district_region_lookup": T.StructType(
         [
             T.StructField("ObjectId", T.LongType()),
             T.StructField("LAD23CD", T.StringType()),
