@@ -34,7 +34,12 @@ def dense_key(df: DataFrame, order_cols: Sequence[str], key_col: str, num_partit
     spark = df.sparkSession
     shared_dir(spark)  # make sure a checkpoint folder is configured
     n = int(num_partitions or spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    # a deterministic hash of the whole row breaks ties, so even a code shared by a third of
+    # the rows is spread over several range partitions (tied rows may take any order, as with
+    # ROW_NUMBER)
+    order = [F.col(c) for c in order_cols] + [F.xxhash64(*[F.col(c) for c in df.columns]).alias("_tie")]
+    ranged = df.withColumn("_tie", order[-1]).repartitionByRange(n, *order_cols, "_tie").sortWithinPartitions(
+        *order_cols, "_tie")
     placed = ranged.select(
         "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")
     ).checkpoint(eager=True)

@@ -37,15 +37,14 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised tables.
 
-    Read from the session (``spark.checkpoint.dir`` or the context's checkpoint dir); only when
-    neither is set (local tests) create one and register it as the checkpoint dir.
+    Read from the session (``spark.checkpoint.dir``, else the context's checkpoint dir). Only
+    when neither is set (local tests) a temporary folder is created and registered with
+    ``SparkContext.setCheckpointDir`` (``spark.checkpoint.dir`` itself cannot be changed at
+    runtime).
     """
-    d = spark.conf.get(CHECKPOINT_CONF, None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="hearth-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")

@@ -116,3 +116,18 @@ def test_dim_region_distributed_key_matches_window(spark):
     regions = spark.createDataFrame([(f"E{i:03d}", f"R{i}", "England") for i in (5, 1, 9, 3, 7)],
                                     "RegionCode string, RegionName string, Country string")
     assert rows(M.dim_region(regions, "england", distributed_key=True)) == rows(M.dim_region(regions, "england"))
+
+
+def test_dense_key_spreads_a_hot_code(spark):
+    from hearth.operators.keys import dense_key
+
+    # a third of the rows share one code: they must not all land in one range partition
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.format_string("C%05d", "id")).alias("code"), "id")
+    got = dense_key(df, ["code"], "k", num_partitions=8)
+    keys = [r["k"] for r in got.collect()]
+    assert sorted(keys) == list(range(1, 3001))
+    hot = got.filter(F.col("code") == "HOT").select(F.min("k"), F.max("k")).first()
+    assert hot[1] - hot[0] == 999           # tied rows still take a contiguous block of numbers
+    per_partition = got.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in per_partition) < 1000
