@@ -14,6 +14,7 @@ from hearth.operators import model as M
 from hearth.plans.pipeline import CleanedInputs, Model, build_model, clean_inputs, materialized_model
 from hearth.sources import tpch
 from hearth.session import new_run_dir
+from hearth.sources.files import write_table
 from hearth.sources.tpch import RawInputs
 
 
@@ -38,9 +39,7 @@ class Housing:
             # the yearly line-item summary feeds two imports (rents, earnings): write it once
             # (nations x years rows) so the line items are scanned a single time
             target = f"{self.run_dir}/import/nation_year_means"
-            means_df = tpch.nation_year_means(self.spark, self.sf_dir)
-            means_df.write.mode("overwrite").parquet(target)
-            means = self.spark.read.schema(means_df.schema).parquet(target)
+            means = write_table(self.spark, tpch.nation_year_means(self.spark, self.sf_dir), target)
         return tpch.raw_inputs(self.spark, self.sf_dir, self.dirty, means)
 
     @cached_property

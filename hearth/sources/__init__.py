@@ -1,6 +1,6 @@
 """Sources: declared-schema readers for the raw housing files, and the test-table mapping."""
 
-from hearth.sources.files import RAW_SCHEMAS, read_raw
+from hearth.sources.files import RAW_SCHEMAS, read_raw, write_table
 from hearth.sources.tpch import RawInputs, raw_inputs, read_table
 
-__all__ = ["RAW_SCHEMAS", "RawInputs", "raw_inputs", "read_raw", "read_table"]
+__all__ = ["RAW_SCHEMAS", "RawInputs", "raw_inputs", "read_raw", "read_table", "write_table"]

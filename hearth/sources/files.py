@@ -61,3 +61,11 @@ def read_raw(spark: SparkSession, table: str, path: str, fmt: str = "csv", **opt
     for k, v in options.items():
         reader = reader.option(k, v)
     return reader.format(fmt).load(path)
+
+
+def write_table(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
+    """Full rebuild of a table: overwrite ``path`` with ``df`` and return a reader of the written
+    copy (with the known schema, so no footer is read). Readers of a previous copy should switch
+    to a fresh path for an atomic replace."""
+    df.write.mode("overwrite").format(fmt).save(path)
+    return spark.read.schema(df.schema).format(fmt).load(path)
