@@ -28,6 +28,19 @@ from hearth.operators.keys import dense_key
 DATE_START = "1995-01-01"
 DATE_END = "2025-12-31"
 
+# NOT NULL rules of the modelled tables (the source declares them column by column).
+NOT_NULL = {
+    "bridge_lad_region": ["LAD23CD"],
+    "fact_earnings": ["Median_Annual_Earnings"],
+    "fact_rent": ["PeriodEndYear", "MedianMonthlyRent"],
+    "fact_house_price": ["YearMonth", "AveragePrice"],
+}
+
+
+def enforce(df: DataFrame, table: str) -> DataFrame:
+    """Apply a table's NOT NULL rules (a filter; on a written table it reaches the scan)."""
+    return enforce_not_null(df, NOT_NULL[table])
+
 
 def dim_region(regions: DataFrame, country: str = "ENGLAND", distributed_key: bool = False) -> DataFrame:
     """``(RegionKey BIGINT, RegionCode, RegionName, Country)`` for one country.
@@ -58,7 +71,7 @@ def fact_earnings_unchecked(earnings: DataFrame, dim: DataFrame) -> DataFrame:
 
 def fact_earnings(earnings: DataFrame, dim: DataFrame) -> DataFrame:
     """``(Year, RegionKey, Median_Annual_Earnings DECIMAL(18,2))``; unmatched names drop out."""
-    return enforce_not_null(fact_earnings_unchecked(earnings, dim), ["Median_Annual_Earnings"])
+    return enforce(fact_earnings_unchecked(earnings, dim), "fact_earnings")
 
 
 def fact_rent_unchecked(rents: DataFrame, dim: DataFrame) -> DataFrame:
@@ -67,14 +80,13 @@ def fact_rent_unchecked(rents: DataFrame, dim: DataFrame) -> DataFrame:
         period_end_year("PeriodLabel").alias("PeriodEndYear"), norm("Region").alias("_rk"), "Median"
     )
     return r.join(_region_lookup(dim), "_rk").select(
-        "PeriodEndYear", "RegionKey", F.col("Median").alias("MedianMonthlyRent")
+        "PeriodEndYear", "RegionKey", F.col("Median").cast(MONEY).alias("MedianMonthlyRent")
     )
 
 
 def fact_rent(rents: DataFrame, dim: DataFrame) -> DataFrame:
     """``(PeriodEndYear INT, RegionKey, MedianMonthlyRent DECIMAL(18,2))``."""
-    f = fact_rent_unchecked(rents, dim).withColumn("MedianMonthlyRent", F.col("MedianMonthlyRent").cast(MONEY))
-    return enforce_not_null(f, ["PeriodEndYear", "MedianMonthlyRent"])
+    return enforce(fact_rent_unchecked(rents, dim), "fact_rent")
 
 
 def bridge_lad_region_unchecked(lad: DataFrame, dim: DataFrame) -> DataFrame:
@@ -86,7 +98,7 @@ def bridge_lad_region_unchecked(lad: DataFrame, dim: DataFrame) -> DataFrame:
 
 def bridge_lad_region(lad: DataFrame, dim: DataFrame) -> DataFrame:
     """``(LAD23CD, LAD23NM, RegionKey, RegionCode, RegionName)``: district -> region."""
-    return enforce_not_null(bridge_lad_region_unchecked(lad, dim), ["LAD23CD"])
+    return enforce(bridge_lad_region_unchecked(lad, dim), "bridge_lad_region")
 
 
 def fact_house_price_unchecked(prices: DataFrame, bridge: DataFrame, dim: DataFrame) -> DataFrame:
@@ -113,7 +125,7 @@ def fact_house_price_unchecked(prices: DataFrame, bridge: DataFrame, dim: DataFr
 
 
 def fact_house_price(prices: DataFrame, bridge: DataFrame, dim: DataFrame) -> DataFrame:
-    return enforce_not_null(fact_house_price_unchecked(prices, bridge, dim), ["YearMonth", "AveragePrice"])
+    return enforce(fact_house_price_unchecked(prices, bridge, dim), "fact_house_price")
 
 
 def dim_date(spark: SparkSession, start: str = DATE_START, end: str = DATE_END) -> DataFrame:

@@ -64,8 +64,7 @@ CHECKS: dict[str, Callable[[Housing], DataFrame]] = {
     "dq_lads_per_region": lambda h: Q.rows_per(h.model.bridge, ["RegionName"], "LADs"),
     # house price fact
     "dq_price_null_month": lambda h: Q.count_where(
-        M.fact_house_price_unchecked(h.cleaned.prices, h.model.bridge, h.model.dim_region),
-        F.col("YearMonth").isNull(), "NullYears"),
+        h.model.unchecked["fact_house_price"], F.col("YearMonth").isNull(), "NullYears"),
     "dq_price_fact_dupes": lambda h: Q.duplicates(h.model.fact_house_price, ["YearMonth", "RegionKey"], "cnt"),
     "dq_price_no_date": lambda h: Q.rows_per(
         h.model.fact_house_price.join(h.model.dim_date.select(F.col("DateValue").alias("YearMonth")),
@@ -98,16 +97,14 @@ def declared_keys(h: Housing) -> dict:
 def not_null_rules(h: Housing) -> dict:
     """Tables as they are *before* each NOT NULL rule is enforced."""
     c, m = h.cleaned, h.model
-    return {
+    rules = {
         "rents": (c.rents_deleted, ["Median_int", "Region", "PeriodLabel"]),
         "dim_region": (m.dim_region, ["RegionKey"]),
-        "fact_rent": (M.fact_rent_unchecked(c.rents, m.dim_region), ["PeriodEndYear", "MedianMonthlyRent"]),
-        "bridge_lad_region": (M.bridge_lad_region_unchecked(c.lad, m.dim_region), ["LAD23CD"]),
-        "fact_house_price": (M.fact_house_price_unchecked(c.prices, m.bridge, m.dim_region),
-                             ["YearMonth", "AveragePrice"]),
-        "fact_earnings": (M.fact_earnings_unchecked(c.earnings, m.dim_region), ["Median_Annual_Earnings"]),
-        "dim_date": (m.dim_date, ["DateValue"]),
     }
+    for table in ("fact_rent", "bridge_lad_region", "fact_house_price", "fact_earnings"):
+        rules[table] = (m.unchecked[table], M.NOT_NULL[table])
+    rules["dim_date"] = (m.dim_date, ["DateValue"])
+    return rules
 
 
 CHECKS["dq_unique_keys"] = lambda h: Q.key_violations(declared_keys(h))

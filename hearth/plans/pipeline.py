@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,6 +77,8 @@ class Model:
     fact_earnings: DataFrame
     fact_rent: DataFrame
     fact_house_price: DataFrame
+    # the same tables before their NOT NULL rules (what the constraint checks inspect)
+    unchecked: Mapping[str, DataFrame] = field(default_factory=dict)
 
 
 MODEL_TABLES = {
@@ -98,14 +100,22 @@ def build_model(
 ) -> Model:
     """Lazy star schema over the cleaned inputs."""
     dim = M.dim_region(cleaned.regions, country)
-    bridge = M.bridge_lad_region(cleaned.lad, dim)
+    bridge_u = M.bridge_lad_region_unchecked(cleaned.lad, dim)
+    bridge = M.enforce(bridge_u, "bridge_lad_region")
+    unchecked = {
+        "bridge_lad_region": bridge_u,
+        "fact_earnings": M.fact_earnings_unchecked(cleaned.earnings, dim),
+        "fact_rent": M.fact_rent_unchecked(cleaned.rents, dim),
+        "fact_house_price": M.fact_house_price_unchecked(cleaned.prices, bridge, dim),
+    }
     return Model(
         dim_region=dim,
         dim_date=M.dim_date(spark, date_start, date_end),
         bridge=bridge,
-        fact_earnings=M.fact_earnings(cleaned.earnings, dim),
-        fact_rent=M.fact_rent(cleaned.rents, dim),
-        fact_house_price=M.fact_house_price(cleaned.prices, bridge, dim),
+        fact_earnings=M.enforce(unchecked["fact_earnings"], "fact_earnings"),
+        fact_rent=M.enforce(unchecked["fact_rent"], "fact_rent"),
+        fact_house_price=M.enforce(unchecked["fact_house_price"], "fact_house_price"),
+        unchecked=unchecked,
     )
 
 
@@ -122,6 +132,10 @@ def materialized_model(
     ones (facts join the written ``dim_region`` and ``bridge``), so no table is recomputed and
     each write is a lineage cut.
 
+    Each table is written once, *before* its NOT NULL rules; the model's table is the written
+    copy read through those rules (a filter that reaches the Parquet scan), so the constraint
+    checks inspect the written table instead of recomputing it from the raw inputs.
+
     Tables that do not depend on each other are written by concurrent Spark jobs (the date
     dimension, the two small facts, and the bridge -> house-price chain), so small jobs share
     the cluster instead of queueing behind each other.
@@ -134,20 +148,29 @@ def materialized_model(
     dim = write(M.dim_region(cleaned.regions, country), MODEL_TABLES["dim_region"])
 
     def prices_chain() -> tuple[DataFrame, DataFrame]:
-        bridge = write(M.bridge_lad_region(cleaned.lad, dim), MODEL_TABLES["bridge"])
-        return bridge, write(M.fact_house_price(cleaned.prices, bridge, dim), MODEL_TABLES["fact_house_price"])
+        bridge_u = write(M.bridge_lad_region_unchecked(cleaned.lad, dim), MODEL_TABLES["bridge"])
+        bridge = M.enforce(bridge_u, "bridge_lad_region")
+        fhp_u = write(M.fact_house_price_unchecked(cleaned.prices, bridge, dim), MODEL_TABLES["fact_house_price"])
+        return bridge_u, fhp_u
 
     with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
         chain = pool.submit(prices_chain)
         dates = pool.submit(write, M.dim_date(spark, date_start, date_end), MODEL_TABLES["dim_date"])
-        earnings = pool.submit(write, M.fact_earnings(cleaned.earnings, dim), MODEL_TABLES["fact_earnings"])
-        rent = pool.submit(write, M.fact_rent(cleaned.rents, dim), MODEL_TABLES["fact_rent"])
-        bridge, fhp = chain.result()
-        return Model(
-            dim_region=dim,
-            dim_date=dates.result(),
-            bridge=bridge,
-            fact_earnings=earnings.result(),
-            fact_rent=rent.result(),
-            fact_house_price=fhp,
-        )
+        earnings = pool.submit(write, M.fact_earnings_unchecked(cleaned.earnings, dim), MODEL_TABLES["fact_earnings"])
+        rent = pool.submit(write, M.fact_rent_unchecked(cleaned.rents, dim), MODEL_TABLES["fact_rent"])
+        bridge_u, fhp_u = chain.result()
+        unchecked = {
+            "bridge_lad_region": bridge_u,
+            "fact_earnings": earnings.result(),
+            "fact_rent": rent.result(),
+            "fact_house_price": fhp_u,
+        }
+    return Model(
+        dim_region=dim,
+        dim_date=dates.result(),
+        bridge=M.enforce(bridge_u, "bridge_lad_region"),
+        fact_earnings=M.enforce(unchecked["fact_earnings"], "fact_earnings"),
+        fact_rent=M.enforce(unchecked["fact_rent"], "fact_rent"),
+        fact_house_price=M.enforce(fhp_u, "fact_house_price"),
+        unchecked=unchecked,
+    )
