@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearth.functions.measures import MONEY, exact_mean, nullif_ratio
+from hearth.operators.joins import size_checked_broadcast
 
 LEVELS = ("national", "region", "lad")
 
@@ -63,8 +64,13 @@ def avg_by_level(
     out_col: str,
     dim_region: DataFrame | None = None,
     bridge: DataFrame | None = None,
+    fact_rows: int | None = None,
 ) -> DataFrame:
-    """Mean of ``value_col`` per ``time_col`` (and region / district name for those levels)."""
+    """Mean of ``value_col`` per ``time_col`` (and region / district name for those levels).
+
+    ``fact_rows`` (an upper bound of the fact's rows, e.g. from the written table) lets the
+    reduced fact be broadcast into the district fan-out when it is within the broadcast limit.
+    """
     if level not in LEVELS:
         raise ValueError(f"level must be one of {LEVELS}, got {level!r}")
     parts = per_region(fact, time_col, value_col)
@@ -80,8 +86,9 @@ def avg_by_level(
         if bridge is None:
             raise ValueError("lad level needs the bridge")
         keys = [time_col, "LADName"]
-        # reduced fact is bounded by |regions| x |time values| -> broadcast; bridge streams
-        rows = districts_by_name(bridge).join(F.broadcast(parts), "RegionKey")
+        # the reduced fact has at most as many rows as the fact: broadcast it when that bound
+        # is checked small, and the bridge streams through without moving the fan-out
+        rows = districts_by_name(bridge).join(size_checked_broadcast(parts, fact_rows), "RegionKey")
     return rows.groupBy(*keys).agg(exact_mean(F.sum("_s"), F.sum("_n")).alias(out_col))
 
 
@@ -89,7 +96,16 @@ def measure_by_level(model, measure: str, level: str) -> DataFrame:
     """``avg_by_level`` for one of the three model measures (``price``, ``rent``, ``earnings``)."""
     m = MEASURES[measure]
     fact = {"price": model.fact_house_price, "rent": model.fact_rent, "earnings": model.fact_earnings}[measure]
-    return avg_by_level(fact, level, m.time_col, m.value_col, m.out_cols[level], model.dim_region, model.bridge)
+    return avg_by_level(fact, level, m.time_col, m.value_col, m.out_cols[level], model.dim_region, model.bridge,
+                        fact_rows=_fact_rows(model, measure))
+
+
+FACT_TABLE = {"price": "fact_house_price", "rent": "fact_rent", "earnings": "fact_earnings"}
+
+
+def _fact_rows(model, measure: str) -> int | None:
+    bound = getattr(model, "row_bound", None)
+    return bound(FACT_TABLE[measure]) if bound else None
 
 
 def _year_of(time_col: str) -> Column:
@@ -116,7 +132,12 @@ def _district_ratio(model, numerator: str, out_col: str, factor: float) -> DataF
     times = num.select(t).distinct()
     den_at = times.join(den, _year_of(t) == F.col("_y")).drop("_y")
     pairs = num.join(den_at, [t, "RegionKey"], "full_outer").fillna(0, ["_n", "_en", "_hn", "_hd"])
-    g = districts_by_name(model.bridge).join(F.broadcast(pairs), "RegionKey").groupBy(t, "LADName").agg(
+    # pairs: the numerator rows plus, per numerator time value, at most one earnings row per
+    # region (earnings are unique per year and region) -> bounded by n_num * (1 + n_regions)
+    n_num, n_reg = _fact_rows(model, numerator), getattr(model, "row_bound", lambda _: None)("dim_region")
+    bound = n_num * (1 + n_reg) if n_num is not None and n_reg is not None else None
+    g = districts_by_name(model.bridge).join(size_checked_broadcast(pairs, bound), "RegionKey").groupBy(
+        t, "LADName").agg(
         F.sum("_s").alias("_s"), F.sum("_n").alias("_n"), F.sum("_es").alias("_es"), F.sum("_en").alias("_en"),
         F.sum("_hn").alias("_hn"), F.sum("_hd").alias("_hd"))
     num_col, den_col = num_m.out_cols["lad"], den_m.out_cols["lad"]

@@ -79,6 +79,12 @@ class Model:
     fact_house_price: DataFrame
     # the same tables before their NOT NULL rules (what the constraint checks inspect)
     unchecked: Mapping[str, DataFrame] = field(default_factory=dict)
+    # row counts of the written tables (upper bounds of the enforced tables); empty when the
+    # model is lazy. Used to decide broadcasts of data-derived sides.
+    rows: Mapping[str, int] = field(default_factory=dict)
+
+    def row_bound(self, table: str) -> int | None:
+        return self.rows.get(table)
 
 
 MODEL_TABLES = {
@@ -142,8 +148,12 @@ def materialized_model(
     """
     root = path or new_run_dir(spark, "model")
 
+    counts: dict[str, int] = {}
+
     def write(df: DataFrame, name: str) -> DataFrame:
-        return write_table(spark, df, f"{root}/{name}")
+        written = write_table(spark, df, f"{root}/{name}")
+        counts[name] = written.count()  # answered from Parquet footers
+        return written
 
     dim = write(M.dim_region(cleaned.regions, country), MODEL_TABLES["dim_region"])
 
@@ -173,4 +183,5 @@ def materialized_model(
         fact_rent=M.enforce(unchecked["fact_rent"], "fact_rent"),
         fact_house_price=M.enforce(fhp_u, "fact_house_price"),
         unchecked=unchecked,
+        rows=dict(counts),
     )

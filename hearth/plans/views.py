@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.functions.measures import nullif_ratio
+from hearth.operators.joins import size_checked_broadcast
 from hearth.operators.levels import districts_by_name, measure_by_level, ratio_by_level
 from hearth.plans.pipeline import Model
 
@@ -61,8 +62,10 @@ def vw_lad_price_ratios(m: Model) -> DataFrame:
 
     A district is paired with the regions it belongs to in the bridge (distinct pairs: a
     membership test, not a join that could repeat rows). Region and national monthly means
-    are bounded by |regions| x |months| and |months|, so they are broadcast.
+    have at most as many rows as the price fact; they are broadcast when that bound is within
+    the broadcast limit.
     """
+    bound = m.row_bound("fact_house_price")
     lad = measure_by_level(m, "price", "lad")
     region = measure_by_level(m, "price", "region")
     national = measure_by_level(m, "price", "national")
@@ -70,8 +73,8 @@ def vw_lad_price_ratios(m: Model) -> DataFrame:
     membership = districts_by_name(m.bridge).select("LADName", "RegionName").distinct()
     j = (
         lad.join(membership, "LADName")
-        .join(F.broadcast(region), ["YearMonth", "RegionName"])
-        .join(F.broadcast(national), "YearMonth")
+        .join(size_checked_broadcast(region, bound), ["YearMonth", "RegionName"])
+        .join(size_checked_broadcast(national, bound), "YearMonth")
     )
     return j.select(
         "YearMonth", "LADName", "LAD_AvgPrice", "Region_AvgPrice", "National_AvgPrice",

@@ -141,3 +141,23 @@ def test_district_fan_out_is_not_shuffled(spark):
                 assert not ("LADName" in ln and ("YearMonth" in ln or "PeriodEndYear" in ln or "Year" in ln)), ln
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_broadcast_limit_falls_back_to_planner_with_same_results(spark):
+    """Data-derived sides are broadcast only under a checked row bound; with the limit at 0 the
+    planner chooses the joins and the results are unchanged."""
+    from hearth.operators.joins import LIMIT_CONF
+
+    names = ("vw_lad_avg_house_prices", "vw_lad_price_income_ratio", "vw_lad_price_ratios")
+    before = {n: rows(q(spark, n)) for n in names}
+    assert "BroadcastExchange" in plan_text(q(spark, "vw_lad_price_income_ratio"))
+    spark.conf.set(LIMIT_CONF, "0")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan_text(q(spark, "vw_lad_price_income_ratio"))
+        assert "BroadcastExchange" not in text and "SortMergeJoin" in text
+        for n in names:
+            assert rows(q(spark, n)) == before[n], n
+    finally:
+        spark.conf.unset(LIMIT_CONF)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
