@@ -42,10 +42,15 @@ def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
 
 
 def unmatched_names(df: DataFrame, col: str, dim: DataFrame, dim_col: str, normalise_left: bool = True) -> DataFrame:
-    """Distinct values of ``df.col`` with no normalised match in ``dim.dim_col``."""
+    """Distinct values of ``df.col`` with no normalised match in ``dim.dim_col``.
+
+    Distinct first (partial aggregation collapses repeated and hot names map-side), then the
+    anti-join runs on one row per name: the same result as anti-joining every row.
+    """
     left_key = norm(col) if normalise_left else F.col(col)
+    names = df.select(col, left_key.alias("_k")).distinct()
     keys = dim.select(norm(dim_col).alias("_k"))
-    return df.select(col, left_key.alias("_k")).join(keys, "_k", "left_anti").select(col).distinct()
+    return names.join(keys, "_k", "left_anti").select(col)
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int = 10) -> DataFrame:
