@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
+import threading
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,6 +70,24 @@ def clean_inputs(raw: RawInputs, remap: Mapping[str, str]) -> CleanedInputs:
     )
 
 
+class RowCounts:
+    """Row counts of written tables, each computed once on first request (answered from the
+    Parquet footers: no data pages are read)."""
+
+    def __init__(self, tables: Mapping[str, DataFrame]):
+        self._tables = dict(tables)
+        self._counts: dict[str, int] = {}
+        self._lock = threading.Lock()
+
+    def get(self, table: str) -> int | None:
+        if table not in self._tables:
+            return None
+        with self._lock:
+            if table not in self._counts:
+                self._counts[table] = self._tables[table].count()
+            return self._counts[table]
+
+
 @dataclass(frozen=True)
 class Model:
     dim_region: DataFrame
@@ -79,12 +98,12 @@ class Model:
     fact_house_price: DataFrame
     # the same tables before their NOT NULL rules (what the constraint checks inspect)
     unchecked: Mapping[str, DataFrame] = field(default_factory=dict)
-    # row counts of the written tables (upper bounds of the enforced tables); empty when the
-    # model is lazy. Used to decide broadcasts of data-derived sides.
-    rows: Mapping[str, int] = field(default_factory=dict)
+    # row counts of the written tables (upper bounds of the enforced tables), counted on first
+    # use; empty when the model is lazy. Used to decide broadcasts of data-derived sides.
+    rows: RowCounts | None = None
 
     def row_bound(self, table: str) -> int | None:
-        return self.rows.get(table)
+        return self.rows.get(table) if self.rows is not None else None
 
 
 MODEL_TABLES = {
@@ -148,12 +167,11 @@ def materialized_model(
     """
     root = path or new_run_dir(spark, "model")
 
-    counts: dict[str, int] = {}
+    written: dict[str, DataFrame] = {}
 
     def write(df: DataFrame, name: str) -> DataFrame:
-        written = write_table(spark, df, f"{root}/{name}")
-        counts[name] = written.count()  # answered from Parquet footers
-        return written
+        written[name] = write_table(spark, df, f"{root}/{name}")
+        return written[name]
 
     dim = write(M.dim_region(cleaned.regions, country), MODEL_TABLES["dim_region"])
 
@@ -183,5 +201,5 @@ def materialized_model(
         fact_rent=M.enforce(unchecked["fact_rent"], "fact_rent"),
         fact_house_price=M.enforce(fhp_u, "fact_house_price"),
         unchecked=unchecked,
-        rows=dict(counts),
+        rows=RowCounts(written),
     )
