@@ -6,18 +6,29 @@ from __future__ import annotations
 import threading
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import cached_property
+from functools import cached_property, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from hearth.operators import model as M
 from hearth.plans.pipeline import CleanedInputs, Model, build_model, clean_inputs, materialized_model
-from hearth.sources import tpch
 from hearth.session import new_run_dir
+from hearth.sources import tpch
 from hearth.sources.files import write_table
 from hearth.sources.tpch import RawInputs
 
 
+def _once(fn):
+    """``cached_property`` that is built by one thread only when queries run concurrently."""
+
+    @wraps(fn)
+    def get(self):
+        with self._build_lock:
+            return fn(self)
+
+    return cached_property(get)
+
+
 @dataclass
 class Housing:
     spark: SparkSession
@@ -27,12 +38,13 @@ class Housing:
     trend_years: Sequence[int] = tpch.TREND_YEARS
     dirty: bool = True
     materialize: bool = True
+    _build_lock: threading.RLock = field(default_factory=threading.RLock, repr=False, compare=False)
 
     @cached_property
     def run_dir(self) -> str:
         return new_run_dir(self.spark, "housing")
 
-    @cached_property
+    @_once
     def raw(self) -> RawInputs:
         means = None
         if self.materialize:
@@ -42,17 +54,17 @@ class Housing:
             means = write_table(self.spark, tpch.nation_year_means(self.spark, self.sf_dir), target)
         return tpch.raw_inputs(self.spark, self.sf_dir, self.dirty, means)
 
-    @cached_property
+    @_once
     def cleaned(self) -> CleanedInputs:
         return clean_inputs(self.raw, self.remap)
 
-    @cached_property
+    @_once
     def model(self) -> Model:
         if self.materialize:
             return materialized_model(self.spark, self.cleaned, self.country, path=f"{self.run_dir}/model")
         return build_model(self.spark, self.cleaned, self.country)
 
-    @cached_property
+    @_once
     def fact_rent_before_fix(self) -> DataFrame:
         """Rent fact as first loaded, before the label fix (what the gap checks inspect)."""
         return M.fact_rent(self.cleaned.rents_unfixed, self.model.dim_region)

@@ -108,12 +108,12 @@ def q2_price_yoy(m: Model) -> DataFrame:
 
 
 def q3_price_to_rent(m: Model) -> DataFrame:
-    """Price / (12 x monthly rent) for overlapping years; NULL unless rent > 0."""
+    """Price / (12 x monthly rent) for overlapping years; NULL unless rent > 0 (the guard tests
+    the denominator, and rent x 12 > 0 exactly when rent > 0)."""
     df = q1b_price_vs_rent_inner(m)
     return df.withColumn(
         "PriceToRentRatio", guarded_ratio(F.col("AvgHousePrice"), F.col("AvgMonthlyRent") * F.lit(12.0))
     ).select("Year", "RegionName", "AvgHousePrice", "AvgMonthlyRent", "PriceToRentRatio")
-    # guarded_ratio tests the denominator; rent * 12 > 0 iff rent > 0
 
 
 def q4_price_to_earnings(m: Model) -> DataFrame:
