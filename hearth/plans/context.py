@@ -31,14 +31,31 @@ def _once(fn):
 
 @dataclass
 class Housing:
+    """Workspace over one set of raw inputs.
+
+    Either ``sf_dir`` (the TPC-H-shaped test tables, mapped by ``hearth.sources.tpch``) or, via
+    :meth:`from_raw`, the five raw inputs read from the publishers' files.
+    """
+
     spark: SparkSession
-    sf_dir: str
+    sf_dir: str | None = None
     country: str = tpch.COUNTRY
     remap: Mapping[str, str] = field(default_factory=lambda: dict(tpch.REMAP))
     trend_years: Sequence[int] = tpch.TREND_YEARS
     dirty: bool = True
     materialize: bool = True
     _build_lock: threading.RLock = field(default_factory=threading.RLock, repr=False, compare=False)
+    _given_raw: RawInputs | None = field(default=None, repr=False, compare=False)
+
+    @classmethod
+    def from_raw(cls, spark: SparkSession, raw: RawInputs, country: str = "ENGLAND",
+                 remap: Mapping[str, str] | None = None, trend_years: Sequence[int] = (2023, 2024),
+                 materialize: bool = True) -> Housing:
+        """Workspace over raw inputs read elsewhere (e.g. ``hearth.sources.read_raw``).
+
+        ``remap`` maps normalised rent region labels to canonical region names.
+        """
+        return cls(spark, None, country, dict(remap or {}), trend_years, materialize=materialize, _given_raw=raw)
 
     @cached_property
     def run_dir(self) -> str:
@@ -46,6 +63,8 @@ class Housing:
 
     @_once
     def raw(self) -> RawInputs:
+        if self._given_raw is not None:
+            return self._given_raw
         means = None
         if self.materialize:
             # the yearly line-item summary feeds two imports (rents, earnings): write it once

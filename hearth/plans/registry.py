@@ -48,14 +48,21 @@ def _sort_key(c: str) -> F.Column:
     return F.col(c[1:]).desc() if c.startswith("-") else F.col(c).asc()
 
 
-def _on(fn: Callable[[Housing], DataFrame], order: list[str] | None = None) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = fn(housing(spark, sf_dir))
+def _ordered(fn: Callable[[Housing], DataFrame], order: list[str] | None) -> Callable[[Housing], DataFrame]:
+    def run(h: Housing) -> DataFrame:
+        df = fn(h)
         return df.orderBy(*[_sort_key(c) for c in order]) if order else df
 
     return run
 
 
+def _on(fn: Callable[[Housing], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(housing(spark, sf_dir))
+
+    return run
+
+
 MODEL_QUERIES: dict[str, Callable[[Housing], DataFrame]] = {
     "dim_region": lambda h: h.model.dim_region,
     "bridge_lad_region": lambda h: h.model.bridge,
@@ -94,8 +101,17 @@ VIEW_QUERIES: dict[str, Callable[[Housing], DataFrame]] = {
     name: (lambda fn: (lambda h: fn(h.model)))(fn) for name, fn in VIEWS.items() if name not in NOT_REGISTERED
 }
 
-QUERIES: dict[str, Query] = {
-    name: _on(fn, ORDER.get(name))
+# every query as a function of a workspace (test tables or raw files: ``Housing.from_raw``)
+HOUSING_QUERIES: dict[str, Callable[[Housing], DataFrame]] = {
+    name: _ordered(fn, ORDER.get(name))
     for group in (MODEL_QUERIES, CLEANING_QUERIES, CHECKS, INSIGHT_QUERIES, VIEW_QUERIES)
     for name, fn in group.items()
 }
+
+# the same queries over the test tables in ``sf_dir`` (one shared workspace per folder)
+QUERIES: dict[str, Query] = {name: _on(fn) for name, fn in HOUSING_QUERIES.items()}
+
+
+def run_query(h: Housing, name: str) -> DataFrame:
+    """Run a registered query by name on a workspace."""
+    return HOUSING_QUERIES[name](h)

@@ -159,3 +159,11 @@ def test_raw_csv_round_trip_with_declared_schema(spark, tmp_path):
     m2 = build_model(spark, clean_inputs(again, tpch.REMAP), tpch.COUNTRY)
     for t in ("fact_house_price", "fact_rent", "fact_earnings", "bridge"):
         assert rows(getattr(m1, t)) == rows(getattr(m2, t)), t
+
+    # the whole workspace over the files answers every query as the test-table workspace does
+    from hearth.plans.context import Housing
+    from hearth.plans.registry import QUERIES, run_query
+
+    h = Housing.from_raw(spark, again, tpch.COUNTRY, tpch.REMAP, tpch.TREND_YEARS)
+    for name in ("q5_growth_rank", "q10_national_trend", "vw_lad_price_ratios", "dq_not_null", "dq_rent_bad_period"):
+        assert rows(run_query(h, name)) == rows(QUERIES[name](spark, SF_SMALL)), name
