@@ -52,8 +52,20 @@ def per_region(fact: DataFrame, time_col: str, value_col: str) -> DataFrame:
 
 
 def districts_by_name(bridge: DataFrame) -> DataFrame:
-    """Bridge rows hash-partitioned by district name (the one shuffle of the district path)."""
-    return bridge.select(F.col("LAD23NM").alias("LADName"), "RegionKey", "RegionName").repartition("LADName")
+    """Distinct (district, region) pairs with their number of copies ``_m``, hash-partitioned by
+    district name.
+
+    Copies of a bridge row only multiply a district's rows, so they are carried as a weight:
+    the partial aggregate collapses them map-side, and a district with a third of all bridge
+    rows costs one row of work, not a third of the fan-out in one task.
+    """
+    pairs = bridge.groupBy(F.col("LAD23NM").alias("LADName"), "RegionKey", "RegionName").agg(
+        F.count(F.lit(1)).alias("_m"))
+    return pairs.repartition("LADName")
+
+
+def _times_copies(c: str) -> Column:
+    return F.col(c) * F.col("_m").cast("decimal(20,0)") if c in ("_s", "_es") else F.col(c) * F.col("_m")
 
 
 def avg_by_level(
@@ -89,6 +101,8 @@ def avg_by_level(
         # the reduced fact has at most as many rows as the fact: broadcast it when that bound
         # is checked small, and the bridge streams through without moving the fan-out
         rows = districts_by_name(bridge).join(size_checked_broadcast(parts, fact_rows), "RegionKey")
+        return rows.groupBy(*keys).agg(
+            exact_mean(F.sum(_times_copies("_s")), F.sum(_times_copies("_n"))).alias(out_col))
     return rows.groupBy(*keys).agg(exact_mean(F.sum("_s"), F.sum("_n")).alias(out_col))
 
 
@@ -138,8 +152,7 @@ def _district_ratio(model, numerator: str, out_col: str, factor: float) -> DataF
     bound = n_num * (1 + n_reg) if n_num is not None and n_reg is not None else None
     g = districts_by_name(model.bridge).join(size_checked_broadcast(pairs, bound), "RegionKey").groupBy(
         t, "LADName").agg(
-        F.sum("_s").alias("_s"), F.sum("_n").alias("_n"), F.sum("_es").alias("_es"), F.sum("_en").alias("_en"),
-        F.sum("_hn").alias("_hn"), F.sum("_hd").alias("_hd"))
+        *[F.sum(_times_copies(c)).alias(c) for c in ("_s", "_n", "_es", "_en", "_hn", "_hd")])
     num_col, den_col = num_m.out_cols["lad"], den_m.out_cols["lad"]
     g = g.filter((F.col("_hn") > 0) & (F.col("_hd") > 0)).select(
         t, "LADName", exact_mean("_s", "_n").alias(num_col), exact_mean("_es", "_en").alias(den_col))

@@ -113,13 +113,19 @@ def fact_house_price_unchecked(prices: DataFrame, bridge: DataFrame, dim: DataFr
         F.col("AveragePrice").cast(MONEY).alias("_p"),
     )
     per_district = p.groupBy("YearMonth", "_dk").agg(F.sum("_p").alias("_s"), F.count("_p").alias("_n"))
-    districts = bridge.select(norm("LAD23NM").alias("_dk"), "RegionKey").join(
-        F.broadcast(dim.select("RegionKey")), "RegionKey"
+    # copies of a bridge row are collapsed into a weight before the join (a district repeated
+    # in the lookup multiplies its price rows, exactly as the row-level join does)
+    districts = (
+        bridge.select(norm("LAD23NM").alias("_dk"), "RegionKey")
+        .join(F.broadcast(dim.select("RegionKey")), "RegionKey")
+        .groupBy("_dk", "RegionKey")
+        .agg(F.count(F.lit(1)).alias("_m"))
     )
     per_region = (
         per_district.join(districts, "_dk")
         .groupBy("YearMonth", "RegionKey")
-        .agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
+        .agg(F.sum(F.col("_s") * F.col("_m").cast("decimal(20,0)")).alias("_s"),
+             F.sum(F.col("_n") * F.col("_m")).alias("_n"))
     )
     return per_region.select("YearMonth", "RegionKey", round_half_up_cents("_s", "_n").alias("AveragePrice"))
 

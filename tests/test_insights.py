@@ -172,3 +172,43 @@ def test_non_overlapping_years(spark):
     assert rows(I.q1a_price_vs_rent_left(m)) == [(2001, "A", 10.0, None)]
     # the all-years pairing still pairs them
     assert rows(I.q9a_rent_to_income_region(m)) == [("A", 5.0, 100.0, 0.6)]
+
+
+def test_bridge_copies_weight_district_views_like_row_level_joins(spark):
+    """A district repeated many times in the lookup (and one listed under two regions) gives the
+    same district means as the row-level join over every copy."""
+    from hearth.functions import exact_avg
+    from hearth.operators.levels import measure_by_level, ratio_by_level
+
+    bridge = [("D1", "Hot", 1)] * 40 + [("D2", "Split", 1), ("D3", "Split", 2), ("D3", "Split", 2), ("D4", "Solo", 2)]
+    m = literal_model(
+        spark, [(1, "A"), (2, "B")],
+        prices=[(month(2020, mm), k, 100 * k + mm + 0.37) for mm in (1, 2, 3) for k in (1, 2)],
+        earnings=[(2020, 1, 30000.11), (2020, 2, 25000.5)],
+        bridge=bridge)
+    row_level = m.fact_house_price.join(m.bridge, "RegionKey").groupBy(
+        "YearMonth", F.col("LAD23NM").alias("LADName")).agg(exact_avg("AveragePrice").alias("LAD_AvgPrice"))
+    assert rows(measure_by_level(m, "price", "lad")) == rows(row_level)
+    e_level = m.fact_earnings.join(m.bridge, "RegionKey").groupBy(
+        "Year", F.col("LAD23NM").alias("LADName")).agg(exact_avg("Median_Annual_Earnings").alias("e"))
+    naive = row_level.join(e_level, (F.year("YearMonth") == F.col("Year")) & (row_level.LADName == e_level.LADName)) \
+        .select("YearMonth", row_level.LADName, "LAD_AvgPrice", "e", (F.col("LAD_AvgPrice") / F.col("e")).alias("r"))
+    assert rows(ratio_by_level(m, "price", "lad", "r")) == rows(naive)
+
+
+def test_fact_house_price_weights_lookup_copies(spark):
+    import datetime as dt
+    from decimal import Decimal
+
+    from hearth.operators import model as M
+
+    dim = spark.createDataFrame([(1, "E1", "North", "England")],
+                                "RegionKey bigint, RegionCode string, RegionName string, Country string")
+    lad = spark.createDataFrame([(i, "C1", "Hot", "E1", "North") for i in range(30)] + [(99, "C2", "Cold", "E1", "North")],
+                                "ObjectId bigint, LAD23CD string, LAD23NM string, RGN23CD string, RGN23NM string")
+    bridge = M.bridge_lad_region(lad, dim)
+    prices = spark.createDataFrame([(dt.date(2020, 1, 5), "HOT", Decimal("10.00")),
+                                    (dt.date(2020, 1, 6), "COLD", Decimal("41.00"))],
+                                   "Date date, RegionName string, AveragePrice decimal(18,2)")
+    # row-level join: 30 copies of 10.00 and one 41.00 -> (300 + 41) / 31 = 11.0
+    assert rows(M.fact_house_price(prices, bridge, dim)) == [(dt.date(2020, 1, 1), 1, Decimal("11.00"))]
