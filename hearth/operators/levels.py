@@ -118,8 +118,7 @@ FACT_TABLE = {"price": "fact_house_price", "rent": "fact_rent", "earnings": "fac
 
 
 def _fact_rows(model, measure: str) -> int | None:
-    bound = getattr(model, "row_bound", None)
-    return bound(FACT_TABLE[measure]) if bound else None
+    return model.row_bound(FACT_TABLE[measure])
 
 
 def _year_of(time_col: str) -> Column:
@@ -147,8 +146,9 @@ def _district_ratio(model, numerator: str, out_col: str, factor: float) -> DataF
     den_at = times.join(den, _year_of(t) == F.col("_y")).drop("_y")
     pairs = num.join(den_at, [t, "RegionKey"], "full_outer").fillna(0, ["_n", "_en", "_hn", "_hd"])
     # pairs: the numerator rows plus, per numerator time value, at most one earnings row per
-    # region (earnings are unique per year and region) -> bounded by n_num * (1 + n_regions)
-    n_num, n_reg = _fact_rows(model, numerator), getattr(model, "row_bound", lambda _: None)("dim_region")
+    # region — the reduced earnings come out of a group-by on (year, region) and their keys are
+    # dimension keys — so the bound n_num * (1 + n_regions) holds by construction
+    n_num, n_reg = _fact_rows(model, numerator), model.row_bound("dim_region")
     bound = n_num * (1 + n_reg) if n_num is not None and n_reg is not None else None
     g = districts_by_name(model.bridge).join(size_checked_broadcast(pairs, bound), "RegionKey").groupBy(
         t, "LADName").agg(
