@@ -161,3 +161,19 @@ def test_broadcast_limit_falls_back_to_planner_with_same_results(spark):
     finally:
         spark.conf.unset(LIMIT_CONF)
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
+
+
+def test_column_types_match_oracle(spark, duck):
+    """Same column types on both sides (decimal(p,s) <-> DECIMAL(p,s), int <-> INTEGER, ...)."""
+    bad = []
+    for name in sorted(QUERIES):
+        spark_types = {f.name: f.dataType.simpleString() for f in q(spark, name).schema.fields}
+        rel = duck.sql(ORACLE[name])
+        duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+        for col, t in spark_types.items():
+            if SPARK_TO_DUCK.get(t, t.upper()) != duck_types.get(col):
+                bad.append((name, col, t, duck_types.get(col)))
+    assert bad == []
