@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearth.functions.measures import MONEY, exact_mean, nullif_ratio
+from hearth.functions.measures import MONEY, exact_avg, exact_mean, nullif_ratio
 from hearth.operators.joins import size_checked_broadcast
 
 LEVELS = ("national", "region", "lad")
@@ -85,25 +85,22 @@ def avg_by_level(
     """
     if level not in LEVELS:
         raise ValueError(f"level must be one of {LEVELS}, got {level!r}")
-    parts = per_region(fact, time_col, value_col)
     if level == "national":
-        keys = [time_col]
-        rows = parts
-    elif level == "region":
+        return fact.groupBy(time_col).agg(exact_avg(value_col).alias(out_col))
+    if level == "region":
         if dim_region is None:
             raise ValueError("region level needs dim_region")
-        keys = [time_col, "RegionName"]
-        rows = parts.join(F.broadcast(dim_region.select("RegionKey", "RegionName")), "RegionKey")
-    else:
-        if bridge is None:
-            raise ValueError("lad level needs the bridge")
-        keys = [time_col, "LADName"]
-        # the reduced fact has at most as many rows as the fact: broadcast it when that bound
-        # is checked small, and the bridge streams through without moving the fan-out
-        rows = districts_by_name(bridge).join(size_checked_broadcast(parts, fact_rows), "RegionKey")
-        return rows.groupBy(*keys).agg(
-            exact_mean(F.sum(_times_copies("_s")), F.sum(_times_copies("_n"))).alias(out_col))
-    return rows.groupBy(*keys).agg(exact_mean(F.sum("_s"), F.sum("_n")).alias(out_col))
+        # bounded dimension, map-side join: one aggregation after it
+        rows = fact.join(F.broadcast(dim_region.select("RegionKey", "RegionName")), "RegionKey")
+        return rows.groupBy(time_col, "RegionName").agg(exact_avg(value_col).alias(out_col))
+    if bridge is None:
+        raise ValueError("lad level needs the bridge")
+    # the reduced fact has at most as many rows as the fact: broadcast it when that bound is
+    # checked small, and the bridge streams through without moving the fan-out
+    parts = per_region(fact, time_col, value_col)
+    rows = districts_by_name(bridge).join(size_checked_broadcast(parts, fact_rows), "RegionKey")
+    return rows.groupBy(time_col, "LADName").agg(
+        exact_mean(F.sum(_times_copies("_s")), F.sum(_times_copies("_n"))).alias(out_col))
 
 
 def measure_by_level(model, measure: str, level: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """The fifteen affordability insight queries over the star schema.
 
-Plan shape shared by all of them: the monthly price fact is reduced to one exact
-(sum, count) pair per (RegionKey, year) *before* it meets any other table. The other facts
+Plan shape: before a join that may shuffle (rent, earnings), the monthly price fact is reduced
+to one exact (sum, count) pair per (RegionKey, year); before a broadcast of the bounded region
+dimension it is aggregated once, after the (map-side) join. The other facts
 are unique per (RegionKey, year), so a join after the reduction gives exactly the averages of
 the row-level join (a rent repeated over n months is carried as ``rent * n`` with weight n),
 at the cost of joining a few hundred rows instead of every month. The date dimension is only
@@ -16,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearth.functions.measures import MONEY, exact_mean, guarded_ratio
+from hearth.functions.measures import MONEY, exact_avg, exact_mean, guarded_ratio
 from hearth.plans.pipeline import Model
 
 
@@ -85,8 +86,13 @@ def q1b_price_vs_rent_inner(m: Model) -> DataFrame:
 
 
 def _yearly_price_by_name(m: Model, in_calendar: bool) -> DataFrame:
-    parts = price_parts(m, in_calendar).join(_regions(m), "RegionKey")
-    return parts.groupBy("RegionName", "Year").agg(exact_mean(F.sum("_ps"), F.sum("_pn")).alias("AvgHousePrice"))
+    # the region dimension is broadcast (a map-side join), so the fact is aggregated once,
+    # after it: pre-aggregating would only add an exchange
+    f = m.fact_house_price
+    if in_calendar:
+        f = f.join(_calendar_months(m), "YearMonth", "left_semi")
+    return f.join(_regions(m), "RegionKey").groupBy("RegionName", F.year("YearMonth").alias("Year")).agg(
+        exact_avg("AveragePrice").alias("AvgHousePrice"))
 
 
 def _with_previous(df: DataFrame) -> DataFrame:
@@ -144,11 +150,8 @@ def q5_growth_rank(m: Model) -> DataFrame:
 
 def q6_rent_rank(m: Model) -> DataFrame:
     """Regions ranked by rent within each year, both directions."""
-    v = F.col("MedianMonthlyRent").cast(MONEY)
-    parts = m.fact_rent.groupBy("RegionKey", "PeriodEndYear").agg(F.sum(v).alias("_s"), F.count(v).alias("_n"))
-    df = parts.join(_regions(m), "RegionKey").groupBy("RegionName", F.col("PeriodEndYear").alias("Year")).agg(
-        exact_mean(F.sum("_s"), F.sum("_n")).alias("AvgMonthlyRent")
-    )
+    df = m.fact_rent.join(_regions(m), "RegionKey").groupBy("RegionName", F.col("PeriodEndYear").alias("Year")).agg(
+        exact_avg("MedianMonthlyRent").alias("AvgMonthlyRent"))
     w = Window.partitionBy("Year")
     return df.select(
         "RegionName", "Year", "AvgMonthlyRent",
@@ -218,9 +221,8 @@ def q9_rent_to_income(m: Model) -> DataFrame:
         .join(_regions(m), "RegionKey")
     )
     df = j.groupBy("Year", "RegionName").agg(
-        exact_mean(F.sum(F.col("MedianMonthlyRent").cast(MONEY)), F.count("MedianMonthlyRent")).alias("AvgMonthlyRent"),
-        exact_mean(F.sum(F.col("Median_Annual_Earnings").cast(MONEY)), F.count("Median_Annual_Earnings")).alias(
-            "AvgEarnings"),
+        exact_avg("MedianMonthlyRent").alias("AvgMonthlyRent"),
+        exact_avg("Median_Annual_Earnings").alias("AvgEarnings"),
     )
     return df.withColumn("RentToIncomeRatio", guarded_ratio(F.col("AvgMonthlyRent") * F.lit(12.0), F.col("AvgEarnings")))
 
@@ -281,11 +283,10 @@ def q10_national_trend(m: Model, years: Sequence[int] = (2023, 2024)) -> DataFra
     he = _national_price_income(scoped).select(
         "Year", "National_AvgHousePrice", "National_AvgEarnings",
         F.lit(None).cast("double").alias("National_AvgMonthlyRent"))
-    v = F.col("MedianMonthlyRent").cast(MONEY)
     rent = (
         scoped.fact_rent.join(_regions(m), "RegionKey")
         .groupBy(F.col("PeriodEndYear").alias("Year"))
-        .agg(exact_mean(F.sum(v), F.count(v)).alias("National_AvgMonthlyRent"))
+        .agg(exact_avg("MedianMonthlyRent").alias("National_AvgMonthlyRent"))
         .select("Year", F.lit(None).cast("double").alias("National_AvgHousePrice"),
                 F.lit(None).cast("double").alias("National_AvgEarnings"), "National_AvgMonthlyRent")
     )
