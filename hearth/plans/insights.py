@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearth.functions.measures import MONEY, exact_avg, exact_mean, guarded_ratio
+from hearth.operators.joins import row_limit
 from hearth.plans.pipeline import Model
 
 
@@ -66,13 +67,43 @@ def _mean(prefix: str) -> F.Column:
     return exact_mean(F.sum(f"{prefix}s"), F.sum(f"{prefix}n"))
 
 
+OTHER = {
+    "rent": ("fact_rent", "MedianMonthlyRent", _rent_by_year),
+    "earnings": ("fact_earnings", "Median_Annual_Earnings", _earnings_by_year),
+}
+
+
+def price_with(m: Model, other: str, how: str = "inner", by_region: bool = True) -> DataFrame:
+    """Monthly prices joined with the yearly rent or earnings fact on (region, year), as rows
+    ``(Year, [RegionName], <value>, ps, pn, xs, xn)`` whose sums give the exact means of the
+    row-level join: ``ps/pn`` for the price, ``xs/xn`` for the other measure.
+
+    The other fact is unique per (region, year). When its written row count is within the
+    broadcast limit it is broadcast and joined at month grain (map-side; the only exchange is
+    the final aggregate). Otherwise the prices are first reduced to one (sum, count) per
+    region-year so the shuffle join moves a twelfth of the rows; the other value is then
+    carried with the month count as weight. Both give the same exact sums.
+    """
+    table, value, select = OTHER[other]
+    right = select(m)
+    bound = m.row_bound(table)
+    if bound is not None and bound <= row_limit(right):
+        f = m.fact_house_price.join(_calendar_months(m), "YearMonth", "left_semi")
+        p, v = F.col("AveragePrice").cast(MONEY), F.col(value).cast(MONEY)
+        j = f.withColumn("Year", F.year("YearMonth")).join(F.broadcast(right), ["RegionKey", "Year"], how)
+        cols = [p.alias("ps"), F.when(p.isNotNull(), 1).otherwise(0).cast("bigint").alias("pn"),
+                v.alias("xs"), F.when(v.isNotNull(), 1).otherwise(0).cast("bigint").alias("xn")]
+    else:
+        j = price_parts(m).join(right, ["RegionKey", "Year"], how)
+        cols = [F.col("_ps").alias("ps"), F.col("_pn").alias("pn"), *_weighted(value, "_pn", "x")]
+    if by_region:
+        j = j.join(_regions(m), "RegionKey")
+    return j.select("Year", *(["RegionName"] if by_region else []), value, *cols)
+
+
 def _price_vs_rent(m: Model, how: str) -> DataFrame:
-    j = price_parts(m).join(_rent_by_year(m), ["RegionKey", "Year"], how).join(_regions(m), "RegionKey")
-    j = j.select("Year", "RegionName", F.col("_ps").alias("ps"), F.col("_pn").alias("pn"),
-                 *_weighted("MedianMonthlyRent", "_pn", "r"))
-    return j.groupBy("Year", "RegionName").agg(
-        _mean("p").alias("AvgHousePrice"), _mean("r").alias("AvgMonthlyRent")
-    )
+    return price_with(m, "rent", how).groupBy("Year", "RegionName").agg(
+        _mean("p").alias("AvgHousePrice"), _mean("x").alias("AvgMonthlyRent"))
 
 
 def q1a_price_vs_rent_left(m: Model) -> DataFrame:
@@ -124,10 +155,8 @@ def q3_price_to_rent(m: Model) -> DataFrame:
 
 def q4_price_to_earnings(m: Model) -> DataFrame:
     """Price / earnings per year and region, earnings being part of the grouping."""
-    j = price_parts(m).join(_earnings_by_year(m), ["RegionKey", "Year"]).join(_regions(m), "RegionKey")
-    df = j.groupBy("Year", "RegionName", "Median_Annual_Earnings").agg(
-        exact_mean(F.sum("_ps"), F.sum("_pn")).alias("AvgHousePrice")
-    )
+    df = price_with(m, "earnings").groupBy("Year", "RegionName", "Median_Annual_Earnings").agg(
+        _mean("p").alias("AvgHousePrice"))
     return df.select(
         "Year", "RegionName", "AvgHousePrice", "Median_Annual_Earnings",
         guarded_ratio(F.col("AvgHousePrice"), F.col("Median_Annual_Earnings").cast("double")).alias(
@@ -179,31 +208,23 @@ def q7_price_rent_corr(m: Model, digits: int = 6) -> DataFrame:
 
 def q7b_overlap_years(m: Model) -> DataFrame:
     """Number of years with both a price and a rent, per region."""
-    j = price_parts(m).join(_rent_by_year(m), ["RegionKey", "Year"]).join(_regions(m), "RegionKey")
-    return j.groupBy("RegionName").agg(F.countDistinct("Year").alias("OverlappingYears"))
+    return price_with(m, "rent").groupBy("RegionName").agg(F.countDistinct("Year").alias("OverlappingYears"))
 
 
 def _price_earnings(m: Model, by_region: bool) -> DataFrame:
-    j = price_parts(m).join(_earnings_by_year(m), ["RegionKey", "Year"])
-    if by_region:
-        j = j.join(_regions(m), "RegionKey")
-    return j.select(
-        "Year", *(["RegionName"] if by_region else []),
-        F.col("_ps").alias("ps"), F.col("_pn").alias("pn"),
-        *_weighted("Median_Annual_Earnings", "_pn", "e"),
-    )
+    return price_with(m, "earnings", by_region=by_region)
 
 
 def q8_price_to_income(m: Model) -> DataFrame:
     """Price-to-income ratio per year and region."""
     df = _price_earnings(m, True).groupBy("Year", "RegionName").agg(
-        _mean("p").alias("AvgHousePrice"), _mean("e").alias("AvgEarnings"))
+        _mean("p").alias("AvgHousePrice"), _mean("x").alias("AvgEarnings"))
     return df.withColumn("PriceToIncomeRatio", guarded_ratio("AvgHousePrice", "AvgEarnings"))
 
 
 def _national_price_income(m: Model) -> DataFrame:
     return _price_earnings(m, False).groupBy("Year").agg(
-        _mean("p").alias("National_AvgHousePrice"), _mean("e").alias("National_AvgEarnings"))
+        _mean("p").alias("National_AvgHousePrice"), _mean("x").alias("National_AvgEarnings"))
 
 
 def q8n_national_price_to_income(m: Model) -> DataFrame:
@@ -279,7 +300,7 @@ def q10_national_trend(m: Model, years: Sequence[int] = (2023, 2024)) -> DataFra
         & (F.col("YearMonth") <= F.make_date(F.lit(hi), F.lit(12), F.lit(31)))
     )
     scoped = Model(m.dim_region, m.dim_date, m.bridge, m.fact_earnings.filter(F.col("Year").isin(years)),
-                   m.fact_rent.filter(F.col("PeriodEndYear").isin(years)), fhp)
+                   m.fact_rent.filter(F.col("PeriodEndYear").isin(years)), fhp, rows=m.rows)
     he = _national_price_income(scoped).select(
         "Year", "National_AvgHousePrice", "National_AvgEarnings",
         F.lit(None).cast("double").alias("National_AvgMonthlyRent"))

@@ -148,7 +148,9 @@ def test_broadcast_limit_falls_back_to_planner_with_same_results(spark):
     planner chooses the joins and the results are unchanged."""
     from hearth.operators.joins import LIMIT_CONF
 
-    names = ("vw_lad_avg_house_prices", "vw_lad_price_income_ratio", "vw_lad_price_ratios")
+    names = ("vw_lad_avg_house_prices", "vw_lad_price_income_ratio", "vw_lad_price_ratios",
+             "q1a_price_vs_rent_left", "q4_price_to_earnings", "q7_price_rent_corr", "q7b_overlap_years",
+             "q8_price_to_income", "q8n_national_price_to_income", "q10_national_trend")
     before = {n: rows(q(spark, n)) for n in names}
     assert "BroadcastExchange" in plan_text(q(spark, "vw_lad_price_income_ratio"))
     spark.conf.set(LIMIT_CONF, "0")
@@ -156,6 +158,8 @@ def test_broadcast_limit_falls_back_to_planner_with_same_results(spark):
     try:
         text = plan_text(q(spark, "vw_lad_price_income_ratio"))
         assert "BroadcastExchange" not in text and "SortMergeJoin" in text
+        # beyond the limit the insights pre-aggregate the prices before a sort-merge join
+        assert "SortMergeJoin" in plan_text(q(spark, "q8_price_to_income"))
         for n in names:
             assert rows(q(spark, n)) == before[n], n
     finally:
