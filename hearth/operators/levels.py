@@ -4,11 +4,13 @@ Levels: ``national`` (mean over region rows), ``region`` (mean per region name)
 (every district inherits the rows of its region through the bridge, so a district carries its
 region's value — the source defines the district views this way).
 
-Scale: the fact is first reduced to one (sum, count) pair per (time, RegionKey); that reduced
-fact has at most |regions| x |time values| rows, both bounded by the dimensions, which is the
-size bound that lets it be broadcast into the district fan-out. The bridge is hash-partitioned
-by district name once, so the fan-out (districts x time values, the view's inherent output
-size) is aggregated in place: no exchange ever moves the fan-out rows.
+Scale: national and region means are one aggregation (the bounded region dimension is joined
+map-side). For districts the fact is first reduced to one (sum, count) pair per
+(time, RegionKey) — at most as many rows as the written fact, a bound checked before it is
+broadcast into the district fan-out. The bridge is collapsed to distinct (district, region)
+pairs with a copy count and hash-partitioned by district name once, so the fan-out (districts x
+time values, the view's inherent output size) is aggregated in place: no exchange moves the
+fan-out rows.
 """
 
 from __future__ import annotations

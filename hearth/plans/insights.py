@@ -1,13 +1,13 @@
 """The fifteen affordability insight queries over the star schema.
 
-Plan shape: before a join that may shuffle (rent, earnings), the monthly price fact is reduced
-to one exact (sum, count) pair per (RegionKey, year); before a broadcast of the bounded region
-dimension it is aggregated once, after the (map-side) join. The other facts
-are unique per (RegionKey, year), so a join after the reduction gives exactly the averages of
-the row-level join (a rent repeated over n months is carried as ``rent * n`` with weight n),
-at the cost of joining a few hundred rows instead of every month. The date dimension is only
-used as an existence test (``left_semi``): joining it row-for-row would multiply rows by the
-days of a year without changing any average.
+Plan shape: the region dimension is broadcast (bounded), so the price fact is aggregated once,
+after that map-side join. Rent and earnings are unique per (RegionKey, year): when their
+written row count is within the broadcast limit they are joined map-side at month grain,
+otherwise the monthly prices are first reduced to one exact (sum, count) pair per
+(RegionKey, year) so the shuffle join moves a twelfth of the rows (a rent repeated over n months
+is carried as ``rent * n`` with weight n). Both paths give exactly the averages of the row-level
+join (see ``price_with``). The date dimension is only an existence test (``left_semi``): joining
+it row-for-row would multiply rows by the days of a year without changing any average.
 """
 
 from __future__ import annotations

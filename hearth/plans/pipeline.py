@@ -8,9 +8,9 @@ executor recomputes at most one table-writing stage.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
-import threading
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
