@@ -51,9 +51,10 @@ def round_half_up_cents(total: ColumnOrName, count: ColumnOrName) -> Column:
     sc = (total * F.lit(100)).cast("decimal(38,0)").cast("bigint")
     mag = F.abs(sc) * 2 + count
     den = count.cast("bigint") * 2
-    # integer division without a float quotient: subtract the remainder first, so the
-    # division is exact.
-    cents = F.signum(sc).cast("bigint") * ((mag - mag % den) / den).cast("bigint")
+    # integer division without a float quotient (``/`` on integers is a double division, exact
+    # only below 2**53): subtract the remainder, then divide exact multiples as decimals
+    whole = (mag - mag % den).cast("decimal(38,0)") / den.cast("decimal(38,0)")
+    cents = F.signum(sc).cast("bigint") * whole.cast("bigint")
     return F.when(count > 0, (cents.cast("decimal(20,0)") / F.lit(100)).cast(MONEY))
 
 

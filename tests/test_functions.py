@@ -120,3 +120,15 @@ def test_ratios(spark):
     df = spark.createDataFrame([(10.0, 0.0), (10.0, 4.0), (10.0, None), (10.0, -2.0)], "a double, b double")
     got = [tuple(r) for r in df.select(guarded_ratio("a", "b").alias("g"), nullif_ratio("a", "b").alias("n")).collect()]
     assert got == [(None, None), (2.5, 2.5), (None, None), (None, -5.0)]
+
+
+def test_round_half_up_cents_is_exact_beyond_double_precision(spark):
+    """Sums far above 2**53 cents still round exactly (no double division on the way)."""
+    from decimal import ROUND_HALF_UP
+
+    values = [Decimal("9999999999999999.99"), Decimal("9999999999999999.98"), Decimal("9999999999999999.97"),
+              Decimal("0.01")]
+    df = spark.createDataFrame([(v,) for v in values], "v decimal(18,2)")
+    got = df.agg(round_half_up_cents(F.sum("v"), F.count("v")).alias("m")).first()["m"]
+    expected = (sum(values) / len(values)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+    assert got == expected
