@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import cached_property, wraps
 
@@ -63,15 +64,30 @@ class Housing:
 
     @_once
     def raw(self) -> RawInputs:
+        """The five raw inputs. When materialising, they are imported once — written to the
+        shared folder by concurrent jobs — so the orders x customers mapping runs a single time
+        and the checks on raw rows and the model build all read the imported tables."""
         if self._given_raw is not None:
             return self._given_raw
-        means = None
-        if self.materialize:
-            # the yearly line-item summary feeds two imports (rents, earnings): write it once
-            # (nations x years rows) so the line items are scanned a single time
-            target = f"{self.run_dir}/import/nation_year_means"
-            means = write_table(self.spark, tpch.nation_year_means(self.spark, self.sf_dir), target)
-        return tpch.raw_inputs(self.spark, self.sf_dir, self.dirty, means)
+        if not self.materialize:
+            return tpch.raw_inputs(self.spark, self.sf_dir, self.dirty)
+        spark, sf, dirty = self.spark, self.sf_dir, self.dirty
+
+        def imp(df: DataFrame, name: str) -> DataFrame:
+            return write_table(spark, df, f"{self.run_dir}/import/{name}")
+
+        def yearly() -> tuple[DataFrame, DataFrame]:
+            # one line-item summary (nations x years rows) feeds both rents and earnings
+            means = imp(tpch.nation_year_means(spark, sf), "nation_year_means")
+            return imp(tpch.rents(means, dirty), "rents"), imp(tpch.earnings(means, dirty), "earnings")
+
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            prices = pool.submit(imp, tpch.prices(spark, sf, dirty), "district_prices")
+            lad = pool.submit(imp, tpch.lad_lookup(spark, sf, dirty), "district_region_lookup")
+            regions = pool.submit(imp, tpch.regions(spark, sf), "regions")
+            rents, earnings = pool.submit(yearly).result()
+            return RawInputs(regions=regions.result(), lad=lad.result(), prices=prices.result(), rents=rents,
+                             earnings=earnings)
 
     @_once
     def cleaned(self) -> CleanedInputs:
