@@ -61,7 +61,11 @@ def districts_by_name(bridge: DataFrame) -> DataFrame:
     the partial aggregate collapses them map-side, and a district with a third of all bridge
     rows costs one row of work, not a third of the fan-out in one task.
     """
-    pairs = bridge.groupBy(F.col("LAD23NM").alias("LADName"), "RegionKey", "RegionName").agg(
+    # rows with a NULL district, region key or region name can never match the inner joins that
+    # follow, so they are dropped before the shuffle
+    keyed = bridge.filter(F.col("LAD23NM").isNotNull() & F.col("RegionKey").isNotNull()
+                          & F.col("RegionName").isNotNull())
+    pairs = keyed.groupBy(F.col("LAD23NM").alias("LADName"), "RegionKey", "RegionName").agg(
         F.count(F.lit(1)).alias("_m"))
     return pairs.repartition("LADName")
 

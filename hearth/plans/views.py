@@ -69,7 +69,7 @@ def vw_lad_price_ratios(m: Model) -> DataFrame:
     lad = measure_by_level(m, "price", "lad")
     region = measure_by_level(m, "price", "region")
     national = measure_by_level(m, "price", "national")
-    # same partitioning as the district means (reused exchange): the join below needs no shuffle
+    # same partitioning (by district) as the district means: the join below needs no shuffle
     membership = districts_by_name(m.bridge).select("LADName", "RegionName").distinct()
     j = (
         lad.join(membership, "LADName")
