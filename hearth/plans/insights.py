@@ -126,18 +126,24 @@ def _yearly_price_by_name(m: Model, in_calendar: bool) -> DataFrame:
         exact_avg("AveragePrice").alias("AvgHousePrice"))
 
 
-def _with_previous(df: DataFrame) -> DataFrame:
+def _with_previous(df: DataFrame, strict_year: bool = False) -> DataFrame:
+    """Previous row's price per region. ``strict_year=True`` keeps it only when that row is the
+    previous calendar year (the source compares with the previous *row*, so a missing year makes
+    its "year-on-year" span several years)."""
     w = Window.partitionBy("RegionName").orderBy("Year")
-    return df.withColumn("PrevYearPrice", F.lag("AvgHousePrice").over(w))
+    prev = F.lag("AvgHousePrice").over(w)
+    if strict_year:
+        prev = F.when(F.lag("Year").over(w) == F.col("Year") - 1, prev)
+    return df.withColumn("PrevYearPrice", prev)
 
 
 def _pct_change(cur: str, prev: str) -> F.Column:
     return (F.col(cur) - F.col(prev)) * F.lit(100.0) / F.nullif(F.col(prev), F.lit(0.0))
 
 
-def q2_price_yoy(m: Model) -> DataFrame:
+def q2_price_yoy(m: Model, strict_year: bool = False) -> DataFrame:
     """Year-on-year % change of the regional price (previous *row*, first year NULL)."""
-    df = _with_previous(_yearly_price_by_name(m, in_calendar=False))
+    df = _with_previous(_yearly_price_by_name(m, in_calendar=False), strict_year)
     return df.select(
         "RegionName", "Year", "AvgHousePrice", "PrevYearPrice",
         _pct_change("AvgHousePrice", "PrevYearPrice").alias("YoY_PercentChange"),
@@ -164,9 +170,10 @@ def q4_price_to_earnings(m: Model) -> DataFrame:
     )
 
 
-def q5_growth_rank(m: Model) -> DataFrame:
+def q5_growth_rank(m: Model, strict_year: bool = False) -> DataFrame:
     """Regions ranked by year-on-year price growth within each year (1 = fastest)."""
-    df = _with_previous(_yearly_price_by_name(m, in_calendar=True)).filter(F.col("PrevYearPrice").isNotNull())
+    df = _with_previous(_yearly_price_by_name(m, in_calendar=True), strict_year).filter(
+        F.col("PrevYearPrice").isNotNull())
     growth = (F.col("AvgHousePrice") - F.col("PrevYearPrice")) * F.lit(1.0) / F.nullif(
         F.col("PrevYearPrice"), F.lit(0.0))
     w = Window.partitionBy("Year").orderBy(growth.desc_nulls_last())
@@ -285,11 +292,13 @@ def q9n_rent_to_income_national(m: Model) -> DataFrame:
                              "National_RentToIncomeRatio")
 
 
-def q10_national_trend(m: Model, years: Sequence[int] = (2023, 2024)) -> DataFrame:
+def q10_national_trend(m: Model, years: Sequence[int] = (2023, 2024), merge_years: bool = False) -> DataFrame:
     """National price, earnings and rent for the listed years, with both ratios.
 
     Price+earnings rows and rent rows come from separate branches (UNION ALL), so the
     rent-to-income ratio is NULL on every row — kept, as the source defines it.
+    ``merge_years=True`` instead combines the two branches into one row per year (a full outer
+    join on Year), so a year with rent and earnings gets its rent-to-income ratio.
     """
     years = [int(y) for y in years]
     lo, hi = min(years), max(years)
@@ -311,7 +320,11 @@ def q10_national_trend(m: Model, years: Sequence[int] = (2023, 2024)) -> DataFra
         .select("Year", F.lit(None).cast("double").alias("National_AvgHousePrice"),
                 F.lit(None).cast("double").alias("National_AvgEarnings"), "National_AvgMonthlyRent")
     )
-    t = he.unionByName(rent).filter(F.col("Year").isin(years))
+    if merge_years:
+        t = he.drop("National_AvgMonthlyRent").join(
+            rent.select("Year", "National_AvgMonthlyRent"), "Year", "full_outer").filter(F.col("Year").isin(years))
+    else:
+        t = he.unionByName(rent).filter(F.col("Year").isin(years))
     price, earn, rentc = F.col("National_AvgHousePrice"), F.col("National_AvgEarnings"), F.col("National_AvgMonthlyRent")
     return t.select(
         "Year", "National_AvgHousePrice", "National_AvgEarnings", "National_AvgMonthlyRent",

@@ -212,3 +212,20 @@ def test_fact_house_price_weights_lookup_copies(spark):
                                    "Date date, RegionName string, AveragePrice decimal(18,2)")
     # row-level join: 30 copies of 10.00 and one 41.00 -> (300 + 41) / 31 = 11.0
     assert rows(M.fact_house_price(prices, bridge, dim)) == [(dt.date(2020, 1, 1), 1, Decimal("11.00"))]
+
+
+def test_strict_year_option(spark):
+    m = literal_model(spark, [(1, "A")], prices=[(month(2000), 1, 100), (month(2003), 1, 200), (month(2004), 1, 220)])
+    assert rows(I.q2_price_yoy(m, strict_year=True), "Year", "PrevYearPrice") == [
+        (2000, None), (2003, None), (2004, 200.0)]
+    assert rows(I.q5_growth_rank(m, strict_year=True), "Year", "GrowthRank") == [(2004, 1)]
+    assert rows(I.q5_growth_rank(m), "Year") == [(2003,), (2004,)]     # parity: previous row
+
+
+def test_q10_merge_years_option(spark):
+    m = literal_model(spark, [(1, "A")], prices=[(month(2023), 1, 300000)], earnings=[(2023, 1, 30000)],
+                      rents=[(2023, 1, 1000)])
+    assert rows(I.q10_national_trend(m, (2023,), merge_years=True)) == [
+        (2023, 300000.0, 30000.0, 1000.0, 10.0, 0.4)]
+    parity = rows(I.q10_national_trend(m, (2023,)), "Year", "RentToIncomeRatio")
+    assert parity == [(2023, None), (2023, None)]
