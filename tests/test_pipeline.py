@@ -187,3 +187,14 @@ def test_column_types_match_oracle(spark, duck):
             if SPARK_TO_DUCK.get(t, t.upper()) != duck_types.get(col):
                 bad.append((name, col, t, duck_types.get(col)))
     assert bad == []
+
+
+def test_batch_job_writes_results(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from hearth.plans.run import main
+
+    out = str(tmp_path / "out")
+    assert main(["--sf-dir", SF_SMALL, "--out", out, "--query", "q5_growth_rank", "--query", "dq_lad_total_rows"]) == 0
+    assert pq.read_table(f"{out}/q5_growth_rank").num_rows == q(spark, "q5_growth_rank").count()
+    assert pq.read_table(f"{out}/dq_lad_total_rows").num_rows == 1
