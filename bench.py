@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from hearth.plans.context import Housing  # noqa: E402
 from hearth.plans.registry import QUERIES  # noqa: E402
-from hearth.session import local_session, shared_dir  # noqa: E402
+from hearth.session import app_id, local_session, shared_dir  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 HEADLINE = [
@@ -83,7 +83,7 @@ def main() -> None:
     h = Housing(spark, sf_dir)
     _ = h.model  # raw -> clean -> write dim_region, bridge, dim_date, facts
     times["model_build"] = time.perf_counter() - t0
-    context._CACHE[(spark.sparkContext.applicationId, sf_dir)] = h
+    context._CACHE[(app_id(spark), sf_dir)] = h
 
     repeat = max(1, int(os.environ.get("BENCH_REPEAT", "3")))
     for name in HEADLINE:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hearth.operators import model as M
 from hearth.plans.pipeline import CleanedInputs, Model, build_model, clean_inputs, materialized_model
-from hearth.session import new_run_dir
+from hearth.session import app_id, new_run_dir
 from hearth.sources import tpch
 from hearth.sources.files import write_table
 from hearth.sources.tpch import RawInputs
@@ -111,7 +111,7 @@ _LOCK = threading.Lock()
 
 def housing(spark: SparkSession, sf_dir: str) -> Housing:
     """The workspace for ``sf_dir`` in this Spark application (built on first use)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (app_id(spark), sf_dir.rstrip("/"))
     with _LOCK:
         h = _CACHE.get(key)
         if h is None:

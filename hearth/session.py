@@ -42,14 +42,33 @@ def shared_dir(spark: SparkSession) -> str:
     ``SparkContext.setCheckpointDir`` (``spark.checkpoint.dir`` itself cannot be changed at
     runtime).
     """
-    d = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get(CHECKPOINT_CONF, None)
+    sc = _context(spark)
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
+        if sc is None:
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder")
         d = tempfile.mkdtemp(prefix="hearth-ckpt-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None where the session has none (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions raise on access
+        return None
+
+
+def app_id(spark: SparkSession) -> str:
+    """Identifier of the running application (used to scope cached workspaces)."""
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "connect")
+
+
 def new_run_dir(spark: SparkSession, prefix: str = "model") -> str:
     """A fresh sub-folder of the shared folder for one materialisation run."""
     return f"{shared_dir(spark)}/hearth-{prefix}-{uuid.uuid4().hex[:12]}"
