@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from hearth.functions.measures import MONEY, round_half_up_cents
 from hearth.functions.text import month_start, norm, period_end_year
 from hearth.operators.cleaning import enforce_not_null
+from hearth.operators.joins import size_checked_broadcast
 from hearth.operators.keys import dense_key
 
 # Calendar span of the date dimension in the source.
@@ -101,11 +102,14 @@ def bridge_lad_region(lad: DataFrame, dim: DataFrame) -> DataFrame:
     return enforce(bridge_lad_region_unchecked(lad, dim), "bridge_lad_region")
 
 
-def fact_house_price_unchecked(prices: DataFrame, bridge: DataFrame, dim: DataFrame) -> DataFrame:
+def fact_house_price_unchecked(prices: DataFrame, bridge: DataFrame, dim: DataFrame,
+                               bridge_rows: int | None = None) -> DataFrame:
     """Monthly regional price = unweighted mean of the district rows, before NOT NULL rules.
 
     Columns ``(YearMonth, RegionKey, AveragePrice DECIMAL(18,2))``. District names are matched
     case- and padding-insensitively (the source relies on its collation for this).
+    ``bridge_rows`` (the written bridge's row count) bounds the district side: within the
+    broadcast limit it is broadcast, so the pre-aggregated prices are not shuffled again.
     """
     p = prices.select(
         month_start("Date").alias("YearMonth"),
@@ -122,7 +126,7 @@ def fact_house_price_unchecked(prices: DataFrame, bridge: DataFrame, dim: DataFr
         .agg(F.count(F.lit(1)).alias("_m"))
     )
     per_region = (
-        per_district.join(districts, "_dk")
+        per_district.join(size_checked_broadcast(districts, bridge_rows), "_dk")
         .groupBy("YearMonth", "RegionKey")
         .agg(F.sum(F.col("_s") * F.col("_m").cast("decimal(20,0)")).alias("_s"),
              F.sum(F.col("_n") * F.col("_m")).alias("_n"))
@@ -130,8 +134,9 @@ def fact_house_price_unchecked(prices: DataFrame, bridge: DataFrame, dim: DataFr
     return per_region.select("YearMonth", "RegionKey", round_half_up_cents("_s", "_n").alias("AveragePrice"))
 
 
-def fact_house_price(prices: DataFrame, bridge: DataFrame, dim: DataFrame) -> DataFrame:
-    return enforce(fact_house_price_unchecked(prices, bridge, dim), "fact_house_price")
+def fact_house_price(prices: DataFrame, bridge: DataFrame, dim: DataFrame,
+                     bridge_rows: int | None = None) -> DataFrame:
+    return enforce(fact_house_price_unchecked(prices, bridge, dim, bridge_rows), "fact_house_price")
 
 
 def dim_date(spark: SparkSession, start: str = DATE_START, end: str = DATE_END) -> DataFrame:

@@ -178,7 +178,9 @@ def materialized_model(
     def prices_chain() -> tuple[DataFrame, DataFrame]:
         bridge_u = write(M.bridge_lad_region_unchecked(cleaned.lad, dim), MODEL_TABLES["bridge"])
         bridge = M.enforce(bridge_u, "bridge_lad_region")
-        fhp_u = write(M.fact_house_price_unchecked(cleaned.prices, bridge, dim), MODEL_TABLES["fact_house_price"])
+        # the written bridge's row count bounds the district side of the price join
+        fhp_u = write(M.fact_house_price_unchecked(cleaned.prices, bridge, dim, bridge_u.count()),
+                      MODEL_TABLES["fact_house_price"])
         return bridge_u, fhp_u
 
     with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
