@@ -61,10 +61,9 @@ def districts_by_name(bridge: DataFrame) -> DataFrame:
     the partial aggregate collapses them map-side, and a district with a third of all bridge
     rows costs one row of work, not a third of the fan-out in one task.
     """
-    # rows with a NULL district, region key or region name can never match the inner joins that
-    # follow, so they are dropped before the shuffle
-    keyed = bridge.filter(F.col("LAD23NM").isNotNull() & F.col("RegionKey").isNotNull()
-                          & F.col("RegionName").isNotNull())
+    # a NULL region key can never match the join on RegionKey that follows, so those rows are
+    # dropped before the shuffle (a NULL district name stays: it is a group of its own)
+    keyed = bridge.filter(F.col("RegionKey").isNotNull())
     pairs = keyed.groupBy(F.col("LAD23NM").alias("LADName"), "RegionKey", "RegionName").agg(
         F.count(F.lit(1)).alias("_m"))
     return pairs.repartition("LADName")
@@ -157,7 +156,8 @@ def _district_ratio(model, numerator: str, out_col: str, factor: float) -> DataF
         t, "LADName").agg(
         *[F.sum(_times_copies(c)).alias(c) for c in ("_s", "_n", "_es", "_en", "_hn", "_hd")])
     num_col, den_col = num_m.out_cols["lad"], den_m.out_cols["lad"]
-    g = g.filter((F.col("_hn") > 0) & (F.col("_hd") > 0)).select(
+    # the two district means are joined on the name in the source: a NULL name never matches
+    g = g.filter((F.col("_hn") > 0) & (F.col("_hd") > 0) & F.col("LADName").isNotNull()).select(
         t, "LADName", exact_mean("_s", "_n").alias(num_col), exact_mean("_es", "_en").alias(den_col))
     value = F.col(num_col) * F.lit(factor) if factor != 1.0 else F.col(num_col)
     return g.select(t, "LADName", num_col, den_col, nullif_ratio(value, den_col).alias(out_col))
