@@ -1,6 +1,7 @@
 """Differential test on a small synthetic fixture with the awkward cases the given tables do
-not have: padded and NULL customer names, orders of unknown customers, NULL order dates and
-dates outside the calendar dimension. Every registered query must match the DuckDB oracle.
+not have: padded, re-cased, duplicated and NULL customer and region names (so dimension names
+and fact keys are not unique), orders of unknown customers, NULL order dates and dates outside
+the calendar dimension. Every registered query must match the DuckDB oracle.
 
 The fixture only feeds this test; registered queries always read the given tables.
 """
@@ -20,8 +21,11 @@ def _fixture(root) -> str:
     rng = np.random.RandomState(7)
     region = pd.DataFrame({"r_regionkey": np.arange(5, dtype="int32"),
                            "r_name": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]})
-    nation = pd.DataFrame({"n_nationkey": np.arange(25, dtype="int32"),
-                           "n_name": [f"NATION_{i}" for i in range(25)],
+    nation_names = [f"NATION_{i}" for i in range(25)]
+    nation_names[23] = "NATION_8"          # two regions with one name (non-unique dimension names)
+    nation_names[13] = " nation_13 "       # padded, lower case
+    nation_names[6] = None                 # missing name
+    nation = pd.DataFrame({"n_nationkey": np.arange(25, dtype="int32"), "n_name": nation_names,
                            "n_regionkey": (np.arange(25) % 5).astype("int32")})
     names = []
     for i in range(300):
@@ -31,6 +35,8 @@ def _fixture(root) -> str:
             names.append(f"Customer#{i:09d}   ")                 # trailing padding
         elif i % 13 == 4:
             names.append(f"customer#{i:09d}")                    # other case
+        elif i % 50 == 7:
+            names.append(f"Customer#{i - 1:09d}")                # copy of another district's name
         else:
             names.append(f"Customer#{i:09d}")
     customer = pd.DataFrame({"c_custkey": np.arange(300, dtype="int64"), "c_name": names,
@@ -92,4 +98,6 @@ def test_every_query_matches_oracle_on_edge_fixture(spark, edge_dir):
             bad.append((name, len(srows), len(drows)))
     assert bad == []
     # the awkward cases really occur
-    assert {"dq_price_no_date", "dq_price_null_month", "dq_price_missing_fields"} <= nonempty
+    assert {"dq_price_no_date", "dq_price_null_month", "dq_price_missing_fields", "dq_region_dup_name"} <= nonempty
+    dup_keys = {r["table_name"]: r["duplicate_keys"] for r in queries()["dq_unique_keys"](spark, edge_dir).collect()}
+    assert dup_keys["bridge_lad_region.name"] > 0 and dup_keys["fact_earnings"] > 0
