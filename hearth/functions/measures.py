@@ -45,17 +45,21 @@ def exact_avg(c: ColumnOrName) -> Column:
 def round_half_up_cents(total: ColumnOrName, count: ColumnOrName) -> Column:
     """Mean rounded to cents as ``DECIMAL(18,2)``, in integer arithmetic (half away from 0).
 
-    Rounding the double mean instead would disagree between engines on half-cent ties.
+    Rounding the double mean instead would disagree between engines on half-cent ties. All
+    intermediate values are ``DECIMAL(38,0)`` integers: a cent total can exceed the 64-bit range
+    when one group holds a large share of the data, and ``/`` on integers would be a double
+    division (exact only below 2**53).
     """
     total, count = _col(total), _col(count)
-    sc = (total * F.lit(100)).cast("decimal(38,0)").cast("bigint")
-    mag = F.abs(sc) * 2 + count
-    den = count.cast("bigint") * 2
-    # integer division without a float quotient (``/`` on integers is a double division, exact
-    # only below 2**53): subtract the remainder, then divide exact multiples as decimals
-    whole = (mag - mag % den).cast("decimal(38,0)") / den.cast("decimal(38,0)")
-    cents = F.signum(sc).cast("bigint") * whole.cast("bigint")
-    return F.when(count > 0, (cents.cast("decimal(20,0)") / F.lit(100)).cast(MONEY))
+    whole_num = "decimal(38,0)"
+    sc = (total * F.lit(100)).cast(whole_num)                    # cent total, exact
+    n = count.cast(whole_num)
+    mag = (F.abs(sc) * 2 + n).cast(whole_num)
+    den = (n * 2).cast(whole_num)
+    # floor(mag / den) without a float quotient: subtract the remainder, divide exact multiples
+    q = ((mag - mag % den).cast(whole_num) / den).cast(whole_num)
+    cents = F.when(sc < 0, -q).otherwise(q)
+    return F.when(count > 0, (cents / F.lit(100)).cast(MONEY))
 
 
 def guarded_ratio(num: ColumnOrName, den: ColumnOrName) -> Column:

@@ -132,3 +132,15 @@ def test_round_half_up_cents_is_exact_beyond_double_precision(spark):
     got = df.agg(round_half_up_cents(F.sum("v"), F.count("v")).alias("m")).first()["m"]
     expected = (sum(values) / len(values)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
     assert got == expected
+
+
+def test_round_half_up_cents_beyond_64_bit_totals(spark):
+    """A group whose cent total exceeds the 64-bit range still averages exactly (no overflow)."""
+    from decimal import ROUND_HALF_UP
+
+    v = Decimal("9999999999999999.99")
+    df = spark.range(0, 1000).select(F.lit(v).cast("decimal(18,2)").alias("v")).unionByName(
+        spark.createDataFrame([(Decimal("0.02"),)], "v decimal(18,2)"))
+    got = df.agg(round_half_up_cents(F.sum("v"), F.count("v")).alias("m")).first()["m"]
+    expected = ((v * 1000 + Decimal("0.02")) / 1001).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+    assert got == expected
