@@ -15,6 +15,7 @@ import pandas as pd
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
+from hearth.sources import tpch
 
 
 def _fixture(root, seed: int = 7, order_span=(dt.datetime(1993, 6, 1), dt.datetime(2026, 12, 31)),
@@ -40,8 +41,11 @@ def _fixture(root, seed: int = 7, order_span=(dt.datetime(1993, 6, 1), dt.dateti
             names.append(f"Customer#{i - 1:09d}")                # copy of another district's name
         else:
             names.append(f"Customer#{i:09d}")
+    nations = rng.randint(0, 25, 300)
+    nations[nations == 18] = 17
+    nations[10] = 18                       # the only district of its region ...
     customer = pd.DataFrame({"c_custkey": np.arange(300, dtype="int64"), "c_name": names,
-                             "c_nationkey": rng.randint(0, 25, 300).astype("int32")})
+                             "c_nationkey": nations.astype("int32")})
     supplier = pd.DataFrame({"s_suppkey": np.arange(40, dtype="int64"),
                              "s_nationkey": rng.randint(0, 25, 40).astype("int32")})
     n = 3000
@@ -51,7 +55,10 @@ def _fixture(root, seed: int = 7, order_span=(dt.datetime(1993, 6, 1), dt.dateti
     dates[rng.rand(n) < 0.01] = pd.NaT                           # missing order dates
     custkeys = rng.randint(0, 300, n)
     custkeys[rng.rand(n) < 0.02] = 999                           # unknown customer
-    orders = pd.DataFrame({"o_orderkey": np.arange(n, dtype="int64"), "o_custkey": custkeys.astype("int64"),
+    orderkeys = np.arange(n, dtype="int64")
+    only = custkeys == 10                  # ... and all its prices are NULL (key % 777 = 0)
+    orderkeys[only] = tpch.NULL_PRICE_MOD * (10**6 + np.arange(only.sum()))
+    orders = pd.DataFrame({"o_orderkey": orderkeys, "o_custkey": custkeys.astype("int64"),
                            "o_totalprice": rng.randint(100000, 50000000, n) / 100.0,
                            "o_orderdate": dates.astype("datetime64[us]")})
     m = 8000
@@ -115,4 +122,7 @@ def test_every_query_matches_oracle_on_edge_fixture(spark, edge_dir):
     # the awkward cases really occur
     assert {"dq_price_no_date", "dq_price_null_month", "dq_price_missing_fields", "dq_region_dup_name"} <= nonempty
     dup_keys = {r["table_name"]: r["duplicate_keys"] for r in queries()["dq_unique_keys"](spark, edge_dir).collect()}
+    nulls = {(r["table_name"], r["column_name"]): r["null_rows"]
+             for r in queries()["dq_not_null"](spark, edge_dir).collect()}
+    assert nulls[("fact_house_price", "AveragePrice")] > 0      # all-NULL region-months
     assert dup_keys["bridge_lad_region.name"] > 0 and dup_keys["fact_earnings"] > 0
