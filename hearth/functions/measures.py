@@ -6,13 +6,15 @@ here is computed from an *exact* decimal sum and a count:
 
     mean = double(sum_in_cents) / double(count * 100)
 
-Both operands are exact integers (below 2**53), so the IEEE division is correctly rounded
-from the exact rational ``sum / count``. Consequences used throughout the library:
+The decimal total is exact whatever the grouping, so:
 
 * a mean can be assembled from partial (sum, count) pairs in any grouping — map-side
   pre-aggregation and pre-aggregation before a join give bit-identical results;
-* a join that repeats every row of a group ``k`` times leaves the mean unchanged, so such a
-  fan-out can be rewritten away without changing a single bit.
+* while the cent total stays below 2**53 (about 90 trillion in money units per group) both
+  operands are exact doubles and the IEEE division is correctly rounded from the exact rational
+  ``sum / count``; hence a join that repeats every row of a group ``k`` times leaves the mean
+  unchanged, and such a fan-out can be rewritten away without changing a single bit. Beyond that
+  the total is rounded to the nearest double first — still deterministic.
 """
 
 from __future__ import annotations
