@@ -62,23 +62,33 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int = 10) -> DataFrame:
 def key_violations(tables: dict[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """One row per declared key: ``(table_name, key_columns, duplicate_keys, null_keys)``.
 
-    Replaces the source's primary-key / unique-index enforcement with a report; every table is
-    checked with one grouped count, and the per-table results are unioned (tiny).
+    Replaces the source's primary-key / unique-index enforcement with a report. All keys declared
+    on the same table are counted in one pass: a grouping-sets aggregation groups the rows by
+    every key at once (``grouping_id`` tells the key sets apart), then one global aggregate folds
+    the groups into the report (so an empty table still gets its rows).
     """
-    out = None
+    by_table: dict[int, tuple[DataFrame, list[tuple[str, list[str]]]]] = {}
     for name, (df, keys) in tables.items():
-        any_null = F.lit(False)
-        for k in keys:
-            any_null = any_null | F.col(k).isNull()
-        # one grouped count per table; NULL-ness is constant within a key group
-        groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).select(any_null.alias("_null"), "_c")
-        row = groups.agg(
-            F.count_if(F.col("_c") > 1).alias("duplicate_keys"),
-            F.coalesce(F.sum(F.when(F.col("_null"), F.col("_c"))), F.lit(0).cast("bigint")).alias("null_keys"),
-        ).select(
-            F.lit(name).alias("table_name"), F.lit(",".join(keys)).alias("key_columns"), "duplicate_keys", "null_keys"
-        )
-        out = row if out is None else out.unionByName(row)
+        by_table.setdefault(id(df), (df, []))[1].append((name, list(keys)))
+    out = None
+    for df, entries in by_table.values():
+        cols = list(dict.fromkeys(k for _, keys in entries for k in keys))
+        sets = [list(s) for s in dict.fromkeys(tuple(keys) for _, keys in entries)]
+        groups = df.groupingSets(sets, *cols).agg(F.count(F.lit(1)).alias("_c"), F.grouping_id().alias("_gid"))
+        folds = []
+        for i, (_, keys) in enumerate(entries):
+            mine = F.col("_gid") == sum(1 << (len(cols) - 1 - j) for j, c in enumerate(cols) if c not in keys)
+            any_null = F.lit(False)
+            for k in keys:
+                any_null = any_null | F.col(k).isNull()
+            folds += [
+                F.count_if(mine & (F.col("_c") > 1)).alias(f"_d{i}"),
+                F.coalesce(F.sum(F.when(mine & any_null, F.col("_c"))), F.lit(0).cast("bigint")).alias(f"_n{i}"),
+            ]
+        stack = ", ".join(f"'{name}', '{','.join(keys)}', _d{i}, _n{i}" for i, (name, keys) in enumerate(entries))
+        rows = groups.agg(*folds).selectExpr(
+            f"stack({len(entries)}, {stack}) as (table_name, key_columns, duplicate_keys, null_keys)")
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 

@@ -167,3 +167,11 @@ def test_raw_csv_round_trip_with_declared_schema(spark, tmp_path):
     h = Housing.from_raw(spark, again, tpch.COUNTRY, tpch.REMAP, tpch.TREND_YEARS)
     for name in ("q5_growth_rank", "q10_national_trend", "vw_lad_price_ratios", "dq_not_null", "dq_rent_bad_period"):
         assert rows(run_query(h, name)) == rows(QUERIES[name](spark, SF_SMALL)), name
+
+
+def test_key_report_on_empty_tables_and_repeated_key_sets(spark):
+    df = spark.createDataFrame([(1, "a", "x"), (1, "a", None), (2, None, "y")], "k bigint, v string, w string")
+    rep = Q.key_violations({"t.k": (df, ["k"]), "t.kv": (df, ["k", "v"]), "t.k again": (df, ["k"]),
+                            "t.w": (df, ["w"]), "empty": (df.limit(0), ["k"])})
+    assert rows(rep) == sorted([("t.k", "k", 1, 0), ("t.kv", "k,v", 1, 1), ("t.k again", "k", 1, 0),
+                                ("t.w", "w", 0, 1), ("empty", "k", 0, 0)])
