@@ -16,6 +16,7 @@ fan-out rows.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,9 @@ from pyspark.sql import functions as F
 from hearth.functions.measures import MONEY, exact_avg, exact_mean, nullif_ratio
 from hearth.operators.joins import size_checked_broadcast
 
+if TYPE_CHECKING:
+    from hearth.plans.pipeline import Model
+
 LEVELS = ("national", "region", "lad")
 
 
@@ -108,7 +112,7 @@ def avg_by_level(
         exact_mean(F.sum(_times_copies("_s")), F.sum(_times_copies("_n"))).alias(out_col))
 
 
-def measure_by_level(model, measure: str, level: str) -> DataFrame:
+def measure_by_level(model: Model, measure: str, level: str) -> DataFrame:
     """``avg_by_level`` for one of the three model measures (``price``, ``rent``, ``earnings``)."""
     m = MEASURES[measure]
     fact = {"price": model.fact_house_price, "rent": model.fact_rent, "earnings": model.fact_earnings}[measure]
@@ -119,7 +123,7 @@ def measure_by_level(model, measure: str, level: str) -> DataFrame:
 FACT_TABLE = {"price": "fact_house_price", "rent": "fact_rent", "earnings": "fact_earnings"}
 
 
-def _fact_rows(model, measure: str) -> int | None:
+def _fact_rows(model: Model, measure: str) -> int | None:
     return model.row_bound(FACT_TABLE[measure])
 
 
@@ -127,7 +131,7 @@ def _year_of(time_col: str) -> Column:
     return F.year(time_col) if time_col == "YearMonth" else F.col(time_col)
 
 
-def _district_ratio(model, numerator: str, out_col: str, factor: float) -> DataFrame:
+def _district_ratio(model: Model, numerator: str, out_col: str, factor: float) -> DataFrame:
     """District-level ratio with a single fan-out.
 
     Both district means are sums over the district's region rows. The two reduced facts are
@@ -163,7 +167,7 @@ def _district_ratio(model, numerator: str, out_col: str, factor: float) -> DataF
     return g.select(t, "LADName", num_col, den_col, nullif_ratio(value, den_col).alias(out_col))
 
 
-def ratio_by_level(model, numerator: str, level: str, out_col: str, factor: float = 1.0) -> DataFrame:
+def ratio_by_level(model: Model, numerator: str, level: str, out_col: str, factor: float = 1.0) -> DataFrame:
     """``numerator mean x factor / earnings mean`` joined on year (and member name).
 
     Division by a zero mean yields NULL instead of an error.
