@@ -75,3 +75,38 @@ def test_avg_by_level_rejects_unknown_level(spark):
     m = literal_model(spark, [(1, "A")])
     with pytest.raises(ValueError):
         avg_by_level(m.fact_rent, "county", "PeriodEndYear", "MedianMonthlyRent", "x")
+
+
+def _py_int(text):
+    import re
+
+    if text is None or not re.fullmatch(r"[+-]?[0-9]+", text):
+        return None
+    v = int(text)
+    return v if -2**31 <= v < 2**31 else None
+
+
+money_text = st.text(alphabet="0123456789,£ +-.a\t", max_size=14)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.none(), money_text), min_size=1, max_size=200))
+def test_lenient_integer_parsing_agrees_across_spark_duckdb_and_python(spark, texts):
+    import duckdb
+
+    from hearth.functions import clean_count_int, clean_money_int
+    from oracle import EARN_INT, RENT_INT
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r["i"]: (r["m"], r["c"]) for r in df.select(
+        "i", clean_money_int("t").alias("m"), clean_count_int("t").alias("c")).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE x (i INTEGER, Median_Annual_Earnings VARCHAR, Median VARCHAR)")
+    con.executemany("INSERT INTO x VALUES (?, ?, ?)", [(i, t, t) for i, t in enumerate(texts)])
+    duck = {i: (m, c) for i, m, c in con.execute(f"SELECT i, {EARN_INT}, {RENT_INT} FROM x").fetchall()}
+    for i, t in enumerate(texts):
+        money = None if t is None else t.strip(" ")
+        money = None if money is None else money.replace(",", "").replace("£", "").replace(" ", "")
+        count = None if t is None else t.strip(" ").replace(",", "")
+        expected = (_py_int(money), _py_int(count))
+        assert got[i] == expected == duck[i], (t, got[i], duck[i], expected)
