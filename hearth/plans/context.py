@@ -79,7 +79,10 @@ class Housing:
         def yearly() -> tuple[DataFrame, DataFrame]:
             # one line-item summary (nations x years rows) feeds both rents and earnings
             means = imp(tpch.nation_year_means(spark, sf), "nation_year_means")
-            return imp(tpch.rents(means, dirty), "rents"), imp(tpch.earnings(means, dirty), "earnings")
+            with ThreadPoolExecutor(max_workers=2) as inner:
+                rents = inner.submit(imp, tpch.rents(means, dirty), "rents")
+                earnings = inner.submit(imp, tpch.earnings(means, dirty), "earnings")
+                return rents.result(), earnings.result()
 
         with ThreadPoolExecutor(max_workers=4) as pool:
             prices = pool.submit(imp, tpch.prices(spark, sf, dirty), "district_prices")

@@ -173,8 +173,6 @@ def materialized_model(
         written[name] = write_table(spark, df, f"{root}/{name}")
         return written[name]
 
-    dim = write(M.dim_region(cleaned.regions, country), MODEL_TABLES["dim_region"])
-
     def prices_chain() -> tuple[DataFrame, DataFrame]:
         bridge_u = write(M.bridge_lad_region_unchecked(cleaned.lad, dim), MODEL_TABLES["bridge"])
         bridge = M.enforce(bridge_u, "bridge_lad_region")
@@ -184,8 +182,10 @@ def materialized_model(
         return bridge_u, fhp_u
 
     with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
-        chain = pool.submit(prices_chain)
+        # the calendar needs nothing else; everything below needs the written region dimension
         dates = pool.submit(write, M.dim_date(spark, date_start, date_end), MODEL_TABLES["dim_date"])
+        dim = write(M.dim_region(cleaned.regions, country), MODEL_TABLES["dim_region"])
+        chain = pool.submit(prices_chain)
         earnings = pool.submit(write, M.fact_earnings_unchecked(cleaned.earnings, dim), MODEL_TABLES["fact_earnings"])
         rent = pool.submit(write, M.fact_rent_unchecked(cleaned.rents, dim), MODEL_TABLES["fact_rent"])
         bridge_u, fhp_u = chain.result()
