@@ -107,9 +107,13 @@ def _mismatches(spark, data_dir):
 
 
 def test_every_query_matches_oracle_when_facts_do_not_meet(spark, tmp_path):
-    """No rents at all (line items end before the first rent year) and prices in years without
-    earnings: the year-aligned joins and the rent facts are empty on both sides."""
+    """No rents at all (line items end before the first rent year), prices in years without
+    earnings, and a region of the dimension without a name: the year-aligned joins and the rent
+    facts are empty on both sides."""
     d = _fixture(tmp_path, seed=3, order_span=(dt.datetime(2010, 1, 1), dt.datetime(2012, 12, 31)), ship_days=900)
+    nation = pd.read_parquet(f"{d}/nation.parquet")
+    nation.loc[nation.n_nationkey == 8, "n_name"] = None      # a region of the dimension without a name
+    nation.to_parquet(f"{d}/nation.parquet", index=False)
     bad, nonempty = _mismatches(spark, d)
     assert bad == []
     assert "fact_rent" not in nonempty and "q8_price_to_income" not in nonempty
