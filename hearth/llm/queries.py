@@ -9,14 +9,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearth.llm import chat, warc
+from hearth.llm import chat, licenses, quality, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": warc.op3,
+    "op5_shard_bins": sharding.op5,
+    "op8_license_digest": licenses.op8,
+    "op9_divergence_rules": quality.op9,
     "op10_chat_format": chat.op10,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_warc": warc.ORACLE_SQL,
+    "op8_license_digest": licenses.oracle_sql(),
+    "op9_divergence_rules": quality.oracle_sql(),
     "op10_chat_format": chat.ORACLE_SQL,
 }
