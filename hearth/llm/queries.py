@@ -9,11 +9,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearth.llm import chat, licenses, quality, sharding, warc
+from hearth.llm import chat, licenses, packing, quality, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": warc.op3,
     "op5_shard_bins": sharding.op5,
+    "op6_pack_differencing": packing.op6,
     "op8_license_digest": licenses.op8,
     "op9_divergence_rules": quality.op9,
     "op10_chat_format": chat.op10,
