@@ -9,9 +9,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearth.llm import chat, licenses, packing, quality, sharding, warc
+from hearth.llm import chat, licenses, near_dup, packing, quality, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_dup": near_dup.op1,
     "op3_warc": warc.op3,
     "op5_shard_bins": sharding.op5,
     "op6_pack_differencing": packing.op6,
