@@ -9,10 +9,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearth.llm import chat, licenses, near_dup, packing, quality, sharding, warc
+from hearth.llm import chat, decontaminate, licenses, near_dup, packing, quality, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dup": near_dup.op1,
+    "op2_decontaminate": decontaminate.op2,
     "op3_warc": warc.op3,
     "op5_shard_bins": sharding.op5,
     "op6_pack_differencing": packing.op6,
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_decontaminate": decontaminate.ORACLE_SQL,
     "op3_warc": warc.ORACLE_SQL,
     "op8_license_digest": licenses.oracle_sql(),
     "op9_divergence_rules": quality.oracle_sql(),
