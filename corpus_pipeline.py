@@ -1,8 +1,83 @@
-"""Corpus pipeline (stages to come)."""
+"""Corpus pipeline: toxicity, language, near duplicates, benchmark passages, packing.
 
-STAGES = []
+Each stage is ``(spark, docs, sf_dir) -> DataFrame``; its result is written as Parquet and read again
+as the next one's documents. All stages but the last return the columns of documents; the last
+returns the packed pieces.
+
+A stage works on whatever its predecessor kept: extra columns are carried along, an empty table
+stays empty, null texts count as empty ones (and go at the language stage, which finds no letter),
+and rows without doc_id are judged by their text but never grouped as duplicates. Repeated rows of
+one document are one document at the near-duplicate stage, which keeps one of them.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hearth.llm import decontaminate as leaks
+from hearth.llm import langid, near_dup, packing, toxicity
+from hearth.llm.common import col, free, materialize, table
+
+#: A language score below this is a rejection, like a text without a letter.
+LEAST_LANGUAGE_SCORE = 0.05
+#: Words of a shingle at the near-duplicate stage (similarity 0.8 or more).
+SHINGLE_WORDS = 5
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, learned from ``labels`` of this corpus, does not find toxic."""
+    net = toxicity.fit_documents(docs, table(spark, sf_dir, "labels"))
+    told = toxicity.classify(docs, net, carry=docs.columns)
+    return told.where(F.col(free(docs.columns, "predicted")) == 0).select(*[col(c) for c in docs.columns])
+
+
+def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a recognisable language."""
+    told = langid.identify(docs, langid.fit_documents(docs), carry=docs.columns)
+    known = F.col(free(docs.columns, "lang_pred")) != langid.UNKNOWN
+    return told.where(known & (F.col(free(docs.columns, "score")) >= LEAST_LANGUAGE_SCORE)).select(*[col(c) for c in docs.columns])
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates: the one with the smallest doc_id."""
+    found = near_dup.near_duplicates(docs, SHINGLE_WORDS).where("NOT kept").select("doc_id").distinct()
+    own = [col(c) for c in docs.columns]
+    left = docs.join(found, "doc_id", "left_anti").select(*own)
+    # several rows of one doc_id are one document: one of them stays
+    repeated = left.select("doc_id").where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    several = left.join(repeated, "doc_id", "left_semi").select(*own).dropDuplicates(["doc_id"])
+    return left.join(repeated, "doc_id", "left_anti").select(*own).unionByName(several)
+
+
+def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without benchmark passages: passages are cut, and a document goes if more than
+    ``MAX_COVERAGE`` of its words are such passages."""
+    return leaks.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 1024 tokens."""
+    return packing.pack_documents(docs, packing.tokenizer_path())
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("language", keep_known_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", cut_benchmark),
+    ("packing", pack),
+]
+
+#: The classifiers and the tokenizer have no SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``."""
+    docs = table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = materialize(docs, f"stage-{name}")
+    return docs

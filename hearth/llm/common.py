@@ -6,7 +6,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hearth.session import new_run_dir
 
@@ -24,6 +25,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free(columns: Sequence[str], name: str) -> str:
+    """``name``, with underscores in front until no column has it (columns of the caller that share
+    an operator's names are carried along untouched)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def col(name: str) -> Column:
+    """The column of exactly this name."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def runs(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
     """Runs of equal non-null integer ``keys`` in batches that are sorted by them; a run may span
     several batches. Only one run is held at a time."""

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.llm import words as W
-from hearth.llm.common import materialize, table
+from hearth.llm.common import col, free, materialize, table
 
 #: Words of a window.
 WINDOW = 10
@@ -207,13 +207,15 @@ def scanners(items: DataFrame, window: int = WINDOW, max_words: int = MAX_WORDS)
     return out
 
 
-HITS = "n_words bigint, first array<int>, after array<int>, items array<string>"
+HITS = {"n_words": "bigint", "first": "array<int>", "after": "array<int>", "items": "array<string>"}
 
 
 def hits(docs: DataFrame, scanner, carry: Sequence[str], clean: bool = False, max_span: int = 0) -> DataFrame:
     """The columns ``carry`` and ``text``'s word count, united hit spans (in words) and item ids of
     every document for one broadcast scanner; with ``clean``, also the text without hit spans of
-    more than ``max_span`` words."""
+    more than ``max_span`` words (``cleaned``). New columns get free names."""
+    added = HITS | ({"cleaned": "string"} if clean else {})
+    names = [*carry, *[free(carry, c) for c in added]]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         know = scanner.value
@@ -223,30 +225,28 @@ def hits(docs: DataFrame, scanner, carry: Sequence[str], clean: bool = False, ma
                 starts, ends, h, at = W.words(buf[off[i]:off[j]], off[i:j + 1] - off[i], W.ALNUM)
                 found: dict[int, tuple[list, set]] = {}
                 for a, z in know.runs(h, at[:-1]):
-                    spans, names = know.automaton.scan(h[a:z].tolist())
+                    spans, items = know.automaton.scan(h[a:z].tolist())
                     if spans:
                         row = int(np.searchsorted(at, a, "right")) - 1
                         own = found.setdefault(row, ([], set()))
                         own[0].extend((x + a - int(at[row]), y + a - int(at[row])) for x, y in spans)
-                        own[1].update(names)
+                        own[1].update(items)
                 spans = {r: _united(s) for r, (s, _) in found.items()}
                 n = j - i
                 out = [*[b.column(c).slice(i, n) for c in carry], pa.array(np.diff(at)),
                        pa.array([[x for x, _ in spans.get(r, ())] for r in range(n)], pa.list_(pa.int32())),
                        pa.array([[y for _, y in spans.get(r, ())] for r in range(n)], pa.list_(pa.int32())),
                        pa.array([sorted(found[r][1]) if r in found else [] for r in range(n)], pa.list_(pa.string()))]
-                names = [*carry, "n_words", "first", "after", "items"]
                 if clean:
                     texts = b.column("text").slice(i, n)
                     cut = {r: _without(texts[r].as_py(), starts[at[r]:at[r + 1]] - (off[i + r] - off[i]),
                                        ends[at[r]:at[r + 1]] - (off[i + r] - off[i]), s, max_span) for r, s in spans.items()}
                     out.append(texts if not cut else pa.array([cut[r] if r in cut else t for r, t in enumerate(texts.to_pylist())], pa.string()))
-                    names.append("cleaned")
                 yield pa.record_batch(out, names=names)
 
     kinds = dict(docs.dtypes)
-    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in carry], HITS] + ["cleaned string"] * clean)
-    return docs.select(*dict.fromkeys([*carry, "text"])).mapInArrow(each, schema)
+    schema = ", ".join(f"`{n}` {t}" for n, t in zip(names, [*[kinds[c] for c in carry], *added.values()], strict=True))
+    return docs.select(*[col(c) for c in dict.fromkeys([*carry, "text"])]).mapInArrow(each, schema)
 
 
 def _without(text: str, starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]], max_span: int) -> str:
@@ -286,8 +286,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_w
                       "items")
 
 
-def _n_hit():
-    return F.expr("aggregate(zip_with(after, first, (z, a) -> z - a), 0L, (x, y) -> x + y)")
+def _n_hit(first: str = "first", after: str = "after"):
+    return F.expr(f"aggregate(zip_with({after}, {first}, (z, a) -> z - a), 0L, (x, y) -> x + y)")
 
 
 #: Pipeline limits: hit spans longer than this many words are cut (0: all), and a document with a
@@ -301,16 +301,15 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_s
     """``docs`` (all its columns) without rejected documents and without the cut spans; n_chars, if
     there, is that of the new text. Cutting goes on until nothing more is found: the words around a
     cut may have become neighbours in a new window."""
+    first, after, n_words, cleaned = (free(docs.columns, c) for c in ("first", "after", "n_words", "cleaned"))
+    cut = F.expr(f"exists(zip_with({after}, {first}, (z, a) -> z - a), n -> n > {int(max_span)})")
+    new = {"text": F.col(cleaned), "n_chars": F.when(cut, F.length(cleaned)).otherwise(F.col("n_chars")).cast("bigint")}
     for s in scanners(items, window):
         while True:
             found = materialize(hits(docs, s, docs.columns, clean=True, max_span=max_span), "cleaned")
-            kept = found.where(_n_hit() <= max_coverage * F.col("n_words"))
-            cut = F.expr(f"exists(zip_with(after, first, (z, a) -> z - a), n -> n > {int(max_span)})")
-            again = not kept.where(cut).isEmpty()
-            text = F.col("cleaned").alias("text")
-            chars = F.when(cut, F.length("cleaned")).otherwise(F.col("n_chars")).cast("bigint").alias("n_chars") if "n_chars" in docs.columns else None
-            docs = kept.select(*[text if c == "text" else chars if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
-            if not again:
+            kept = found.where(_n_hit(first, after) <= max_coverage * F.col(n_words))
+            docs = kept.select(*[new[c].alias(c) if c in new else col(c) for c in docs.columns])
+            if kept.where(cut).isEmpty():
                 break
     return docs
 

@@ -9,14 +9,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearth.llm import chat, decontaminate, licenses, near_dup, packing, quality, sharding, warc
+from hearth.llm import chat, decontaminate, langid, licenses, near_dup, packing, quality, sharding, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dup": near_dup.op1,
     "op2_decontaminate": decontaminate.op2,
     "op3_warc": warc.op3,
+    "op4_string_kernel": langid.op4,
     "op5_shard_bins": sharding.op5,
     "op6_pack_differencing": packing.op6,
+    "op7_toxicity_cnn": toxicity.op7,
     "op8_license_digest": licenses.op8,
     "op9_divergence_rules": quality.op9,
     "op10_chat_format": chat.op10,
