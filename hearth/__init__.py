@@ -10,7 +10,6 @@ Layers (each a plain DataFrame -> DataFrame function, built-in expressions only)
   level/ratio/statistics operators.
 * ``hearth.plans``      the end-to-end pipeline (clean -> model -> materialise), the insight
   queries and the published views.
-* ``hearth.streaming``  nothing: the source workload is batch only (see module docstring).
 """
 
 __version__ = "0.1.0"

@@ -16,7 +16,7 @@ ColumnOrName = Column | str
 # The characters stripped from money text before the integer conversion.
 MONEY_JUNK_PATTERN = "[,£ ]"
 # A string the lenient integer conversion accepts: optional sign, then digits only.
-INTEGER_TEXT_PATTERN = r"^[+-]?[0-9]+$"
+INTEGER_TEXT_PATTERN = r"\A[+-]?[0-9]+\z"  # (a dollar sign would also match before a final line break)
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -28,6 +28,12 @@ def norm(c: ColumnOrName) -> Column:
     return F.upper(F.trim(_col(c)))
 
 
+def collated(c: ColumnOrName) -> Column:
+    """Key under which the source's collation groups and compares text: case and trailing spaces
+    do not count."""
+    return F.upper(F.rtrim(_col(c)))
+
+
 def upper_trim(c: ColumnOrName) -> Column:
     """Standardise a name in place (same expression as :func:`norm`)."""
     return norm(c)

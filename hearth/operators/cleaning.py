@@ -13,6 +13,7 @@ from hearth.functions.text import clean_count_int as _clean_count_int
 from hearth.functions.text import clean_money_int as _clean_money_int
 from hearth.functions.text import is_blank, norm
 from hearth.functions.text import upper_trim as _upper_trim
+from hearth.sources.files import write_table
 
 
 def add_clean_money_int(df: DataFrame, src: str, dst: str | None = None, blank_as_zero: bool = False) -> DataFrame:
@@ -94,11 +95,21 @@ def upper_trim(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn(col, _upper_trim(col))
 
 
-def enforce_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Keep only rows that satisfy the NOT NULL rule (report first with ``null_violations``)."""
+def enforce_not_null(df: DataFrame, cols: Sequence[str], fail: bool = False) -> DataFrame:
+    """Keep only rows that satisfy the NOT NULL rule (report first with ``null_violations``), or,
+    with ``fail``, stop the job at the first row that breaks it, as a table constraint does."""
+    if fail:
+        bad = F.raise_error(F.concat(F.lit("NULL in a NOT NULL column of "), F.lit(", ".join(cols))))
+        return df.filter(F.when(any_null(cols), bad.cast("boolean")).otherwise(F.lit(True)))
     return df.filter(~any_null(cols))
 
 
+def reload_after_fix(loaded: str, rebuilt: DataFrame) -> DataFrame:
+    """Delete all rows of the table written at ``loaded`` and load ``rebuilt`` (which must not read
+    that table) in their place."""
+    return write_table(rebuilt.sparkSession, rebuilt, loaded)
+
+
 def widen_decimal(df: DataFrame, cols: Sequence[str], dtype: str = "decimal(18,2)") -> DataFrame:
     """Retype measures to a fixed-point money type."""
     return df.withColumns({c: F.col(c).cast(dtype) for c in cols})

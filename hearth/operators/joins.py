@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 
 # Largest row bound hinted for broadcast (narrow rows: a key, a time value, a sum and a count).
 BROADCAST_ROW_LIMIT = 1_000_000
+# ... and their bytes: names count as 64 bytes, the width limit assumed for a name column.
+BROADCAST_BYTE_LIMIT = 256 << 20
+BYTES_CONF = "hearth.broadcast.maxBytes"
+_WIDTH = {"integer": 8, "long": 8, "date": 8, "double": 8, "decimal": 24, "string": 64}
 LIMIT_CONF = "hearth.broadcast.maxRows"
 
 
@@ -23,9 +27,16 @@ def row_limit(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(LIMIT_CONF, str(BROADCAST_ROW_LIMIT)))
 
 
+def within_limit(df: DataFrame, row_bound: int | None) -> bool:
+    """Whether ``row_bound`` (an upper bound of ``df``'s rows) is known and allows a broadcast: at
+    most the row limit, and at most the byte limit at the planner's width of a row."""
+    if row_bound is None or row_bound > row_limit(df):
+        return False
+    width = sum(_WIDTH.get(f.dataType.typeName(), 64) for f in df.schema.fields)
+    return row_bound * width <= int(df.sparkSession.conf.get(BYTES_CONF, str(BROADCAST_BYTE_LIMIT)))
+
+
 def size_checked_broadcast(df: DataFrame, row_bound: int | None) -> DataFrame:
-    """``broadcast(df)`` when ``row_bound`` (an upper bound of ``df``'s rows) is known and within
-    the limit; otherwise ``df`` unchanged."""
-    if row_bound is not None and row_bound <= row_limit(df):
-        return F.broadcast(df)
-    return df
+    """``broadcast(df)`` when ``row_bound`` allows it (:func:`within_limit`); otherwise ``df``
+    unchanged."""
+    return F.broadcast(df) if within_limit(df, row_bound) else df

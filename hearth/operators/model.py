@@ -7,9 +7,9 @@ Join strategy (checked with ``explain``):
 * ``dim_date`` is generated from two parameters; its size is ``end - start + 1`` days.
 * The district bridge grows with the number of districts: it is never hinted, AQE picks
   broadcast or sort-merge from the runtime size of the (pre-aggregated) sides.
-* House prices are pre-aggregated to (month, district) *before* the district join: the shuffle
-  then carries at most one row per district-month, and a district holding a third of all
-  rows is collapsed by the map-side partial aggregate instead of landing in one task.
+* House prices meet a district lookup of checked size map-side and are shuffled once, as sums per
+  (month, region). Beyond that size they are first reduced to (month, district), so a district
+  holding a third of all rows is collapsed map-side instead of landing in one task.
 """
 
 from __future__ import annotations
@@ -20,9 +20,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hearth.functions.measures import MONEY, round_half_up_cents
-from hearth.functions.text import month_start, norm, period_end_year
-from hearth.operators.cleaning import enforce_not_null
-from hearth.operators.joins import size_checked_broadcast
+from hearth.functions.text import collated, month_start, norm, period_end_year
+from hearth.operators.cleaning import enforce_not_null, widen_decimal
+from hearth.operators.joins import size_checked_broadcast, within_limit
 from hearth.operators.keys import dense_key
 
 # Calendar span of the date dimension in the source.
@@ -51,7 +51,7 @@ def dim_region(regions: DataFrame, country: str = "ENGLAND", distributed_key: bo
     regions. ``distributed_key=True`` numbers them in parallel (``keys.dense_key``) for a
     dimension that does not fit one task; both give the same keys when codes are unique.
     """
-    rows = regions.filter(F.upper("Country") == country.upper()).select("RegionCode", "RegionName", "Country")
+    rows = regions.filter(collated("Country") == country.rstrip(" ").upper()).select("RegionCode", "RegionName", "Country")
     if distributed_key:
         return dense_key(rows, ["RegionCode"], "RegionKey")
     w = Window.orderBy("RegionCode")
@@ -65,9 +65,8 @@ def _region_lookup(dim: DataFrame) -> DataFrame:
 def fact_earnings_unchecked(earnings: DataFrame, dim: DataFrame) -> DataFrame:
     """Earnings fact before its NOT NULL rule."""
     e = earnings.select("Year", norm("Region_name").alias("_rk"), "Median_Annual_Earnings")
-    return e.join(_region_lookup(dim), "_rk").select(
-        "Year", "RegionKey", F.col("Median_Annual_Earnings").cast(MONEY).alias("Median_Annual_Earnings")
-    )
+    joined = e.join(_region_lookup(dim), "_rk").select("Year", "RegionKey", "Median_Annual_Earnings")
+    return widen_decimal(joined, ["Median_Annual_Earnings"])
 
 
 def fact_earnings(earnings: DataFrame, dim: DataFrame) -> DataFrame:
@@ -80,9 +79,8 @@ def fact_rent_unchecked(rents: DataFrame, dim: DataFrame) -> DataFrame:
     r = rents.select(
         period_end_year("PeriodLabel").alias("PeriodEndYear"), norm("Region").alias("_rk"), "Median"
     )
-    return r.join(_region_lookup(dim), "_rk").select(
-        "PeriodEndYear", "RegionKey", F.col("Median").cast(MONEY).alias("MedianMonthlyRent")
-    )
+    joined = r.join(_region_lookup(dim), "_rk").select("PeriodEndYear", "RegionKey", F.col("Median").alias("MedianMonthlyRent"))
+    return widen_decimal(joined, ["MedianMonthlyRent"])
 
 
 def fact_rent(rents: DataFrame, dim: DataFrame) -> DataFrame:
@@ -103,40 +101,45 @@ def bridge_lad_region(lad: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def fact_house_price_unchecked(prices: DataFrame, bridge: DataFrame, dim: DataFrame,
-                               bridge_rows: int | None = None) -> DataFrame:
+                               bridge_rows: int | None = None, dim_rows: int | None = None) -> DataFrame:
     """Monthly regional price = unweighted mean of the district rows, before NOT NULL rules.
 
     Columns ``(YearMonth, RegionKey, AveragePrice DECIMAL(18,2))``. District names are matched
     case- and padding-insensitively (the source relies on its collation for this).
     ``bridge_rows`` (the written bridge's row count) bounds the district side: within the
-    broadcast limit it is broadcast, so the pre-aggregated prices are not shuffled again.
+    broadcast limit the prices meet it map-side and are shuffled once, as sums per month and region;
+    beyond it they are reduced per district before a shuffle join.
     """
     p = prices.select(
         month_start("Date").alias("YearMonth"),
         norm("RegionName").alias("_dk"),
         F.col("AveragePrice").cast(MONEY).alias("_p"),
     )
-    per_district = p.groupBy("YearMonth", "_dk").agg(F.sum("_p").alias("_s"), F.count("_p").alias("_n"))
     # copies of a bridge row are collapsed into a weight before the join (a district repeated
     # in the lookup multiplies its price rows, exactly as the row-level join does)
     districts = (
         bridge.select(norm("LAD23NM").alias("_dk"), "RegionKey")
-        .join(F.broadcast(dim.select("RegionKey")), "RegionKey")
+        .join(size_checked_broadcast(dim.select("RegionKey"), dim_rows), "RegionKey")
         .groupBy("_dk", "RegionKey")
         .agg(F.count(F.lit(1)).alias("_m"))
     )
-    per_region = (
-        per_district.join(size_checked_broadcast(districts, bridge_rows), "_dk")
-        .groupBy("YearMonth", "RegionKey")
-        .agg(F.sum(F.col("_s") * F.col("_m").cast("decimal(20,0)")).alias("_s"),
-             F.sum(F.col("_n") * F.col("_m")).alias("_n"))
-    )
+    if within_limit(districts, bridge_rows):
+        # map-side join straight off the scan; the one exchange carries (month, region) sums
+        parts = p.select("YearMonth", "_dk", F.col("_p").alias("_s"), F.col("_p").isNotNull().cast("bigint").alias("_n"))
+        joined = parts.join(F.broadcast(districts), "_dk")
+    else:
+        # both sides shuffle by district: reduce the prices first, so that a district with a third
+        # of all rows is collapsed map-side
+        parts = p.groupBy("YearMonth", "_dk").agg(F.sum("_p").alias("_s"), F.count("_p").alias("_n"))
+        joined = parts.join(districts, "_dk")
+    per_region = joined.groupBy("YearMonth", "RegionKey").agg(
+        F.sum(F.col("_s") * F.col("_m").cast("decimal(20,0)")).alias("_s"), F.sum(F.col("_n") * F.col("_m")).alias("_n"))
     return per_region.select("YearMonth", "RegionKey", round_half_up_cents("_s", "_n").alias("AveragePrice"))
 
 
 def fact_house_price(prices: DataFrame, bridge: DataFrame, dim: DataFrame,
-                     bridge_rows: int | None = None) -> DataFrame:
-    return enforce(fact_house_price_unchecked(prices, bridge, dim, bridge_rows), "fact_house_price")
+                     bridge_rows: int | None = None, dim_rows: int | None = None) -> DataFrame:
+    return enforce(fact_house_price_unchecked(prices, bridge, dim, bridge_rows, dim_rows), "fact_house_price")
 
 
 def dim_date(spark: SparkSession, start: str = DATE_START, end: str = DATE_END) -> DataFrame:

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearth.functions.text import norm
+from hearth.functions.text import collated, norm
 
 
 def count_where(df: DataFrame, cond: Column | None, alias: str) -> DataFrame:
@@ -18,14 +18,29 @@ def count_where(df: DataFrame, cond: Column | None, alias: str) -> DataFrame:
     return d.agg(F.count(F.lit(1)).alias(alias))
 
 
+def _grouped(df: DataFrame, keys: Sequence[str]):
+    """``df`` grouped on ``keys`` as the source's collation groups them (text without case and
+    trailing spaces), and the aggregates that give each text key's smallest spelling."""
+    text = {f.name for f in df.schema.fields if f.dataType.typeName() == "string"}
+    by = [collated(k).alias(f"_{k}") if k in text else F.col(k) for k in keys]
+    return df.groupBy(*by), [F.min(k).alias(k) for k in keys if k in text]
+
+
 def duplicates(df: DataFrame, keys: Sequence[str], alias: str = "c") -> DataFrame:
     """Key values that occur more than once, with their count (a uniqueness violation report)."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(alias)).filter(F.col(alias) > 1)
+    return rows_per(df, keys, alias).filter(F.col(alias) > 1)
 
 
 def rows_per(df: DataFrame, keys: Sequence[str], alias: str) -> DataFrame:
     """Row count per key (coverage report)."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(alias))
+    groups, names = _grouped(df, keys)
+    return groups.agg(*names, F.count(F.lit(1)).alias(alias)).select(*keys, alias)
+
+
+def distinct_values(df: DataFrame, col: str) -> DataFrame:
+    """Distinct values of a column under the source's collation (each in its smallest spelling)."""
+    groups, names = _grouped(df, [col])
+    return groups.agg(*names).select(col)
 
 
 def null_profile(df: DataFrame, cols: Sequence[str], prefix: str = "Null_") -> DataFrame:
@@ -37,8 +52,10 @@ def null_profile(df: DataFrame, cols: Sequence[str], prefix: str = "Null_") -> D
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
-    """Child rows whose key has no parent row (``LEFT JOIN ... IS NULL`` as an anti-join)."""
-    return child.join(parent.select(key), key, "left_anti")
+    """Child rows whose key has no parent row (``LEFT JOIN ... IS NULL`` as an anti-join). The
+    parent's keys are made distinct first, map-side: a parent with many rows for each key shuffles
+    few."""
+    return child.join(parent.select(key).distinct(), key, "left_anti")
 
 
 def unmatched_names(df: DataFrame, col: str, dim: DataFrame, dim_col: str, normalise_left: bool = True) -> DataFrame:
@@ -48,9 +65,9 @@ def unmatched_names(df: DataFrame, col: str, dim: DataFrame, dim_col: str, norma
     anti-join runs on one row per name: the same result as anti-joining every row.
     """
     left_key = norm(col) if normalise_left else F.col(col)
-    names = df.select(col, left_key.alias("_k")).distinct()
+    names = df.select(col, left_key.alias("_k")).groupBy(collated(col).alias("_g"), "_k").agg(F.min(col).alias(col))
     keys = dim.select(norm(dim_col).alias("_k"))
-    return names.join(keys, "_k", "left_anti").select(col)
+    return names.join(keys.distinct(), "_k", "left_anti").groupBy("_g").agg(F.min(col).alias(col)).select(col)
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int = 10) -> DataFrame:
@@ -73,6 +90,8 @@ def key_violations(tables: dict[str, tuple[DataFrame, Sequence[str]]]) -> DataFr
     out = None
     for df, entries in by_table.values():
         cols = list(dict.fromkeys(k for _, keys in entries for k in keys))
+        text = {f.name for f in df.schema.fields if f.dataType.typeName() == "string"}
+        df = df.select(*[collated(c).alias(c) if c in text else F.col(c) for c in cols])
         sets = [list(s) for s in dict.fromkeys(tuple(keys) for _, keys in entries)]
         groups = df.groupingSets(sets, *cols).agg(F.count(F.lit(1)).alias("_c"), F.grouping_id().alias("_gid"))
         folds = []

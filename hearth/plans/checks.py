@@ -53,7 +53,7 @@ CHECKS: dict[str, Callable[[Housing], DataFrame]] = {
     "dq_lad_total_rows": lambda h: Q.count_where(h.cleaned.lad, None, "TotalRows"),
     "dq_lad_null_profile": lambda h: Q.null_profile(h.cleaned.lad, LAD_COLUMNS),
     "dq_lad_dup_code": lambda h: Q.duplicates(h.cleaned.lad, ["LAD23CD"], "cnt"),
-    "dq_lad_region_names": lambda h: h.cleaned.lad.select("RGN23NM").distinct(),
+    "dq_lad_region_names": lambda h: Q.distinct_values(h.cleaned.lad, "RGN23NM"),
     "dq_lad_preview": lambda h: Q.top_n(h.cleaned.lad, [F.col("ObjectId").asc()], 10),
     "dq_lad_unmatched_regions": lambda h: Q.unmatched_names(
         h.cleaned.lad, "RGN23NM", h.model.dim_region, "RegionName").select(

@@ -1,13 +1,11 @@
 """The fifteen affordability insight queries over the star schema.
 
-Plan shape: the region dimension is broadcast (bounded), so the price fact is aggregated once,
-after that map-side join. Rent and earnings are unique per (RegionKey, year): when their
-written row count is within the broadcast limit they are joined map-side at month grain,
-otherwise the monthly prices are first reduced to one exact (sum, count) pair per
-(RegionKey, year) so the shuffle join moves a twelfth of the rows (a rent repeated over n months
-is carried as ``rent * n`` with weight n). Both paths give exactly the averages of the row-level
-join (see ``price_with``). The date dimension is only an existence test (``left_semi``): joining
-it row-for-row would multiply rows by the days of a year without changing any average.
+Plan shape: the region dimension joins map-side when its checked size allows. Prices that meet
+rents or earnings (unique per region and year) are first reduced to one exact (sum, count) pair per
+(RegionKey, year); a rent repeated over n months is carried as ``rent * n`` with weight n. That gives
+exactly the averages of the row-level join (see ``price_with``). The date dimension is only an
+existence test (``left_semi``): joining it row-for-row would multiply rows by the days of a year
+without changing any average.
 """
 
 from __future__ import annotations
@@ -18,12 +16,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearth.functions.measures import MONEY, exact_avg, exact_mean, guarded_ratio
-from hearth.operators.joins import row_limit
+from hearth.operators.joins import size_checked_broadcast
 from hearth.plans.pipeline import Model
 
 
 def _regions(m: Model) -> DataFrame:
-    return F.broadcast(m.dim_region.select("RegionKey", "RegionName"))
+    return size_checked_broadcast(m.dim_region.select("RegionKey", "RegionName"), m.row_bound("dim_region"))
 
 
 def _calendar_months(m: Model) -> DataFrame:
@@ -78,24 +76,15 @@ def price_with(m: Model, other: str, how: str = "inner", by_region: bool = True)
     ``(Year, [RegionName], <value>, ps, pn, xs, xn)`` whose sums give the exact means of the
     row-level join: ``ps/pn`` for the price, ``xs/xn`` for the other measure.
 
-    The other fact is unique per (region, year). When its written row count is within the
-    broadcast limit it is broadcast and joined at month grain (map-side; the only exchange is
-    the final aggregate). Otherwise the prices are first reduced to one (sum, count) per
-    region-year so the shuffle join moves a twelfth of the rows; the other value is then
-    carried with the month count as weight. Both give the same exact sums.
+    The prices are first reduced to one exact (sum, count) per region-year - collapsed map-side,
+    so a region with most of the rows costs one row for each task - and the other value is carried
+    with the month count as weight: the same sums as the row-level join. The size check of the
+    other side decides its broadcast hint and nothing else.
     """
     table, value, select = OTHER[other]
-    right = select(m)
-    bound = m.row_bound(table)
-    if bound is not None and bound <= row_limit(right):
-        f = m.fact_house_price.join(_calendar_months(m), "YearMonth", "left_semi")
-        p, v = F.col("AveragePrice").cast(MONEY), F.col(value).cast(MONEY)
-        j = f.withColumn("Year", F.year("YearMonth")).join(F.broadcast(right), ["RegionKey", "Year"], how)
-        cols = [p.alias("ps"), F.when(p.isNotNull(), 1).otherwise(0).cast("bigint").alias("pn"),
-                v.alias("xs"), F.when(v.isNotNull(), 1).otherwise(0).cast("bigint").alias("xn")]
-    else:
-        j = price_parts(m).join(right, ["RegionKey", "Year"], how)
-        cols = [F.col("_ps").alias("ps"), F.col("_pn").alias("pn"), *_weighted(value, "_pn", "x")]
+    right = size_checked_broadcast(select(m), m.row_bound(table))
+    j = price_parts(m).join(right, ["RegionKey", "Year"], how)
+    cols = [F.col("_ps").alias("ps"), F.col("_pn").alias("pn"), *_weighted(value, "_pn", "x")]
     if by_region:
         j = j.join(_regions(m), "RegionKey")
     return j.select("Year", *(["RegionName"] if by_region else []), value, *cols)
@@ -196,8 +185,9 @@ def q6_rent_rank(m: Model) -> DataFrame:
     )
 
 
-def q7_price_rent_corr(m: Model, digits: int = 6) -> DataFrame:
-    """Sample Pearson correlation of yearly price and rent per region (rounded to ``digits``).
+def q7_price_rent_corr(m: Model, digits: int | None = None) -> DataFrame:
+    """Sample Pearson correlation of yearly price and rent per region, in full precision unless
+    ``digits`` are asked for (single-pass and two-pass formulas differ in the last bits).
 
     One aggregation with the built-in sample covariance / variances (single pass, partial
     aggregation friendly); NULL for one year or a flat series.
@@ -210,7 +200,7 @@ def q7_price_rent_corr(m: Model, digits: int = 6) -> DataFrame:
     den = F.sqrt(F.col("vx") * F.col("vy"))
     corr = F.when(F.col("vx").isNull() | F.col("vy").isNull() | (den == 0), F.lit(None).cast("double")).otherwise(
         F.col("cov") / den)
-    return st.select("RegionName", F.round(corr, digits).alias("PriceRentCorrelation"))
+    return st.select("RegionName", (corr if digits is None else F.round(corr, digits)).alias("PriceRentCorrelation"))
 
 
 def q7b_overlap_years(m: Model) -> DataFrame:

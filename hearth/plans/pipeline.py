@@ -177,17 +177,24 @@ def materialized_model(
         bridge_u = write(M.bridge_lad_region_unchecked(cleaned.lad, dim), MODEL_TABLES["bridge"])
         bridge = M.enforce(bridge_u, "bridge_lad_region")
         # the written bridge's row count bounds the district side of the price join
-        fhp_u = write(M.fact_house_price_unchecked(cleaned.prices, bridge, dim, bridge_u.count()),
+        fhp_u = write(M.fact_house_price_unchecked(cleaned.prices, bridge, dim, bridge_u.count(), dim.count()),
                       MODEL_TABLES["fact_house_price"])
         return bridge_u, fhp_u
 
+    def rent_chain() -> DataFrame:
+        # first load, then the label fix: the table is emptied and loaded again
+        name = MODEL_TABLES["fact_rent"]
+        write(M.fact_rent_unchecked(cleaned.rents_unfixed, dim), name)
+        written[name] = C.reload_after_fix(f"{root}/{name}", M.fact_rent_unchecked(cleaned.rents, dim))
+        return written[name]
+
     with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
         # the calendar needs nothing else; everything below needs the written region dimension
         dates = pool.submit(write, M.dim_date(spark, date_start, date_end), MODEL_TABLES["dim_date"])
         dim = write(M.dim_region(cleaned.regions, country), MODEL_TABLES["dim_region"])
         chain = pool.submit(prices_chain)
         earnings = pool.submit(write, M.fact_earnings_unchecked(cleaned.earnings, dim), MODEL_TABLES["fact_earnings"])
-        rent = pool.submit(write, M.fact_rent_unchecked(cleaned.rents, dim), MODEL_TABLES["fact_rent"])
+        rent = pool.submit(rent_chain)
         bridge_u, fhp_u = chain.result()
         unchecked = {
             "bridge_lad_region": bridge_u,

@@ -84,11 +84,15 @@ CLEANING_QUERIES: dict[str, Callable[[Housing], DataFrame]] = {
     "drop_blank_rows": lambda h: h.cleaned.rents_deleted,
     "remap_value": lambda h: h.cleaned.rents,
     "upper_trim": lambda h: h.cleaned.prices,
+    "widen_decimal": lambda h: C.widen_decimal(h.cleaned.earnings, ["Median_Annual_Earnings"]),
+    # the rent fact as its reload after the label fix left it, before its NOT NULL rules
+    "reload_after_fix": lambda h: h.model.unchecked["fact_rent"],
 }
 
 INSIGHT_QUERIES: dict[str, Callable[[Housing], DataFrame]] = {
     name: (lambda fn: (lambda h: fn(h.model)))(fn) for name, fn in INSIGHTS.items()
 }
+INSIGHT_QUERIES["q7_price_rent_corr"] = lambda h: INSIGHTS["q7_price_rent_corr"](h.model, digits=6)
 INSIGHT_QUERIES["q10_national_trend"] = lambda h: q10_national_trend(h.model, h.trend_years)
 
 # The calendar dimension and its wrapper view are generated from two date parameters, not read

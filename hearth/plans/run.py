@@ -46,20 +46,26 @@ def main(argv=None) -> int:
     src.add_argument("--sf-dir", help="folder with the TPC-H-shaped test tables")
     ap.add_argument("--format", default="csv", help="format of the raw inputs (csv or parquet)")
     ap.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
-    ap.add_argument("--country", default="England")
-    ap.add_argument("--remap", action="append", default=[], help="LABEL=Canonical name (repeatable)")
-    ap.add_argument("--years", default="2023,2024", help="years of the national trend report")
+    ap.add_argument("--country", help="default: England; with --sf-dir, the test mapping's")
+    ap.add_argument("--remap", action="append", help="LABEL=Canonical name (repeatable); default: EAST=East of "
+                    "England, the source's label fix; with --sf-dir, the test mapping's")
+    ap.add_argument("--years", help="years of the national trend report; default: 2023,2024; with --sf-dir, the test mapping's")
     ap.add_argument("--query", action="append", help="only these queries (repeatable)")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("hearth").getOrCreate()
+    given = {}
+    if args.country is not None:
+        given["country"] = args.country
+    if args.remap is not None:
+        given["remap"] = {k.strip().upper(): v for k, v in (kv.split("=", 1) for kv in args.remap)}
+    if args.years is not None:
+        given["trend_years"] = tuple(int(y) for y in args.years.split(","))
     if args.sf_dir:
-        h = Housing(spark, args.sf_dir.rstrip("/"))
+        h = Housing(spark, args.sf_dir.rstrip("/"), **given)
     else:
-        remap = dict(kv.split("=", 1) for kv in args.remap)
-        years = tuple(int(y) for y in args.years.split(","))
-        h = Housing.from_raw(spark, read_raw_dir(spark, args.raw_dir, args.format), args.country,
-                             {k.strip().upper(): v for k, v in remap.items()}, years)
+        source = {"country": "England", "remap": {"EAST": "East of England"}, "trend_years": (2023, 2024)}
+        h = Housing.from_raw(spark, read_raw_dir(spark, args.raw_dir, args.format), **(source | given))
     for name in write_all(h, args.out, args.query):
         print(name)
     return 0

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from hearth.functions.measures import nullif_ratio
 from hearth.operators.joins import size_checked_broadcast
-from hearth.operators.levels import districts_by_name, measure_by_level, ratio_by_level
+from hearth.operators.levels import measure_by_level, ratio_by_level
 from hearth.plans.pipeline import Model
 
 
@@ -66,13 +66,13 @@ def vw_lad_price_ratios(m: Model) -> DataFrame:
     the broadcast limit.
     """
     bound = m.row_bound("fact_house_price")
-    lad = measure_by_level(m, "price", "lad")
+    lad = measure_by_level(m, "price", "lad", with_regions=True)
     region = measure_by_level(m, "price", "region")
     national = measure_by_level(m, "price", "national")
-    # same partitioning (by district) as the district means: the join below needs no shuffle
-    membership = districts_by_name(m.bridge).select("LADName", "RegionName").distinct()
+    # the district aggregate carries its regions' names: the bridge is read and dealt once (a NULL
+    # district name matches nothing, as in the source's IN)
     j = (
-        lad.join(membership, "LADName")
+        lad.where("LADName IS NOT NULL").withColumn("RegionName", F.explode("RegionNames"))
         .join(size_checked_broadcast(region, bound), ["YearMonth", "RegionName"])
         .join(size_checked_broadcast(national, bound), "YearMonth")
     )

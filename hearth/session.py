@@ -9,6 +9,7 @@ set only when the session has none, as in tests.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -37,18 +38,18 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised tables.
 
-    Read from the session (``spark.checkpoint.dir``, else the context's checkpoint dir). Only
-    when neither is set (local tests) a temporary folder is created and registered with
+    Read from the session (``spark.checkpoint.dir``, else the context's checkpoint dir). When
+    neither is set, a local master (tests) gets a temporary folder, registered with
     ``SparkContext.setCheckpointDir`` (``spark.checkpoint.dir`` itself cannot be changed at
-    runtime).
+    runtime); on a cluster that is an error, because other machines would not see it.
     """
     d = spark.conf.get(CHECKPOINT_CONF, None)
     sc = _context(spark)
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
-        if sc is None:
-            raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder")
+        if sc is None or not re.match(r"local(\[|$)", sc.master or ""):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="hearth-ckpt-")
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)

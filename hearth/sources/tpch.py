@@ -27,7 +27,6 @@ from hearth.functions.measures import MONEY, exact_mean
 
 # Fixed values of the test mapping.
 COUNTRY = "EUROPE"                      # plays the role of the source's 'ENGLAND' filter
-RENT_FIRST_YEAR = 1997                  # rents start later than prices, so outer/inner joins differ
 RENT_DIVISOR = 20                       # monthly rent = yearly mean line price / 20
 REMAP = {"N18": "NATION_18"}            # label fix applied after the first rent load
 TREND_YEARS = (1996, 1997, 1998)        # years of the national trend report
@@ -36,7 +35,8 @@ TREND_YEARS = (1996, 1997, 1998)        # years of the national trend report
 MONEY_FAIL_MOD = 7                      # n_nationkey % 7 = 0 -> money text 'n/a'
 BLANK_NATION = 24                       # rent rows of this nation become ('', ' ', NULL)
 RENAMED_NATION, RENAMED_LABEL = "NATION_18", "n18"
-DROPPED_RENT_NATION = "NATION_23"
+UNLISTED_NATION, UNLISTED_LABEL = "NATION_23", "Unlisted"  # rent label that matches no region
+NO_RENT_BEFORE = 1997                   # earlier rent medians are text that does not convert
 DUP_ORDER_MOD = 500                     # o_orderkey % 500 = 0 -> price row appears twice
 NULL_PRICE_MOD = 777                    # o_orderkey % 777 = 0 -> NULL price
 BLANK_NAME_MOD = 778                    # o_orderkey % 778 = 0 -> blank district name
@@ -126,22 +126,21 @@ def nation_year_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rents(means: DataFrame, dirty: bool = True) -> DataFrame:
     y, key, name = F.col("y"), F.col("n_nationkey"), F.col("n_name")
-    r = means.filter(y >= RENT_FIRST_YEAR)
     label = F.concat(F.lit("Apr "), (y - 1).cast("string"), F.lit(" to Mar "), y.cast("string"))
     median = F.concat(F.lit(" "), F.format_number(F.floor(F.col("mean_price") / RENT_DIVISOR), 0))
     region = name
     if dirty:
-        r = r.filter(name != DROPPED_RENT_NATION)
-        region = F.when(name == RENAMED_NATION, F.lit(RENAMED_LABEL)).otherwise(name)
+        region = F.when(name == RENAMED_NATION, F.lit(RENAMED_LABEL)).when(
+            name == UNLISTED_NATION, F.lit(UNLISTED_LABEL)).otherwise(name)
         label = F.when((key == BAD_PERIOD_NATION) & (y == BAD_PERIOD_YEAR), F.lit("unknown")).otherwise(label)
-        median = F.when(key % MONEY_FAIL_MOD == 0, F.lit("n/a")).otherwise(median)
+        median = F.when((key % MONEY_FAIL_MOD == 0) | (y < NO_RENT_BEFORE), F.lit("n/a")).otherwise(median)
     region = F.concat(F.lit("  "), region, F.lit(" "))
     if dirty:
         blank = key == BLANK_NATION
         region = F.when(blank, F.lit("")).otherwise(region)
         label = F.when(blank, F.lit(" ")).otherwise(label)
         median = F.when(blank, F.lit(None).cast("string")).otherwise(median)
-    return r.select(
+    return means.select(
         region.alias("Region"),
         label.alias("PeriodLabel"),
         median.alias("Median"),

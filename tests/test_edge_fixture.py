@@ -14,17 +14,18 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from hearth.plans.registry import QUERIES
 from hearth.sources import tpch
+from oracle import oracle_sql
 
 
 def _fixture(root, seed: int = 7, order_span=(dt.datetime(1993, 6, 1), dt.datetime(2026, 12, 31)),
              ship_days: int = 3300) -> str:
     rng = np.random.RandomState(seed)
     region = pd.DataFrame({"r_regionkey": np.arange(5, dtype="int32"),
-                           "r_name": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]})
+                           "r_name": ["AFRICA", "AMERICA", "ASIA", "Europe  ", "MIDDLE EAST"]})
     nation_names = [f"NATION_{i}" for i in range(25)]
-    nation_names[23] = "NATION_8"          # two regions with one name (non-unique dimension names)
+    nation_names[23] = "Nation_8  "        # two regions with one name, but for case and trailing spaces
     nation_names[13] = " nation_13 "       # padded, lower case
     nation_names[6] = None                 # missing name
     nation = pd.DataFrame({"n_nationkey": np.arange(25, dtype="int32"), "n_name": nation_names,
@@ -93,7 +94,7 @@ def _mismatches(spark, data_dir):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{data_dir}/{t}.parquet')")
     sql = oracle_sql()
     bad, nonempty = [], set()
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         sdf = fn(spark, data_dir)
         srows = [tuple(r) for r in sdf.collect()]
         cur = con.execute(sql[name])
@@ -107,7 +108,7 @@ def _mismatches(spark, data_dir):
 
 
 def test_every_query_matches_oracle_when_facts_do_not_meet(spark, tmp_path):
-    """No rents at all (line items end before the first rent year), prices in years without
+    """No rents at all (all medians before the first rent year fail to convert), prices in years without
     earnings, and a region of the dimension without a name: the year-aligned joins and the rent
     facts are empty on both sides."""
     d = _fixture(tmp_path, seed=3, order_span=(dt.datetime(2010, 1, 1), dt.datetime(2012, 12, 31)), ship_days=900)
@@ -125,8 +126,8 @@ def test_every_query_matches_oracle_on_edge_fixture(spark, edge_dir):
     assert bad == []
     # the awkward cases really occur
     assert {"dq_price_no_date", "dq_price_null_month", "dq_price_missing_fields", "dq_region_dup_name"} <= nonempty
-    dup_keys = {r["table_name"]: r["duplicate_keys"] for r in queries()["dq_unique_keys"](spark, edge_dir).collect()}
+    dup_keys = {r["table_name"]: r["duplicate_keys"] for r in QUERIES["dq_unique_keys"](spark, edge_dir).collect()}
     nulls = {(r["table_name"], r["column_name"]): r["null_rows"]
-             for r in queries()["dq_not_null"](spark, edge_dir).collect()}
+             for r in QUERIES["dq_not_null"](spark, edge_dir).collect()}
     assert nulls[("fact_house_price", "AveragePrice")] > 0      # all-NULL region-months
     assert dup_keys["bridge_lad_region.name"] > 0 and dup_keys["fact_earnings"] > 0

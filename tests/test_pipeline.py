@@ -10,12 +10,13 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from hearth.plans.registry import QUERIES
+from oracle import oracle_sql
 from conftest import SF_SMALL, rows
 
 sys_tools = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools")
 
-QUERIES = queries()
 ORACLE = oracle_sql()
 
 
@@ -222,3 +223,53 @@ def test_batch_job_over_raw_csv_files(spark, tmp_path):
     for name in ("q10_national_trend", "dq_rent_unmatched_regions"):
         got = sorted((tuple(r.values()) for r in pq.read_table(f"{out}/{name}").to_pylist()), key=none_safe)
         assert got == sorted((tuple(r) for r in q(spark, name).collect()), key=none_safe), name
+
+
+SF_LARGER = "/root/testdata/sf0.1"
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n.startswith("vw_lad_")))
+def test_district_fan_out_is_spread(spark, name):
+    """The fan-out's partitions follow its rows, not the bridge's few bytes."""
+    df = QUERIES[name](spark, SF_LARGER)
+    assert df.rdd.getNumPartitions() > 1
+
+
+def test_price_ratios_deal_the_bridge_once(spark):
+    text = plan_text(q(spark, "vw_lad_price_ratios"))
+    assert len({ln for ln in text.splitlines() if "REPARTITION_BY_NUM" in ln and "LADName" in ln}) == 1
+
+
+def _exchanges(text):
+    return [ln for ln in text.splitlines() if "hashpartitioning(" in ln]
+
+
+def test_house_prices_are_shuffled_once(spark):
+    """A lookup of checked size is joined map-side: the prices' only exchange carries sums per month
+    and region. Beyond the limit both sides shuffle by district; the results are equal."""
+    from hearth.operators import model as M
+    from hearth.plans.context import housing
+
+    h = housing(spark, SF_SMALL)
+    m, prices = h.model, h.cleaned.prices
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        one = M.fact_house_price(prices, m.bridge, m.dim_region, m.bridge.count(), m.dim_region.count())
+        by = _exchanges(plan_text(one))
+        assert not any("_dk" in ln and "YearMonth" in ln for ln in by) and sum("YearMonth" in ln for ln in by) == 1
+        two = M.fact_house_price(prices, m.bridge, m.dim_region)
+        text = plan_text(two)
+        assert "SortMergeJoin" in text and any("YearMonth" in ln and "_dk" in ln for ln in _exchanges(text))
+        assert rows(one) == rows(two)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_correlation_has_full_precision(spark):
+    from hearth.plans.context import housing
+    from hearth.plans.insights import q7_price_rent_corr
+
+    full = dict(rows(q7_price_rent_corr(housing(spark, SF_SMALL).model)))
+    short = dict(rows(q(spark, "q7_price_rent_corr")))
+    assert {k: None if v is None else round(v, 6) for k, v in full.items()} == short
+    assert any(v is not None and round(v, 6) != v for v in full.values())

@@ -7,7 +7,10 @@ import subprocess
 import sys
 import textwrap
 
+import pytest
+
 from conftest import ROOT
+from hearth.session import shared_dir
 
 SCRIPT = textwrap.dedent("""
     import sys
@@ -43,6 +46,34 @@ def test_configured_folder_is_used(tmp_path):
     assert got["CTX"].startswith("file:" + shared)
 
 
+@pytest.mark.parametrize("master,local", [("local", True), ("local[4]", True), ("local[*, 3]", True),
+                                          ("local-cluster[2,1,512]", False), ("spark://host:7077", False), ("yarn", False)])
+def test_a_cluster_without_a_shared_folder_is_an_error(master, local, monkeypatch):
+    made = []
+
+    class Context:
+        def getCheckpointDir(self):
+            return made[0] if made else None
+
+        def setCheckpointDir(self, d):
+            made.append(d)
+
+    context = Context()
+    context.master = master
+
+    class Session:
+        sparkContext = context
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    if local:
+        assert shared_dir(Session) == made[0]
+    else:
+        with pytest.raises(RuntimeError, match="share"):
+            shared_dir(Session)
+
+
 def test_folder_is_registered_only_when_unset(tmp_path):
     got = _run(tmp_path, None)
     assert "hearth-ckpt-" in got["DIR"]
