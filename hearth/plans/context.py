@@ -1,33 +1,44 @@
 """A housing workspace over one input folder: raw inputs, cleaned inputs and the materialised
-model, built once per Spark application and shared by every query."""
+model. Each import and each model table is written when a query first needs it, once, and shared by
+every query of the Spark application."""
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import threading
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import cached_property, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from hearth.operators import model as M
-from hearth.plans.pipeline import CleanedInputs, Model, build_model, clean_inputs, materialized_model
-from hearth.session import app_id, new_run_dir
+from hearth.plans.pipeline import CleanedInputs, Lazily, Model, WrittenModel, build_model, clean_inputs
+from hearth.session import app_id, file_state, new_run_dir, remove_folder
 from hearth.sources import tpch
 from hearth.sources.files import write_table
 from hearth.sources.tpch import RawInputs
 
 
-def _once(fn):
-    """``cached_property`` that is built by one thread only when queries run concurrently."""
+class ImportedRaw:
+    """The five raw inputs mapped from the test tables, each imported (written to the shared folder)
+    when first asked for. Line items are summarised once for rents and earnings."""
 
-    @wraps(fn)
-    def get(self):
-        with self._build_lock:
-            return fn(self)
+    def __init__(self, spark: SparkSession, sf_dir: str, dirty: bool, path: str):
+        plans = {
+            "regions": lambda: tpch.regions(spark, sf_dir),
+            "lad": lambda: tpch.lad_lookup(spark, sf_dir, dirty),
+            "prices": lambda: tpch.prices(spark, sf_dir, dirty),
+            "means": lambda: tpch.nation_year_means(spark, sf_dir),
+            "rents": lambda: tpch.rents(self._written["means"], dirty),
+            "earnings": lambda: tpch.earnings(self._written["means"], dirty),
+        }
+        self._written = Lazily({n: (lambda n, p: lambda: write_table(spark, p(), f"{path}/{n}"))(n, p) for n, p in plans.items()})
 
-    return cached_property(get)
+    def __getattr__(self, name: str) -> DataFrame:
+        if name in ("regions", "lad", "prices", "rents", "earnings"):
+            return self._written[name]
+        raise AttributeError(name)
 
 
 @dataclass
@@ -45,7 +56,6 @@ class Housing:
     trend_years: Sequence[int] = tpch.TREND_YEARS
     dirty: bool = True
     materialize: bool = True
-    _build_lock: threading.RLock = field(default_factory=threading.RLock, repr=False, compare=False)
     _given_raw: RawInputs | None = field(default=None, repr=False, compare=False)
 
     @classmethod
@@ -58,65 +68,74 @@ class Housing:
         """
         return cls(spark, None, country, dict(remap or {}), trend_years, materialize=materialize, _given_raw=raw)
 
-    @cached_property
-    def run_dir(self) -> str:
-        return new_run_dir(self.spark, "housing")
+    def __post_init__(self):
+        # everything this workspace writes; fixed before any thread uses it
+        self.run_dir = new_run_dir(self.spark, "housing") if self.materialize else None
+        self._parts = Lazily({"raw": self._raw, "cleaned": lambda: clean_inputs(self.raw, self.remap), "model": self._model})
 
-    @_once
-    def raw(self) -> RawInputs:
-        """The five raw inputs. When materialising, they are imported once — written to the
-        shared folder by concurrent jobs — so the orders x customers mapping runs a single time
-        and the checks on raw rows and the model build all read the imported tables."""
+    def _raw(self) -> RawInputs | ImportedRaw:
         if self._given_raw is not None:
             return self._given_raw
-        if not self.materialize:
-            return tpch.raw_inputs(self.spark, self.sf_dir, self.dirty)
-        spark, sf, dirty = self.spark, self.sf_dir, self.dirty
-
-        def imp(df: DataFrame, name: str) -> DataFrame:
-            return write_table(spark, df, f"{self.run_dir}/import/{name}")
-
-        def yearly() -> tuple[DataFrame, DataFrame]:
-            # one line-item summary (nations x years rows) feeds both rents and earnings
-            means = imp(tpch.nation_year_means(spark, sf), "nation_year_means")
-            with ThreadPoolExecutor(max_workers=2) as inner:
-                rents = inner.submit(imp, tpch.rents(means, dirty), "rents")
-                earnings = inner.submit(imp, tpch.earnings(means, dirty), "earnings")
-                return rents.result(), earnings.result()
-
-        with ThreadPoolExecutor(max_workers=4) as pool:
-            prices = pool.submit(imp, tpch.prices(spark, sf, dirty), "district_prices")
-            lad = pool.submit(imp, tpch.lad_lookup(spark, sf, dirty), "district_region_lookup")
-            regions = pool.submit(imp, tpch.regions(spark, sf), "regions")
-            rents, earnings = pool.submit(yearly).result()
-            return RawInputs(regions=regions.result(), lad=lad.result(), prices=prices.result(), rents=rents,
-                             earnings=earnings)
-
-    @_once
-    def cleaned(self) -> CleanedInputs:
-        return clean_inputs(self.raw, self.remap)
+        if self.materialize:
+            return ImportedRaw(self.spark, self.sf_dir, self.dirty, f"{self.run_dir}/import")
+        return tpch.raw_inputs(self.spark, self.sf_dir, self.dirty)
 
-    @_once
-    def model(self) -> Model:
+    def _model(self) -> Model | WrittenModel:
         if self.materialize:
-            return materialized_model(self.spark, self.cleaned, self.country, path=f"{self.run_dir}/model")
+            return WrittenModel(self.spark, self.cleaned, self.country, path=f"{self.run_dir}/model")
         return build_model(self.spark, self.cleaned, self.country)
 
-    @_once
+    @property
+    def raw(self) -> RawInputs | ImportedRaw:
+        return self._parts["raw"]
+
+    @property
+    def cleaned(self) -> CleanedInputs:
+        return self._parts["cleaned"]
+
+    @property
+    def model(self) -> Model | WrittenModel:
+        return self._parts["model"]
+
+    @property
     def fact_rent_before_fix(self) -> DataFrame:
         """Rent fact as first loaded, before the label fix (what the gap checks inspect)."""
         return M.fact_rent(self.cleaned.rents_unfixed, self.model.dim_region)
 
+    def close(self) -> None:
+        """Remove the folder of this workspace; its tables cannot be read afterwards."""
+        if self.run_dir:
+            remove_folder(self.spark, self.run_dir)
 
-_CACHE: dict[tuple[str, str], Housing] = {}
+    def __enter__(self) -> Housing:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+
+_CACHE: dict[tuple, Housing] = {}
 _LOCK = threading.Lock()
+_TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem")
+
+
+def _close_all() -> None:
+    for h in _CACHE.values():
+        with contextlib.suppress(Exception):  # the session may have ended before
+            h.close()
+    _CACHE.clear()
 
 
 def housing(spark: SparkSession, sf_dir: str) -> Housing:
-    """The workspace for ``sf_dir`` in this Spark application (built on first use)."""
-    key = (app_id(spark), sf_dir.rstrip("/"))
+    """The workspace for ``sf_dir`` in this Spark application, made on first use and again when an
+    input file has changed. Its folder is removed when the application ends (an earlier one stays
+    until then: results made from it may still be read)."""
+    sf_dir = sf_dir.rstrip("/")
+    key = (app_id(spark), sf_dir, tuple(file_state(spark, f"{sf_dir}/{t}.parquet") for t in _TABLES))
     with _LOCK:
         h = _CACHE.get(key)
         if h is None:
-            h = _CACHE[key] = Housing(spark, sf_dir.rstrip("/"))
+            if not _CACHE:
+                atexit.register(_close_all)
+            h = _CACHE[key] = Housing(spark, sf_dir)
         return h

@@ -1,6 +1,6 @@
 """End-to-end pipeline: raw inputs -> cleaned inputs -> star schema -> materialised tables.
 
-Every model table is written once as Parquet under the shared folder
+Every model table that is asked for is written once as Parquet under the shared folder
 (``spark.checkpoint.dir``) and read back, so the insight queries and views share the facts
 instead of re-scanning the raw inputs, lineage is cut at the model boundary, and a lost
 executor recomputes at most one table-writing stage.
@@ -9,8 +9,7 @@ executor recomputes at most one table-writing stage.
 from __future__ import annotations
 
 import threading
-from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,70 +21,78 @@ from hearth.sources.files import write_table
 from hearth.sources.tpch import RawInputs
 
 
-@dataclass(frozen=True)
-class CleanedInputs:
-    regions: DataFrame
-    lad: DataFrame
-    prices_raw: DataFrame          # as imported
-    prices: DataFrame              # district names standardised
-    earnings_int: DataFrame        # + Median_Annual_Earnings_int
-    earnings: DataFrame            # cleaned column swapped in
-    rents_trimmed_cols: DataFrame  # throwaway columns dropped
-    rents_int: DataFrame           # + Median_int
-    rents_blank_null: DataFrame    # Region / PeriodLabel trimmed, '' -> NULL
-    rents_deleted: DataFrame       # all-blank rows deleted
-    rents_unfixed: DataFrame       # Median_int swapped in (before the label fix)
-    rents: DataFrame               # label fix applied
-
-
 RENT_REQUIRED = ("Median_int", "Region", "PeriodLabel")
 
 
-def clean_inputs(raw: RawInputs, remap: Mapping[str, str]) -> CleanedInputs:
-    earnings_int = C.add_clean_money_int(raw.earnings, "Median_Annual_Earnings")
-    earnings = C.swap_clean_column(earnings_int, "Median_Annual_Earnings", "Median_Annual_Earnings_int")
-
-    r0 = C.drop_columns(raw.rents, ["throwaway1", "throwaway2"])
-    r1 = C.add_clean_count_int(r0, "Median")
-    r2 = C.blank_to_null(r1, ["Region", "PeriodLabel"])
-    # delete all-blank rows *before* enforcing NOT NULL (the source does it the other way
-    # round, which cannot succeed)
-    r3 = C.drop_blank_rows(r2, ["Region", "PeriodLabel"], ["Median_int"])
-    r4 = C.swap_clean_column(r3, "Median", "Median_int")
-    r5 = C.remap_value(r4, "Region", remap)
-
-    return CleanedInputs(
-        regions=raw.regions,
-        lad=raw.lad,
-        prices_raw=raw.prices,
-        prices=C.upper_trim(raw.prices, "RegionName"),
-        earnings_int=earnings_int,
-        earnings=earnings,
-        rents_trimmed_cols=r0,
-        rents_int=r1,
-        rents_blank_null=r2,
-        rents_deleted=r3,
-        rents_unfixed=r4,
-        rents=r5,
-    )
-
-
-class RowCounts:
-    """Row counts of written tables, each computed once on first request (answered from the
-    Parquet footers: no data pages are read)."""
+class CleanedInputs:
+    """The cleaning steps of the raw inputs. Each is planned when first asked for, so a query that
+    needs one input does not import the others."""
+
+    def __init__(self, raw: RawInputs, remap: Mapping[str, str]):
+        self._raw, self._remap = raw, remap
+
+    @property
+    def regions(self) -> DataFrame:
+        return self._raw.regions
+
+    @property
+    def lad(self) -> DataFrame:
+        return self._raw.lad
+
+    @property
+    def prices_raw(self) -> DataFrame:
+        """Prices as imported."""
+        return self._raw.prices
+
+    @property
+    def prices(self) -> DataFrame:
+        """District names standardised."""
+        return C.upper_trim(self._raw.prices, "RegionName")
+
+    @property
+    def earnings_int(self) -> DataFrame:
+        """Earnings with Median_Annual_Earnings_int."""
+        return C.add_clean_money_int(self._raw.earnings, "Median_Annual_Earnings")
+
+    @property
+    def earnings(self) -> DataFrame:
+        """Cleaned column swapped in."""
+        return C.swap_clean_column(self.earnings_int, "Median_Annual_Earnings", "Median_Annual_Earnings_int")
+
+    @property
+    def rents_trimmed_cols(self) -> DataFrame:
+        """Throwaway columns dropped."""
+        return C.drop_columns(self._raw.rents, ["throwaway1", "throwaway2"])
+
+    @property
+    def rents_int(self) -> DataFrame:
+        """Rents with Median_int."""
+        return C.add_clean_count_int(self.rents_trimmed_cols, "Median")
+
+    @property
+    def rents_blank_null(self) -> DataFrame:
+        """Region and PeriodLabel trimmed, blanks NULL."""
+        return C.blank_to_null(self.rents_int, ["Region", "PeriodLabel"])
+
+    @property
+    def rents_deleted(self) -> DataFrame:
+        """All-blank rows deleted - before NOT NULL is enforced (the source does it the other way
+        round, which cannot succeed)."""
+        return C.drop_blank_rows(self.rents_blank_null, ["Region", "PeriodLabel"], ["Median_int"])
+
+    @property
+    def rents_unfixed(self) -> DataFrame:
+        """Median_int swapped in, before the label fix."""
+        return C.swap_clean_column(self.rents_deleted, "Median", "Median_int")
+
+    @property
+    def rents(self) -> DataFrame:
+        """Label fix applied."""
+        return C.remap_value(self.rents_unfixed, "Region", self._remap)
 
-    def __init__(self, tables: Mapping[str, DataFrame]):
-        self._tables = dict(tables)
-        self._counts: dict[str, int] = {}
-        self._lock = threading.Lock()
 
-    def get(self, table: str) -> int | None:
-        if table not in self._tables:
-            return None
-        with self._lock:
-            if table not in self._counts:
-                self._counts[table] = self._tables[table].count()
-            return self._counts[table]
+def clean_inputs(raw: RawInputs, remap: Mapping[str, str]) -> CleanedInputs:
+    return CleanedInputs(raw, remap)
 
 
 @dataclass(frozen=True)
@@ -98,22 +105,16 @@ class Model:
     fact_house_price: DataFrame
     # the same tables before their NOT NULL rules (what the constraint checks inspect)
     unchecked: Mapping[str, DataFrame] = field(default_factory=dict)
-    # row counts of the written tables (upper bounds of the enforced tables), counted on first
-    # use; empty when the model is lazy. Used to decide broadcasts of data-derived sides.
-    rows: RowCounts | None = None
+    # ``rows(table)``: row count of a written table (an upper bound of the enforced one), counted on
+    # first use from the Parquet footers; None when the model is lazy. Decides broadcast hints.
+    rows: Callable[[str], int] | None = None
 
     def row_bound(self, table: str) -> int | None:
-        return self.rows.get(table) if self.rows is not None else None
+        return self.rows(table) if self.rows is not None else None
 
 
-MODEL_TABLES = {
-    "dim_region": "dim_region",
-    "dim_date": "dim_date",
-    "bridge": "bridge_lad_region",
-    "fact_earnings": "fact_earnings",
-    "fact_rent": "fact_rent",
-    "fact_house_price": "fact_house_price",
-}
+#: The model's tables, in an order in which each needs earlier ones only.
+MODEL_TABLES = ("dim_region", "dim_date", "bridge_lad_region", "fact_earnings", "fact_rent", "fact_house_price")
 
 
 def build_model(
@@ -144,71 +145,80 @@ def build_model(
     )
 
 
-def materialized_model(
-    spark: SparkSession,
-    cleaned: CleanedInputs,
-    country: str = "ENGLAND",
-    date_start: str = M.DATE_START,
-    date_end: str = M.DATE_END,
-    path: str | None = None,
-    parallel_jobs: int = 4,
-) -> Model:
-    """Build and write the star schema stage by stage; later stages read the written earlier
-    ones (facts join the written ``dim_region`` and ``bridge``), so no table is recomputed and
-    each write is a lineage cut.
+class Lazily:
+    """Named values, each made once on first use; concurrent callers wait for a single making."""
+
+    def __init__(self, makers: Mapping[str, Callable[[], object]]):
+        self._makers, self._made = dict(makers), {}
+        self._locks = {name: threading.RLock() for name in makers}
+
+    def __getitem__(self, name: str):
+        with self._locks[name]:
+            if name not in self._made:
+                self._made[name] = self._makers[name]()
+            return self._made[name]
 
-    Each table is written once, *before* its NOT NULL rules; the model's table is the written
-    copy read through those rules (a filter that reaches the Parquet scan), so the constraint
-    checks inspect the written table instead of recomputing it from the raw inputs.
 
-    Tables that do not depend on each other are written by concurrent Spark jobs (the date
-    dimension, the two small facts, and the bridge -> house-price chain), so small jobs share
-    the cluster instead of queueing behind each other.
+class WrittenModel:
+    """The star schema, each table written when first asked for, with the tables it needs; later
+    tables read the written earlier ones (facts join the written ``dim_region`` and ``bridge``), so
+    no table is recomputed and each write is a lineage cut.
+
+    Each table is written once, *before* its NOT NULL rules; the model's table is the written copy
+    read through those rules (a filter that reaches the Parquet scan), so the constraint checks
+    inspect the written table instead of recomputing it from the raw inputs. The rent fact is loaded
+    first as imported, then emptied and loaded again after the label fix.
     """
-    root = path or new_run_dir(spark, "model")
-
-    written: dict[str, DataFrame] = {}
-
-    def write(df: DataFrame, name: str) -> DataFrame:
-        written[name] = write_table(spark, df, f"{root}/{name}")
-        return written[name]
-
-    def prices_chain() -> tuple[DataFrame, DataFrame]:
-        bridge_u = write(M.bridge_lad_region_unchecked(cleaned.lad, dim), MODEL_TABLES["bridge"])
-        bridge = M.enforce(bridge_u, "bridge_lad_region")
-        # the written bridge's row count bounds the district side of the price join
-        fhp_u = write(M.fact_house_price_unchecked(cleaned.prices, bridge, dim, bridge_u.count(), dim.count()),
-                      MODEL_TABLES["fact_house_price"])
-        return bridge_u, fhp_u
-
-    def rent_chain() -> DataFrame:
-        # first load, then the label fix: the table is emptied and loaded again
-        name = MODEL_TABLES["fact_rent"]
-        write(M.fact_rent_unchecked(cleaned.rents_unfixed, dim), name)
-        written[name] = C.reload_after_fix(f"{root}/{name}", M.fact_rent_unchecked(cleaned.rents, dim))
-        return written[name]
-
-    with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
-        # the calendar needs nothing else; everything below needs the written region dimension
-        dates = pool.submit(write, M.dim_date(spark, date_start, date_end), MODEL_TABLES["dim_date"])
-        dim = write(M.dim_region(cleaned.regions, country), MODEL_TABLES["dim_region"])
-        chain = pool.submit(prices_chain)
-        earnings = pool.submit(write, M.fact_earnings_unchecked(cleaned.earnings, dim), MODEL_TABLES["fact_earnings"])
-        rent = pool.submit(rent_chain)
-        bridge_u, fhp_u = chain.result()
-        unchecked = {
-            "bridge_lad_region": bridge_u,
-            "fact_earnings": earnings.result(),
-            "fact_rent": rent.result(),
-            "fact_house_price": fhp_u,
+
+    def __init__(self, spark: SparkSession, cleaned: CleanedInputs, country: str = "ENGLAND",
+                 date_start: str = M.DATE_START, date_end: str = M.DATE_END, path: str | None = None):
+        self._spark, self._root = spark, path or new_run_dir(spark, "model")
+
+        def rent() -> DataFrame:
+            self._write("fact_rent", M.fact_rent_unchecked(cleaned.rents_unfixed, self.dim_region))
+            return C.reload_after_fix(f"{self._root}/fact_rent", M.fact_rent_unchecked(cleaned.rents, self.dim_region))
+
+        plans = {
+            "dim_region": lambda: M.dim_region(cleaned.regions, country),
+            "dim_date": lambda: M.dim_date(spark, date_start, date_end),
+            "bridge_lad_region": lambda: M.bridge_lad_region_unchecked(cleaned.lad, self.dim_region),
+            "fact_earnings": lambda: M.fact_earnings_unchecked(cleaned.earnings, self.dim_region),
+            "fact_house_price": lambda: M.fact_house_price_unchecked(
+                cleaned.prices, self.bridge, self.dim_region, self.rows("bridge_lad_region"), self.rows("dim_region")),
         }
-    return Model(
-        dim_region=dim,
-        dim_date=dates.result(),
-        bridge=M.enforce(bridge_u, "bridge_lad_region"),
-        fact_earnings=M.enforce(unchecked["fact_earnings"], "fact_earnings"),
-        fact_rent=M.enforce(unchecked["fact_rent"], "fact_rent"),
-        fact_house_price=M.enforce(fhp_u, "fact_house_price"),
-        unchecked=unchecked,
-        rows=RowCounts(written),
-    )
+        self.unchecked = Lazily({name: (lambda n, p: lambda: self._write(n, p()))(name, plan) for name, plan in plans.items()}
+                                | {"fact_rent": rent})
+        self._counts = Lazily({name: (lambda n: lambda: self.unchecked[n].count())(name) for name in (*plans, "fact_rent")})
+
+    def _write(self, name: str, df: DataFrame) -> DataFrame:
+        return write_table(self._spark, df, f"{self._root}/{name}")
+
+    def rows(self, table: str) -> int:
+        """Row count of a written table, from the Parquet footers, once."""
+        return self._counts[table]
+
+    row_bound = rows
+
+    @property
+    def dim_region(self) -> DataFrame:
+        return self.unchecked["dim_region"]
+
+    @property
+    def dim_date(self) -> DataFrame:
+        return self.unchecked["dim_date"]
+
+    @property
+    def bridge(self) -> DataFrame:
+        return M.enforce(self.unchecked["bridge_lad_region"], "bridge_lad_region")
+
+    @property
+    def fact_earnings(self) -> DataFrame:
+        return M.enforce(self.unchecked["fact_earnings"], "fact_earnings")
+
+    @property
+    def fact_rent(self) -> DataFrame:
+        return M.enforce(self.unchecked["fact_rent"], "fact_rent")
+
+    @property
+    def fact_house_price(self) -> DataFrame:
+        return M.enforce(self.unchecked["fact_house_price"], "fact_house_price")

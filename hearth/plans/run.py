@@ -66,8 +66,9 @@ def main(argv=None) -> int:
     else:
         source = {"country": "England", "remap": {"EAST": "East of England"}, "trend_years": (2023, 2024)}
         h = Housing.from_raw(spark, read_raw_dir(spark, args.raw_dir, args.format), **(source | given))
-    for name in write_all(h, args.out, args.query):
-        print(name)
+    with h:
+        for name in write_all(h, args.out, args.query):
+            print(name)
     return 0
 
 

@@ -73,3 +73,30 @@ def app_id(spark: SparkSession) -> str:
 def new_run_dir(spark: SparkSession, prefix: str = "model") -> str:
     """A fresh sub-folder of the shared folder for one materialisation run."""
     return f"{shared_dir(spark)}/hearth-{prefix}-{uuid.uuid4().hex[:12]}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path) of a folder or file, wherever Spark can read it."""
+    sc = _context(spark)
+    if sc is None:
+        return None, None
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this application wrote under the shared folder."""
+    if not path.startswith(shared_dir(spark) + "/hearth-"):
+        raise ValueError(f"{path} is not a folder of this library")
+    fs, p = _file_system(spark, path)
+    if fs is not None:
+        fs.delete(p, True)
+
+
+def file_state(spark: SparkSession, path: str) -> tuple:
+    """Sizes and modification times of a table's files; changes when the table does."""
+    fs, p = _file_system(spark, path)
+    if fs is None or not fs.exists(p):
+        return ()
+    files = fs.listStatus(p)
+    return tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files))

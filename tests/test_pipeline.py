@@ -236,7 +236,7 @@ def test_district_fan_out_is_spread(spark, name):
 
 
 def test_price_ratios_deal_the_bridge_once(spark):
-    text = plan_text(q(spark, "vw_lad_price_ratios"))
+    text = plan_text(QUERIES["vw_lad_price_ratios"](spark, SF_LARGER))
     assert len({ln for ln in text.splitlines() if "REPARTITION_BY_NUM" in ln and "LADName" in ln}) == 1
 
 
@@ -273,3 +273,47 @@ def test_correlation_has_full_precision(spark):
     short = dict(rows(q(spark, "q7_price_rent_corr")))
     assert {k: None if v is None else round(v, 6) for k, v in full.items()} == short
     assert any(v is not None and round(v, 6) != v for v in full.values())
+
+
+def test_only_what_a_query_needs_is_written(spark, tmp_path):
+    import os
+
+    from hearth.plans.context import Housing
+    from hearth.plans.registry import run_query
+
+    with Housing(spark, SF_SMALL) as h:
+        run_query(h, "dq_lad_total_rows").collect()
+        assert sorted(os.listdir(f"{h.run_dir}/import")) == ["lad"] and not os.path.exists(f"{h.run_dir}/model")
+        run_query(h, "fact_earnings").collect()
+        assert sorted(os.listdir(f"{h.run_dir}/model")) == ["dim_region", "fact_earnings"]
+        assert "prices" not in os.listdir(f"{h.run_dir}/import")
+    assert not os.path.exists(h.run_dir)
+
+
+def test_a_changed_input_file_gives_a_new_workspace(spark, tmp_path):
+    import os
+    import shutil
+
+    from hearth.plans.context import housing
+
+    for t in ("region", "nation", "customer", "supplier", "orders", "lineitem"):
+        shutil.copyfile(f"{SF_SMALL}/{t}.parquet", tmp_path / f"{t}.parquet")
+    first = housing(spark, str(tmp_path))
+    assert housing(spark, f"{tmp_path}/") is first
+    os.utime(tmp_path / "orders.parquet", (1, 1))
+    assert housing(spark, str(tmp_path)) is not first
+
+
+def test_concurrent_queries_write_each_table_once(spark, monkeypatch):
+    from concurrent.futures import ThreadPoolExecutor
+
+    import hearth.plans.pipeline as pipeline
+    from hearth.plans.context import Housing
+    from hearth.plans.registry import run_query
+
+    written = []
+    write = pipeline.write_table
+    monkeypatch.setattr(pipeline, "write_table", lambda s, df, path: written.append(path) or write(s, df, path))
+    with Housing(spark, SF_SMALL) as h, ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda n: run_query(h, n).count(), ["fact_rent", "fact_earnings", "bridge_lad_region", "dim_region"] * 2))
+        assert len(written) == len(set(written))
