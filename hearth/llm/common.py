@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import hashlib
+import pickle
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +28,37 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Remote:
+    """An object that was made in a task. The driver holds it pickled only; a worker unpickles it
+    once (``value``)."""
+
+    _seen: dict[str, object] = {}
+
+    def __init__(self, spark: SparkSession, data: bytes):
+        self._data, self._key = spark.sparkContext.broadcast(data), hashlib.sha256(data).hexdigest()
+
+    @property
+    def value(self):
+        if self._key not in Remote._seen:
+            Remote._seen.clear()  # one at a time: models are large
+            Remote._seen[self._key] = pickle.loads(self._data.value)
+        return Remote._seen[self._key]
+
+
+def made_in_task(rows: DataFrame, make: Callable[[pd.DataFrame], object]) -> Remote | None:
+    """``make`` of all ``rows`` - a sample whose bound the caller states - run in one task, so that
+    neither the rows nor what is made of them take the driver's memory. None if it makes None."""
+
+    def once(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = list(frames)
+        made = make(pd.concat(own, ignore_index=True)) if own else None
+        yield pd.DataFrame({"made": [pickle.dumps(made, protocol=5)]})
+
+    got = [r.made for r in rows.repartition(1).mapInPandas(once, "made binary").collect()]
+    data = bytes(got[0]) if got else b""
+    return None if not data or data == pickle.dumps(None, protocol=5) else Remote(rows.sparkSession, data)
+
+
 def free(columns: Sequence[str], name: str) -> str:
     """``name``, with underscores in front until no column has it (columns of the caller that share
     an operator's names are carried along untouched)."""

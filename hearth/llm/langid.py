@@ -25,11 +25,12 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hearth.llm.common import col, free, table
+from hearth.llm.common import Remote, col, free, made_in_task, table
 
 #: n-gram lengths of the blend, and cells they are hashed to.
 ORDERS = (1, 2, 3, 4)
@@ -142,24 +143,31 @@ def held_out(column="doc_id"):
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES) -> Model:
-    """A model from a bounded sample of ``labelled`` (doc_id, text, lang). The sample's ids are
-    chosen without the texts; a language's candidates are thinned before they are ranked."""
+def _train_frame(rows: pd.DataFrame) -> Model | None:
+    rows = rows.sort_values(["lang", "h", "doc_id", "text"])
+    return train(rows["text"].tolist(), rows["lang"].tolist()) if len(rows) else None
+
+
+def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES) -> Remote | None:
+    """A model from a bounded sample of ``labelled`` (doc_id, text, lang), fitted in one task; None
+    without a row. The sample's ids are chosen without the texts; a language's candidates are
+    thinned before they are ranked."""
     counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
     # a share of each language's rows that holds per_language of them many times over
     keyed = labelled.join(F.broadcast(counts), "lang").withColumn("h", F.xxhash64("doc_id", F.lit("lang")))
     thin = keyed.where("pmod(h, 1000003) / 1000003D <= " + f"{8.0 * per_language} / n").select("lang", "h", "doc_id")
     ranked = thin.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(f"r <= {per_language}")
     ids = ranked.select("doc_id").distinct()
-    rows = keyed.join(F.broadcast(ids), "doc_id", "left_semi").select("lang", "h", "doc_id", "text").collect()
-    rows.sort(key=lambda r: (r.lang, r.h, r.doc_id, r.text))
-    return train([r.text for r in rows], [r.lang for r in rows])
+    rows = keyed.join(F.broadcast(ids), "doc_id", "left_semi").select("lang", "h", "doc_id", "text")
+    return made_in_task(rows, _train_frame)
 
 
-def identify(docs: DataFrame, model: Model, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
+def identify(docs: DataFrame, model: Model | Remote | None, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
     """The columns ``carry``, ``lang_pred`` and ``score`` (under free names) of every document."""
     lang_name, score_name = free(carry, "lang_pred"), free(carry, "score")
-    told = docs.sparkSession.sparkContext.broadcast(model)
+    if model is None:
+        model = Model([], np.zeros((CELLS, 0), np.float32))
+    told = model if isinstance(model, Remote) else docs.sparkSession.sparkContext.broadcast(model)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -174,7 +182,7 @@ def identify(docs: DataFrame, model: Model, carry: Sequence[str] = ("doc_id",))
     return docs.select(*[col(c) for c in dict.fromkeys([*carry, "text"])]).mapInArrow(each, schema)
 
 
-def fit_documents(docs: DataFrame, **limits) -> Model:
+def fit_documents(docs: DataFrame, **limits) -> Remote | None:
     """A model from the documents that may be learned from: text and a non-null lang, not held out."""
     may = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     return fit(may.select("doc_id", "text", "lang"), **limits)
