@@ -61,3 +61,16 @@ def test_rent_and_earnings_defects(raw):
     assert (earn.Median_Annual_Earnings == "n/a").any()
     assert earn.Median_Annual_Earnings.str.startswith("£").sum() + (earn.Median_Annual_Earnings == "n/a").sum() \
         == len(earn)
+
+
+def test_salted_customer_join_equals_the_plain_one(spark):
+    from pyspark.sql import functions as F
+
+    from conftest import rows
+    from hearth.sources import tpch
+
+    o = spark.range(300).select(F.col("id").alias("o_orderkey"), F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id") % 11).alias("o_custkey"))
+    c = spark.range(9).select(F.col("id").alias("c_custkey"), F.concat(F.lit("c"), "id").alias("c_name"))
+    cols = ["o_orderkey", "o_custkey", "c_name"]
+    salted = tpch._with_customers(o, c, 10**9).select(*cols)
+    assert rows(salted) == rows(tpch._with_customers(o, c).select(*cols)) == rows(o.join(c, o.o_custkey == c.c_custkey).select(*cols))
