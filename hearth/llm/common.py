@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import hashlib
 import pickle
 from collections.abc import Callable, Iterator, Sequence
@@ -12,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.session import new_run_dir
+from hearth.session import new_run_dir, remove_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,10 +22,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_SCRATCH: list[tuple[SparkSession, str]] = []
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared folder, removed when the application ends."""
+    if not _SCRATCH:
+        atexit.register(_clear)
+    path = new_run_dir(spark, name)
+    _SCRATCH.append((spark, path))
+    return path
+
+
+def _clear() -> None:
+    for spark, path in _SCRATCH:
+        with contextlib.suppress(Exception):  # the session may have ended before
+            remove_folder(spark, path)
+    _SCRATCH.clear()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet under the shared folder and read again: lineage ends at files
     that every executor can read, so a lost executor costs at most one stage."""
-    path = new_run_dir(df.sparkSession, name)
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

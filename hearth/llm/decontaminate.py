@@ -304,13 +304,15 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_s
     first, after, n_words, cleaned = (free(docs.columns, c) for c in ("first", "after", "n_words", "cleaned"))
     cut = F.expr(f"exists(zip_with({after}, {first}, (z, a) -> z - a), n -> n > {int(max_span)})")
     new = {"text": F.col(cleaned), "n_chars": F.when(cut, F.length(cleaned)).otherwise(F.col("n_chars")).cast("bigint")}
-    for s in scanners(items, window):
-        while True:
+    all_ = scanners(items, window)
+    again = True
+    while again:
+        again = False
+        for s in all_:
             found = materialize(hits(docs, s, docs.columns, clean=True, max_span=max_span), "cleaned")
             kept = found.where(_n_hit(first, after) <= max_coverage * F.col(n_words))
             docs = kept.select(*[new[c].alias(c) if c in new else col(c) for c in docs.columns])
-            if kept.where(cut).isEmpty():
-                break
+            again |= not kept.where(cut).isEmpty()
     return docs
 
 

@@ -238,10 +238,9 @@ def _page(column) -> F.Column:
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from hearth.llm.common import table
-    from hearth.session import new_run_dir
+    from hearth.llm.common import scratch, table
 
-    path = new_run_dir(spark, "warc")
+    path = scratch(spark, "warc")
     write_archives(table(spark, sf_dir, "pages"), path)
     got = read_archives(spark, path)
     return got.select(_page(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
