@@ -325,13 +325,10 @@ def _confirm_small(sets: DataFrame) -> DataFrame:
         for run in runs(batches, ["block"]):
             node, own = run["node"].to_numpy(), _Sets(run["set"])
             label, every = np.arange(len(node)), np.arange(len(node))
-            edges = _tree(own, label, [0], every)
-            most = _largest(label)
-            # a pair of two classes has a member outside the largest one
-            for x in every[label != most].tolist():
-                if label[x] != most:
-                    edges += _tree(own, label, [x], every)
-                    most = _largest(label) if label[x] != most and len(node) > 2 else most
+            edges = _tree(own, label, np.unique(np.linspace(0, len(node) - 1, HUBS).astype(int)).tolist(), every)
+            # a pair of two classes has a member outside the class that is the largest now; which
+            # one is visited must not change when another class overtakes it
+            edges += _tree(own, label, every[label != _largest(label)].tolist(), every)
             if edges:
                 yield _edge_batch(node, edges)
 

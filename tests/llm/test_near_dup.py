@@ -85,6 +85,27 @@ def test_large_blocks_and_squares_give_the_same_classes(documents, monkeypatch):
     assert got == want
 
 
+def on_a_line(first, at, step=100, size=1_000):
+    """(doc_id, text) of sets that are windows of a line of words: those up to 1.1 apart are linked."""
+    return [(first + i, " ".join(f"x{first}_{k}" for k in range(int(p * step), int(p * step) + size))) for i, p in enumerate(at)]
+
+
+def test_blocks_whose_largest_class_changes(documents):
+    # two stars (0 with 1 and 2; 3 with 4, 5 and 6) joined by the link of 2 and 6 alone
+    rows = on_a_line(0, [0, -1, 1, 3, 4, 3.9, 2])
+    # one star after the other, the larger ones later, joined by their ends alone
+    r = random.Random(3)
+    rows += on_a_line(100, [0, 0.5, -1, 1, *[3 + r.random() for _ in range(12)], *[5.5 + r.random() for _ in range(20)], 2, 4.9])
+    for k in range(6):
+        rows += on_a_line(1_000 * (k + 1), [r.uniform(0, 12) for _ in range(25)])
+    got = {x.doc_id: x.component_id for x in N.near_duplicates(documents(rows), 1).collect()}
+    want = {}
+    for _, own in itertools.groupby(sorted(rows), lambda x: (x[0] >= 100, x[0] // 1_000)):
+        want |= classes(list(own), 1)
+    assert {want[i] for i in range(7)} == {0}
+    assert got == want
+
+
 def test_edge_rows(documents, edge_rows):
     got = N.near_duplicates(documents(edge_rows, CLASHES), 5).collect()
     assert len(got) == len(edge_rows)
