@@ -269,18 +269,24 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_w
     all_ = scanners(items, window, max_words)
     if len(all_) == 1:
         return hits(docs, all_[0], ["doc_id"])
-    docs = docs.withColumn(_ROW, F.monotonically_increasing_id())
+    found = _hits_of_all(docs.withColumn(_ROW, F.monotonically_increasing_id()), all_, _ROW, ["doc_id"])
+    return found.drop(_ROW)
+
+
+def _hits_of_all(docs: DataFrame, all_: list, row: str, carry: Sequence[str] = ()) -> DataFrame:
+    """``row``, ``carry`` and what :func:`hits` adds, over several scanners: every row (numbered by
+    ``row``) once, with the hits of all of them united."""
     parts = None
     for s in all_:
-        one = materialize(hits(docs, s, ["doc_id", _ROW]), "hits")
+        one = materialize(hits(docs, s, [*carry, row]), "hits")
         parts = one if parts is None else parts.unionByName(one)
     # spans of several automata are put end to end and united again, in each row
-    one = parts.groupBy(_ROW).agg(F.first("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"),
-                                  F.array_sort(F.flatten(F.collect_list(F.arrays_zip("first", "after")))).alias("s"),
-                                  F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    one = parts.groupBy(row).agg(*[F.first(c).alias(c) for c in carry], F.max("n_words").alias("n_words"),
+                                 F.array_sort(F.flatten(F.collect_list(F.arrays_zip("first", "after")))).alias("s"),
+                                 F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     reach = "transform(s, (x, i) -> struct(x.first, array_max(transform(slice(s, 1, i + 1), y -> y.after)) AS after))"
     one = one.withColumn("s", F.expr(reach))
-    return one.select("doc_id", "n_words",
+    return one.select(row, *carry, "n_words",
                       F.expr("transform(filter(s, (x, i) -> i = 0 OR x.first > get(s, i - 1).after), x -> x.first)").alias("first"),
                       F.expr("transform(filter(s, (x, i) -> i = size(s) - 1 OR get(s, i + 1).first > x.after), x -> x.after)").alias("after"),
                       "items")
@@ -296,23 +302,52 @@ MAX_SPAN = 0
 MAX_COVERAGE = 0.05
 
 
+def _cut(found: DataFrame, carry: Sequence[str], first: str, after: str, cleaned: str, max_span: int) -> DataFrame:
+    """The columns ``carry`` (``text`` among them), and the text without the spans (in words, columns
+    ``first`` and ``after``) of more than ``max_span`` words (``cleaned``)."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            buf, off = W.arrow_bytes(b.column("text"))
+            for i, j in W.groups(off):
+                starts, ends, _, at = W.words(buf[off[i]:off[j]], off[i:j + 1] - off[i], W.ALNUM)
+                own = b.slice(i, j - i)
+                texts, begin = own.column("text").to_pylist(), off[i:j + 1] - off[i]
+                for r, (f, a) in enumerate(zip(own.column(first).to_pylist(), own.column(after).to_pylist(), strict=True)):
+                    if f:
+                        here = slice(at[r], at[r + 1])
+                        texts[r] = _without(texts[r], starts[here] - begin[r], ends[here] - begin[r], list(zip(f, a, strict=True)), max_span)
+                yield pa.record_batch([*[own.column(c) for c in carry], pa.array(texts, pa.string())], names=[*carry, cleaned])
+
+    kinds = dict(found.dtypes)
+    schema = ", ".join(f"`{c}` {t}" for c, t in [*[(c, kinds[c]) for c in carry], (cleaned, "string")])
+    return found.select(*[col(c) for c in dict.fromkeys([*carry, first, after])]).mapInArrow(each, schema)
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_span: int = MAX_SPAN,
-                  max_coverage: float = MAX_COVERAGE) -> DataFrame:
+                  max_coverage: float = MAX_COVERAGE, max_words: int = MAX_WORDS) -> DataFrame:
     """``docs`` (all its columns) without rejected documents and without the cut spans; n_chars, if
     there, is that of the new text. Cutting goes on until nothing more is found: the words around a
-    cut may have become neighbours in a new window."""
+    cut may have become neighbours in a new window. Each round judges and cuts the united spans of
+    all automata."""
     first, after, n_words, cleaned = (free(docs.columns, c) for c in ("first", "after", "n_words", "cleaned"))
+    row = free(docs.columns, _ROW)
     cut = F.expr(f"exists(zip_with({after}, {first}, (z, a) -> z - a), n -> n > {int(max_span)})")
     new = {"text": F.col(cleaned), "n_chars": F.when(cut, F.length(cleaned)).otherwise(F.col("n_chars")).cast("bigint")}
-    all_ = scanners(items, window)
+    all_ = scanners(items, window, max_words)
     again = True
     while again:
-        again = False
-        for s in all_:
-            found = materialize(hits(docs, s, docs.columns, clean=True, max_span=max_span), "cleaned")
-            kept = found.where(_n_hit(first, after) <= max_coverage * F.col(n_words))
-            docs = kept.select(*[new[c].alias(c) if c in new else col(c) for c in docs.columns])
-            again |= not kept.where(cut).isEmpty()
+        if len(all_) == 1:
+            found = hits(docs, all_[0], docs.columns, clean=True, max_span=max_span)
+        else:
+            numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+            spans = _hits_of_all(numbered, all_, row).select(
+                row, F.col("n_words").alias(n_words), F.col("first").alias(first), F.col("after").alias(after))
+            found = _cut(numbered.join(spans, row), [*docs.columns, n_words, first, after], first, after, cleaned, max_span)
+        found = materialize(found, "cleaned")
+        kept = found.where(_n_hit(first, after) <= max_coverage * F.col(n_words))
+        docs = kept.select(*[new[c].alias(c) if c in new else col(c) for c in docs.columns])
+        again = not kept.where(cut).isEmpty()
     return docs
 
 

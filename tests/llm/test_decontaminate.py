@@ -80,6 +80,22 @@ def test_cut_texts_hold_no_window(spark, documents):
     assert {d for d, t in docs if not direct(t, known)[1]} <= kept
 
 
+@pytest.mark.parametrize("max_coverage", [0.05, 0.3, 0.6, 1.0])
+def test_several_automata_judge_and_cut_like_one(spark, documents, max_coverage):
+    docs, items = case(3)
+    # two long items that overlap in a text, and one half of a text each: coverage counts both
+    a, b = ([f"{x}{i}" for i in range(30)] for x in "ab")
+    items += [(50 + i, " ".join([*a[20:], *b[:15]] if i % 2 else a)) for i in range(4)]
+    filler = [f"q{i}" for i in range(45)]
+    docs += [(100, " ".join([*filler, *a, *b[:15], *filler])), (101, " ".join([*a, *filler, *b[:15]])), (None, " ".join(a[:20]))]
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    assert len(D.scanners(table, max_words=40)) > 3
+    own = documents(docs, CLASHES)
+    one, several = (D.decontaminate(own, table, max_coverage=max_coverage, max_words=m) for m in (D.MAX_WORDS, 40))
+    assert several.columns == own.columns
+    assert sorted(several.collect(), key=str) == sorted(one.collect(), key=str)
+
+
 def test_edge_rows_and_empty_tables(spark, documents, edge_rows):
     items = spark.createDataFrame([(1, "ONE"), (2, ""), (3, None)], "item_id bigint, text string")
     got = D.contamination(documents(edge_rows, CLASHES), items).collect()
