@@ -8,8 +8,10 @@ in the final output. Inside a span, the text is found by rendering the turn twic
 different one-character probes: the outputs differ exactly where the text starts. The loss mask is
 the set of text spans of the trained role.
 
-Conversations of more than ``FULL`` turns are rendered over the last ``WINDOW`` turns, so the work
-is linear in their length; such a template must not look further back than that.
+Conversations of more than ``FULL`` turns are rendered over the last ``WINDOW`` turns at least, so
+the work is linear in their length. The pieces are then compared with one rendering of the whole
+conversation; where they differ, or the template refuses a window, it looks further back, and all
+its prefixes are rendered from the first turn (work square in the conversation's length).
 
 Edge cases: a null text or role is empty; rows of a conversation with equal turn numbers are
 ordered by role, then text; repeated rows are repeated turns; a null conv_id is a conversation of
@@ -19,6 +21,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import itertools
 import re
@@ -34,7 +37,7 @@ Render = Callable[[Sequence[Turn]], str]
 
 #: Conversations up to this many turns are rendered from their first turn each time.
 FULL = 64
-#: Longer ones: turns rendered before the current one.
+#: Longer ones: turns rendered before the current one at least, if the template looks no further back.
 WINDOW = 32
 
 _PROBES = ("\u0001", "\u0002")
@@ -104,8 +107,9 @@ def _text_span(render: Render, before: Sequence[Turn], turn: Turn, after: Sequen
     return lo, lo + len(out) - len(a) + 1
 
 
-def format_turns(turns: Sequence[Turn], render: Render = inst_template) -> Formatted:
-    """Render successive prefixes of one conversation and locate every turn and text."""
+def _prefixes(turns: Sequence[Turn], render: Render, window: int | None = None) -> Formatted | None:
+    """Successive prefixes rendered and compared, with ``window`` over the last turns only; None if
+    the template rewrites history."""
     parts: list[str] = []
     spans: list[tuple[int, int]] = []
     texts: list[tuple[int, int] | None] = []
@@ -116,12 +120,12 @@ def format_turns(turns: Sequence[Turn], render: Render = inst_template) -> Forma
         parts.append(last)
         total = len(last)
     for turn in turns:
-        if len(spans) >= FULL and len(before) >= 2 * WINDOW:
-            before = before[-WINDOW:]
+        if window and len(spans) >= FULL and len(before) >= 2 * window:
+            before = before[-window:]
             last = render(before)
         now = render([*before, turn])
         if not now.startswith(last):
-            return _rewritten(turns, render)
+            return None
         gained = now[len(last):]
         at = _text_span(render, before, turn, (), now)
         texts.append((at[0] - len(last) + total, at[1] - len(last) + total) if at and at[0] >= len(last) else None)
@@ -133,6 +137,17 @@ def format_turns(turns: Sequence[Turn], render: Render = inst_template) -> Forma
     return Formatted("".join(parts), spans, texts, False)
 
 
+def format_turns(turns: Sequence[Turn], render: Render = inst_template) -> Formatted:
+    """Render successive prefixes of one conversation and locate every turn and text."""
+    found = None
+    if len(turns) > FULL:
+        with contextlib.suppress(Exception):  # a template may refuse a window, e.g. by its first role
+            found = _prefixes(turns, render, WINDOW)
+        if found and found.output != render(turns):
+            found = None  # the template looks further back
+    return found or _prefixes(turns, render) or _rewritten(turns, render)
+
+
 def _rewritten(turns: Sequence[Turn], render: Render) -> Formatted:
     """For templates that rewrite history: texts are located in the final output alone."""
     out = render(turns)

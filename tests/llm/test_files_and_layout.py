@@ -247,6 +247,37 @@ def test_long_conversations_are_linear_and_equal():
     assert all(chat.unescape(f.output[a:b]) == t for (a, b), (_, t) in zip(f.texts, turns, strict=True))
 
 
+def numbered(turns):
+    """Looks back to the first turn."""
+    return "".join(f"[Round {i // 2 + 1}] {r}: {t}\n" for i, (r, t) in enumerate(turns))
+
+
+def alternating(turns):
+    """Refuses anything but user and assistant in turn after a leading system turn."""
+    own = turns[1:] if turns and turns[0][0] == "system" else turns
+    if any(r != ("user", "assistant")[i % 2] for i, (r, _) in enumerate(own)):
+        raise ValueError("roles must alternate")
+    return "".join(f"<{r}>{t}\n" for r, t in turns)
+
+
+def elided(turns):
+    """Rewrites history far back: only the last 90 texts are whole."""
+    return "".join(f"<{r}>{t if len(turns) - i <= 90 else t[:1]}\n" for i, (r, t) in enumerate(turns))
+
+
+@pytest.mark.parametrize("render", [numbered, alternating, elided])
+@pytest.mark.parametrize("n", [64, 65, 66, 130, 131])
+def test_long_conversations_equal_the_whole_rendering(render, n):
+    turns = [("system", "be kind"), *[("user" if i % 2 == 0 else "assistant", f"text {i}") for i in range(n - 1)]]
+    f = chat.format_turns(turns, render)
+    assert f.output == render(turns)
+    assert f.rewrites_history == (render is elided and n > 90)
+    for (a, b), (_, text) in zip(f.texts, turns, strict=True):
+        assert text.startswith(f.output[a:b]) and (f.rewrites_history or f.output[a:b] == text)
+    if not f.rewrites_history:
+        assert [f.output[a:b] for a, b in f.spans] == [render(turns[:i + 1])[len(render(turns[:i])):] for i in range(n)]
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_escaping_is_reversible(seed):
     r = random.Random(seed)
