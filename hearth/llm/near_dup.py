@@ -21,8 +21,8 @@
 5. The confirmed links' connected components are the classes.
 
 Edge cases: a null or empty text, or one without words, has no shingles and is linked with nothing;
-a text with fewer words than a shingle is one shingle; repeated rows (also with different texts
-under one doc_id) are one node and get a row each; a row without doc_id has no component and is
+a text with fewer words than a shingle is one shingle; repeated rows get a row each; different
+texts under one doc_id are linked with each other, and a text without words among them goes along; a row without doc_id has no component and is
 kept; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -384,6 +384,16 @@ def _confirm_large(sets: DataFrame) -> DataFrame:
     return first.unionByName(_confirm_squares(members.unionByName(heads)))
 
 
+def _several(sigs: DataFrame, nodes: DataFrame, same: list[str]) -> DataFrame | None:
+    """(doc_id, node) of every doc_id that has rows with different sets; None if there are none."""
+    given = sigs.where("doc_id IS NOT NULL").select("doc_id", *same)
+    ids = materialize(given.groupBy("doc_id").agg(F.min(F.struct(*same)).alias("x"), F.max(F.struct(*same)).alias("y")).where("x <> y")
+                      .select("doc_id"), "dup-several")
+    if ids.isEmpty():
+        return None
+    return materialize(given.join(ids, "doc_id").distinct().join(nodes.select(*same, "node"), same).select("doc_id", "node"), "dup-several")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links of at least PERCENT
     similarity of ``width``-word shingle sets) and kept (doc_id is that one) of every document."""
@@ -401,9 +411,17 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     large = members.where("parts > 1")
     if not large.isEmpty():
         links = links.unionByName(_confirm_large(_block_sets(docs, large, width)))
+    several = _several(sigs, nodes, same)
+    if several is not None:
+        least = several.groupBy("doc_id").agg(F.min("node").alias("first"))
+        links = links.unionByName(several.join(least, "doc_id").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")))
     classes = components(links)
     told = nodes.select(*same, "node").join(classes, "node", "left").select(*same, F.coalesce("component", "node").alias("component"))
-    return sigs.select("doc_id", *same).join(told, same, "left").select(
+    rows = sigs.select("doc_id", *same).join(told, same, "left")
+    if several is not None:  # a row without shingles goes with the other rows of its doc_id
+        own = least.join(classes, F.col("first") == F.col("node"), "left").select("doc_id", F.coalesce("component", "first").alias("own"))
+        rows = rows.join(own, "doc_id", "left").withColumn("component", F.coalesce("own", "component"))
+    return rows.select(
         "doc_id", "n_shingles",
         F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id")).alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

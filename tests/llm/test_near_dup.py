@@ -106,6 +106,16 @@ def test_blocks_whose_largest_class_changes(documents):
     assert got == want
 
 
+def test_different_texts_under_one_doc_id_are_one_class(documents):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(7, a), (7, b), (5, a), (9, b), (9, b), (7, ""), (7, None), (20, c), (20, ""), (21, c), (30, ""), (30, None), (None, a), (40, "d e f"), (40, "g h i")]
+    got = N.near_duplicates(documents(rows), 5).collect()
+    assert len(got) == len(rows)
+    want = {5: 5, 7: 5, 9: 5, 20: 20, 21: 20, 30: 30, 40: 40, None: None}
+    assert {(r.doc_id, r.component_id) for r in got} == set(want.items())
+    assert all(r.kept == (r.doc_id in (5, 20, 30, 40, None)) for r in got)
+
+
 def test_edge_rows(documents, edge_rows):
     got = N.near_duplicates(documents(edge_rows, CLASHES), 5).collect()
     assert len(got) == len(edge_rows)
