@@ -23,6 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _SCRATCH: list[tuple[SparkSession, str]] = []
+_TABLES: list[str] = []
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -36,6 +37,10 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def _clear() -> None:
     for spark, path in _SCRATCH:
+        own = path.rsplit("/", 1)[-1].replace("-", "_")
+        if own in _TABLES:
+            with contextlib.suppress(Exception):
+                spark.sql(f"DROP TABLE IF EXISTS `{own}`")
         with contextlib.suppress(Exception):  # the session may have ended before
             remove_folder(spark, path)
     _SCRATCH.clear()
@@ -49,6 +54,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """``df`` written as a table in buckets of ``key`` (as many as shuffles have partitions) under the
+    shared folder: a join or grouping by ``key`` does not shuffle its rows again. The table is
+    dropped, and its folder removed, when the application ends."""
+    spark = df.sparkSession
+    path, buckets = scratch(spark, name), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    own = path.rsplit("/", 1)[-1].replace("-", "_")
+    (df.write.bucketBy(buckets, key).option("path", path).option("parquet.block.size", 32 << 20)
+     .option("parquet.block.size.row.check.min", 1).saveAsTable(own))
+    _TABLES.append(own)
+    return spark.table(own)
+
+
 class Remote:
     """An object that was made in a task. The driver holds it pickled only; a worker unpickles it
     once (``value``)."""

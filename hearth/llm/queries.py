@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearth.llm import chat, decontaminate, langid, licenses, near_dup, packing, quality, sharding, toxicity, warc
+from hearth.llm import bpe, chat, decontaminate, langid, licenses, near_dup, packing, quality, sharding, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dup": near_dup.op1,
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_digest": licenses.op8,
     "op9_divergence_rules": quality.op9,
     "op10_chat_format": chat.op10,
+    "op11_bpe_words": bpe.op11,
 }
 
 ORACLE_SQL: dict[str, str] = {
