@@ -31,6 +31,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -59,14 +60,21 @@ class _Numbers(dict):
         self.find, self.number, self.words = pattern.findall, {}, []
 
     def __missing__(self, cut: str) -> bytes:
-        numbers = []
-        for word in self.find(cut):
-            n = self.number.get(word)
-            if n is None:
-                n = self.number[word] = len(self.words)
-                self.words.append(word)
-            numbers.append(n)
-        got = self[cut] = np.array(numbers, np.uint32).tobytes()
+        word = cut[1:] if cut[0] == " " else cut
+        if word.isalpha() or len(word) == 1:
+            got = self._number(cut)
+        elif word[:-1].isalpha() and not (word[-1].isalnum() or word[-1].isspace()):  # a word and one mark
+            got = self[cut[:-1]] + self[cut[-1]]
+        else:
+            got = b"".join([self._number(w) for w in self.find(cut)])
+        self[cut] = got
+        return got
+
+    def _number(self, word: str) -> bytes:
+        got = self.number.get(word)
+        if got is None:
+            got = self.number[word] = len(self.words).to_bytes(4, "little")
+            self.words.append(word)
         return got
 
     def of(self, text: str) -> bytes:
@@ -164,36 +172,42 @@ def _encode_words(words: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _Vocabulary.of(vocabulary, pattern).encode
-        last, ids = None, None
-        blocks, numbers, found = [], [], []
+        last, ids = None, []  # the word of the last row and its ids
+        held: list[pa.RecordBatch] = []
 
         def send() -> pa.RecordBatch:
-            block, number = np.concatenate(blocks), np.concatenate(numbers)
-            count = np.array([len(f) for f in found], np.uint32)
+            nonlocal last, ids
+            own = pa.Table.from_batches(held).combine_chunks()
+            held.clear()
+            word = own.column("word").combine_chunks()
+            new = np.ones(len(word), bool)
+            new[1:] = np.asarray(pc.not_equal(word[1:], word[:-1]))
+            heads = word.filter(pa.array(new)).to_pylist()
+            found = [ids if heads[0] == last else encode(heads[0]), *map(encode, heads[1:])]
+            last, ids = heads[-1], found[-1]
+            of = np.cumsum(new) - 1  # the head of each row's run
+            widths = np.array([len(f) for f in found])
+            starts, flat = np.cumsum(widths) - widths, np.array([t for f in found for t in f], "<u4")
+            block, number = own.column("block").to_numpy(), own.column("number").to_numpy().astype("<u4")
             order = np.argsort(block, kind="stable")
-            cuts = np.flatnonzero(np.diff(block[order], prepend=block[order[0]] - 1))
-            groups = np.split(order, cuts[1:])
-            blocks.clear()
-            numbers.clear()
-            got = pa.RecordBatch.from_arrays(
-                [pa.array(block[order[cuts]], pa.int64()),
-                 pa.array([number[g].astype("<u4").tobytes() for g in groups], pa.binary()),
-                 pa.array([count[g].astype("<u4").tobytes() for g in groups], pa.binary()),
-                 pa.array([np.array([t for j in g.tolist() for t in found[j]], "<u4").tobytes() for g in groups], pa.binary())],
+            block, number, of = block[order], number[order], of[order]
+            cuts = np.flatnonzero(np.diff(block, prepend=block[0] - 1))
+            count = widths[of]
+            tokens, ends = flat[_spans(starts[of], count)], np.concatenate([[0], np.cumsum(count)])
+            bounds = [*cuts.tolist(), len(block)]
+            pairs = list(zip(bounds, bounds[1:], strict=False))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(block[cuts], pa.int64()), pa.array([number[i:j].tobytes() for i, j in pairs], pa.binary()),
+                 pa.array([count[i:j].astype("<u4").tobytes() for i, j in pairs], pa.binary()),
+                 pa.array([tokens[ends[i]:ends[j]].tobytes() for i, j in pairs], pa.binary())],
                 names=["block", "numbers", "counts", "ids"])
-            found.clear()
-            return got
 
         for b in batches:
-            for word in b.column("word").to_pylist():
-                if word != last:
-                    last, ids = word, encode(word)
-                found.append(ids)
-            blocks.append(b.column("block").to_numpy())
-            numbers.append(b.column("number").to_numpy())
-            if len(found) >= GROUP_WORDS:
+            if b.num_rows:
+                held.append(b)
+            if sum(h.num_rows for h in held) >= GROUP_WORDS:
                 yield send()
-        if found:
+        if held:
             yield send()
 
     return words.mapInArrow(each, "block bigint, numbers binary, counts binary, ids binary")
@@ -205,6 +219,55 @@ def _spans(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - before, counts) + np.arange(int(counts.sum()))
 
 
+def _distinct(ids: np.ndarray) -> np.ndarray:
+    """The distinct ids, in order."""
+    if not len(ids) or ids.min() < 0 or ids.max() >= 1 << 22:
+        return np.unique(ids)
+    seen = np.zeros(int(ids.max()) + 1, bool)
+    seen[ids] = True
+    return np.flatnonzero(seen)
+
+
+class _LookUp:
+    """Bytes of the tokens that some rows hold."""
+
+    def __init__(self, rows: pa.Table | None, token: str, found: str):
+        if rows is None:
+            rows = pa.table({token: pa.array([], pa.int32()), found: pa.array([], pa.binary())})
+        self.tokens = rows.column(token).to_numpy()  # in order
+        data = rows.column(found).to_pylist()
+        self.known = np.array([d is not None for d in data], bool)
+        self.widths = np.array([len(d or b"") for d in data], np.int64)
+        self.starts = np.cumsum(self.widths) - self.widths
+        self.bytes = np.frombuffer(b"".join([d or b"" for d in data]), np.uint8)
+        self.place = None  # place of each token in the lists, where tokens are small enough for a table
+        if len(self.tokens) and 0 <= self.tokens[0] and self.tokens[-1] < 1 << 22:
+            self.place = np.zeros(int(self.tokens[-1]) + 1, np.int64)
+            self.place[self.tokens] = np.arange(len(self.tokens))
+
+    def joined(self, lists: pa.ListArray) -> pa.Array:
+        """The bytes of each list, null where the list or one of its entries is null or unknown."""
+        flat = lists.flatten()
+        sizes = np.asarray(lists.value_lengths().fill_null(0)).astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        missing = np.asarray(flat.is_null())
+        ids = flat.fill_null(0).to_numpy() if len(flat) else np.zeros(0, np.int32)
+        if not len(self.tokens):
+            at = np.zeros(0, np.int64)
+            bad = np.cumsum(np.ones(len(ids), np.int64))
+        else:
+            at = (self.place[np.where(missing, self.tokens[0], ids)] if self.place is not None
+                  else np.searchsorted(self.tokens, np.where(missing, self.tokens[0], ids)))
+            bad = np.cumsum(missing | ~self.known[at])
+        bad = np.concatenate([[0], bad])
+        void = (bad[ends[1:]] > bad[ends[:-1]]) | np.asarray(lists.is_null())
+        widths = self.widths[at]
+        data = self.bytes[_spans(self.starts[at], widths)]
+        bounds = np.concatenate([[0], np.cumsum(widths)])[ends] if len(at) else np.zeros(len(ends), np.int64)
+        got = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)])
+        return pc.if_else(pa.array(~void), got, pa.scalar(None, pa.binary()))
+
+
 def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", carry: Sequence[str] = ("doc_id",),
            ids: str = "ids", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The columns ``carry`` and the token ids of every row's ``text``: each match of ``pattern`` is
@@ -257,7 +320,7 @@ def decode(rows: DataFrame, tokens: DataFrame, ids: str = "ids", carry: Sequence
     ``tokens`` (token, bytes), whose size is that of a vocabulary."""
     name, source, step, token, found = (free(carry, c) for c in (name, "ids", "step", "token", "bytes"))
     kept = rows.select(*[col(c) for c in carry], col(ids).cast("array<int>").alias(source))
-    stream = StructType([*kept.schema.fields, StructField(step, LongType()), StructField(token, IntegerType())])
+    stream = StructType([*[StructField(f.name, f.dataType) for f in kept.schema], StructField(step, LongType()), StructField(token, IntegerType())])
 
     def ahead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The distinct ids of some rows, then these rows; ``step`` counts on."""
@@ -265,8 +328,7 @@ def decode(rows: DataFrame, tokens: DataFrame, ids: str = "ids", carry: Sequence
 
         def send() -> Iterator[pa.RecordBatch]:
             nonlocal made
-            flat = [b.column(source).flatten() for b in held]
-            own = np.unique(np.concatenate([f.drop_null().to_numpy(zero_copy_only=False) for f in flat]))
+            own = _distinct(np.concatenate([b.column(source).flatten().drop_null().to_numpy() for b in held]))
             none = [pa.nulls(len(own), b_type) for b_type in held[0].schema.types]
             yield pa.RecordBatch.from_arrays([*none, pa.array(np.arange(made, made + len(own))), pa.array(own, pa.int32())],
                                              names=stream.names)
@@ -291,11 +353,12 @@ def decode(rows: DataFrame, tokens: DataFrame, ids: str = "ids", carry: Sequence
         if held:
             yield from send()
 
-    schema = StructType([*kept.drop(source).schema.fields, StructField(name, BinaryType())])
+    schema = StructType([*stream.fields[:len(carry)], StructField(name, BinaryType())])
 
     def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of: dict[int, bytes | None] = {}
-        rows_follow, expected = False, 0
+        heads: list[pa.RecordBatch] = []  # the look-ups in front of the rows
+        look = None
+        expected = 0
         for b in batches:
             steps = b.column(step).to_numpy()
             if not (steps == np.arange(expected, expected + len(steps))).all():
@@ -307,22 +370,12 @@ def decode(rows: DataFrame, tokens: DataFrame, ids: str = "ids", carry: Sequence
                     continue
                 own = b.slice(int(run[0]), len(run))
                 if not is_row[run[0]]:
-                    if rows_follow:
-                        of.clear()
-                    rows_follow = False
-                    of.update(zip(own.column(token).to_pylist(), own.column(found).to_pylist(), strict=True))
+                    if look is not None:
+                        heads, look = [], None
+                    heads.append(own.select([token, found]))
                     continue
-                rows_follow = True
-                out = []
-                for x in own.column(source):
-                    if not x.is_valid:
-                        out.append(None)
-                        continue
-                    try:
-                        out.append(b"".join([of[t] for t in x.values.to_pylist()]))
-                    except (TypeError, KeyError):  # an id that the vocabulary does not have
-                        out.append(None)
-                yield pa.RecordBatch.from_arrays([*[own.column(c) for c in carry], pa.array(out, pa.binary())], names=[*carry, name])
+                look = look or _LookUp(pa.Table.from_batches(heads) if heads else None, token, found)
+                yield pa.RecordBatch.from_arrays([*[own.column(c) for c in carry], look.joined(own.column(source))], names=[*carry, name])
 
     bytes_of = F.broadcast(tokens.select(F.col("token").alias(free([*stream.names, found], "known")), F.col("bytes").alias(found)))
     known = bytes_of.columns[0]
