@@ -40,51 +40,81 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stri
 
 from hearth.llm.common import bucketed, col, free, table
 
-#: Characters of text in a block (a longer text is a block of its own).
-BLOCK_CHARS = 8 << 20
+#: Bytes of text in a block (a longer text is a block of its own).
+BLOCK_BYTES = 16 << 20
 #: Words whose ids are sent back together, and ids decoded with one set of look-ups.
 GROUP_WORDS = 1 << 17
 GROUP_IDS = 1 << 21
 
-#: A space that is followed by no space starts a pre-token; these are texts with other spaces.
-_ODD = re.compile(r" (?=\s)")
+#: Texts are cut at spaces; those with a space before another white space are cut before ``_CUTS`` only.
+_ODD = r" [\s\v\x1c-\x1f\x{85}\p{Z}]"
 _CUTS = re.compile(r"(?= \S)")
 
 
 class _Numbers(dict):
-    """cut of a text (up to the next space) -> numbers of its pre-tokens, as 32-bit bytes; ``words``
-    lists the distinct pre-tokens by first appearance."""
+    """pre-token -> its number, by first appearance."""
 
-    def __init__(self, pattern: regex.Pattern):
+    def __init__(self, find):
         super().__init__()
-        self.find, self.number, self.words = pattern.findall, {}, []
-
-    def __missing__(self, cut: str) -> bytes:
-        word = cut[1:] if cut[0] == " " else cut
-        if word.isalpha() or len(word) == 1:
-            got = self._number(cut)
-        elif word[:-1].isalpha() and not (word[-1].isalnum() or word[-1].isspace()):  # a word and one mark
-            got = self[cut[:-1]] + self[cut[-1]]
-        else:
-            got = b"".join([self._number(w) for w in self.find(cut)])
-        self[cut] = got
-        return got
-
-    def _number(self, word: str) -> bytes:
-        got = self.number.get(word)
-        if got is None:
-            got = self.number[word] = len(self.words).to_bytes(4, "little")
-            self.words.append(word)
-        return got
-
-    def of(self, text: str) -> bytes:
-        if _ODD.search(text):
-            cuts = _CUTS.split(text)
-        else:
-            first, *rest = text.split(" ")
-            cuts = [first, *[" " + c for c in rest]]
-        get = self.__getitem__
-        return b"".join([get(c) for c in cuts if c])
+        self.find = find
+
+    def of(self, cut: str) -> list[int]:
+        """Numbers of a cut's pre-tokens."""
+        word = cut[1:] if cut[:1] == " " else cut
+        if word.isalpha():
+            return [self.setdefault(cut, len(self))]
+        if word[:-1].isalpha() and not (word[-1].isalnum() or word[-1].isspace()):  # a word and one mark
+            return [self.setdefault(cut[:-1], len(self)), self.setdefault(cut[-1], len(self))]
+        return [self.setdefault(w, len(self)) for w in self.find(cut)]
+
+    def all_of(self, lists: pa.ListArray, spaced: bool) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers one after the other, number of them in each list) of lists of cuts. With
+        ``spaced``, all but a list's first cut lack the space in front. Each distinct cut is split
+        once."""
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        offsets -= offsets[0]
+        cuts = lists.flatten()
+        coded = cuts.dictionary_encode()
+        at = coded.indices.to_numpy().astype(np.int64)
+        entries = coded.dictionary.to_pylist()
+        if spaced:
+            entries = [" " + c for c in entries]
+            heads = offsets[:-1][np.diff(offsets) > 0]
+            at[heads] = np.arange(len(entries), len(entries) + len(heads))
+            entries += cuts.take(pa.array(heads)).to_pylist()
+        found = [self.of(c) for c in entries]
+        widths = np.array([len(f) for f in found], np.int64)
+        flat = np.array([n for f in found for n in f], np.uint32)
+        count = widths[at]
+        ends = np.concatenate([[0], np.cumsum(count)])[offsets]
+        return flat[_spans((np.cumsum(widths) - widths)[at], count)], np.diff(ends)
+
+
+def _number(texts: pa.Array, find) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct pre-tokens of some texts, sorted; the texts as positions in that list, one after the
+    other; and the number of them in each text."""
+    numbers = _Numbers(find)
+    odd = np.asarray(pc.match_substring_regex(texts, _ODD))
+    plain, sizes = numbers.all_of(pc.split_pattern(texts.filter(pa.array(~odd)), " "), True)
+    if not odd.any():
+        return *_sorted(numbers, plain), sizes
+    rest = pa.array([[c for c in _CUTS.split(t) if c] for t in texts.filter(pa.array(odd)).to_pylist()], pa.list_(pa.string()))
+    others, their_sizes = numbers.all_of(rest, False)
+    count, start = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+    count[~odd], count[odd] = sizes, their_sizes
+    start[~odd] = np.cumsum(sizes) - sizes
+    start[odd] = np.cumsum(their_sizes) - their_sizes + len(plain)
+    return *_sorted(numbers, np.concatenate([plain, others])[_spans(start, count)]), count
+
+
+def _sorted(words: _Numbers, numbers: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The words in order, and the numbers as positions in that order (what comes back of sorted
+    words takes little space)."""
+    own = pa.array(words, pa.string())
+    order = pc.array_sort_indices(own)
+    place = np.empty(len(own), np.uint32)
+    place[order.to_numpy()] = np.arange(len(own), dtype=np.uint32)
+    return own.take(order), place[numbers]
 
 
 class _Vocabulary:
@@ -117,7 +147,7 @@ def token_bytes(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(pa.table({"token": pa.array(known.values(), pa.int32()), "bytes": pa.array(known, pa.binary())}))
 
 
-def _rows(parts: list[pa.RecordBatch], counts: list[int], name: str) -> pa.ListArray:
+def _rows(parts: list[pa.RecordBatch], counts: np.ndarray, name: str) -> pa.ListArray:
     """One list that holds the rows of ``parts``, with their pre-token counts in front."""
     own = pa.Table.from_batches(parts).combine_chunks()
     columns = [pa.array(counts, pa.int32()), *[c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in own.columns]]
@@ -135,40 +165,58 @@ def _blocks(docs: DataFrame, text: str, carry: Sequence[str], pattern: str, coun
               .add("words", ArrayType(StringType())))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = regex.compile(pattern)
-        part, made = TaskContext.get().partitionId(), 0
-        numbers, parts, counts, found, size = _Numbers(split), [], [], [], 0
+        find = regex.compile(pattern).findall
+        part, made, held, size = TaskContext.get().partitionId(), 0, [], 0
 
         def block() -> pa.RecordBatch:
+            nonlocal made
+            texts = pa.concat_arrays([b.column(len(carry)) for b in held]).fill_null("")
+            words, numbers, counts = _number(texts, find)
+            packed = pa.compress(numbers.tobytes(), "zstd", asbytes=True) if len(numbers) else b""
+            own = _rows([b.select(list(range(len(carry)))) for b in held], counts, count)
+            made += 1
             return pa.RecordBatch.from_arrays(
-                [pa.array([(part << 33) + made], pa.int64()), _rows(parts, counts, count),
-                 pa.array([pa.compress(b"".join(found), "zstd", asbytes=True) if found else b""], pa.binary()),
-                 pa.array([numbers.words], pa.list_(pa.string()))], names=["block", "rows", "numbers", "words"])
+                [pa.array([(part << 33) + made], pa.int64()), own, pa.array([packed], pa.binary()),
+                 pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)], names=schema.names)
 
         for b in batches:
-            own, first = b.drop_columns([source]) if hasattr(b, "drop_columns") else b.select(list(carry)), 0
-            for i, x in enumerate(b.column(b.schema.get_field_index(source))):
-                x = x.as_py() or ""
-                got = numbers.of(x)
-                counts.append(len(got) // 4)
-                found.append(got)
-                size += len(x)
+            ends = np.asarray(pc.binary_length(b.column(len(carry))).fill_null(0)).astype(np.int64).cumsum()
+            i = 0
+            while i < b.num_rows:  # rows up to the one that fills the block
+                before = ends[i - 1] if i else 0
+                j = min(b.num_rows, int(np.searchsorted(ends, before + limit - size, "left")) + 1)
+                held.append(b.slice(i, j - i))
+                size += int(ends[j - 1] - before)
                 if size >= limit:
-                    parts.append(own.slice(first, i + 1 - first))
                     yield block()
-                    made += 1
-                    numbers, parts, counts, found, size, first = _Numbers(split), [], [], [], 0, i + 1
-            if first < b.num_rows:
-                parts.append(own.slice(first))
-        if counts:
+                    held, size = [], 0
+                i = j
+        if held:
             yield block()
 
     return kept.mapInArrow(each, schema)
 
 
+def _pack(numbers: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> bytes:
+    """Rising positions, the number of ids of each and the ids, in few bytes."""
+    kind = "<u2" if not len(ids) or ids.max() < 1 << 16 else "<u4"
+    steps = np.diff(numbers, prepend=numbers[:1])
+    data = b"".join([numbers[:1].astype("<u4").tobytes(), steps.astype("<u4").tobytes(), counts.astype("<u4").tobytes(),
+                     ids.astype(kind).tobytes()])
+    return np.array([len(numbers), len(ids), int(kind[2])], "<u4").tobytes() + pa.compress(data, "zstd", asbytes=True)
+
+
+def _unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n, total, wide = np.frombuffer(packed, "<u4", 3).tolist()
+    data = pa.decompress(packed[12:], 4 + 8 * n + wide * total, "zstd", asbytes=True)
+    steps, counts = np.frombuffer(data, "<u4", n, 4), np.frombuffer(data, "<u4", n, 4 + 4 * n)
+    return (np.frombuffer(data, "<u4", 1) + np.cumsum(steps), counts.astype(np.int64),
+            np.frombuffer(data, f"<u{wide}", total, 4 + 8 * n).astype(np.int32))
+
+
 def _encode_words(words: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
-    """(block, number, word) sorted by word -> (block, numbers, counts, ids): each distinct word of a
-    partition is encoded once; what goes to the same block goes together."""
+    """(block, number, word) sorted by word -> (block, found): each distinct word of a partition is
+    encoded once; what goes to the same block is packed together."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _Vocabulary.of(vocabulary, pattern).encode
@@ -187,20 +235,16 @@ def _encode_words(words: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
             last, ids = heads[-1], found[-1]
             of = np.cumsum(new) - 1  # the head of each row's run
             widths = np.array([len(f) for f in found])
-            starts, flat = np.cumsum(widths) - widths, np.array([t for f in found for t in f], "<u4")
-            block, number = own.column("block").to_numpy(), own.column("number").to_numpy().astype("<u4")
+            starts, flat = np.cumsum(widths) - widths, np.array([t for f in found for t in f], np.uint32)
+            block, number = own.column("block").to_numpy(), own.column("number").to_numpy()
             order = np.argsort(block, kind="stable")
             block, number, of = block[order], number[order], of[order]
             cuts = np.flatnonzero(np.diff(block, prepend=block[0] - 1))
             count = widths[of]
             tokens, ends = flat[_spans(starts[of], count)], np.concatenate([[0], np.cumsum(count)])
             bounds = [*cuts.tolist(), len(block)]
-            pairs = list(zip(bounds, bounds[1:], strict=False))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(block[cuts], pa.int64()), pa.array([number[i:j].tobytes() for i, j in pairs], pa.binary()),
-                 pa.array([count[i:j].astype("<u4").tobytes() for i, j in pairs], pa.binary()),
-                 pa.array([tokens[ends[i]:ends[j]].tobytes() for i, j in pairs], pa.binary())],
-                names=["block", "numbers", "counts", "ids"])
+            packed = [_pack(number[i:j], count[i:j], tokens[ends[i]:ends[j]]) for i, j in zip(bounds, bounds[1:], strict=False)]
+            return pa.RecordBatch.from_arrays([pa.array(block[cuts], pa.int64()), pa.array(packed, pa.binary())], names=["block", "found"])
 
         for b in batches:
             if b.num_rows:
@@ -210,7 +254,7 @@ def _encode_words(words: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
         if held:
             yield send()
 
-    return words.mapInArrow(each, "block bigint, numbers binary, counts binary, ids binary")
+    return words.mapInArrow(each, "block bigint, found binary")
 
 
 def _spans(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -269,15 +313,15 @@ class _LookUp:
 
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", carry: Sequence[str] = ("doc_id",),
-           ids: str = "ids", block_chars: int = BLOCK_CHARS) -> DataFrame:
+           ids: str = "ids", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The columns ``carry`` and the token ids of every row's ``text``: each match of ``pattern`` is
     encoded by the ranks of the file ``vocabulary``, which every executor can open."""
     ids, count = free(carry, ids), free(carry, "pre_tokens")
-    blocks = bucketed(_blocks(docs, text, carry, pattern, count, block_chars), "bpe-blocks", "block")
+    blocks = bucketed(_blocks(docs, text, carry, pattern, count, block_bytes), "bpe-blocks", "block")
     words = (blocks.select("block", F.posexplode("words").alias("number", "word"))
              .repartition("word").sortWithinPartitions("word"))
     found = _encode_words(words, vocabulary, pattern).groupBy("block").agg(
-        F.collect_list(F.struct("numbers", "counts", "ids")).alias("found"))
+        F.collect_list("found").alias("found"))
     kept = docs.select(*[col(c) for c in carry])
     schema = StructType([*kept.schema.fields, StructField(ids, ArrayType(IntegerType()))])
 
@@ -290,10 +334,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", c
                 total = int(wide.sum())
                 if total:
                     numbers = np.frombuffer(pa.decompress(packed.as_py(), total * 4, "zstd", asbytes=True), np.uint32)
-                    parts = found.as_py()
-                    at = np.frombuffer(b"".join([p["numbers"] for p in parts]), "<u4")
-                    counts = np.frombuffer(b"".join([p["counts"] for p in parts]), "<u4").astype(np.int64)
-                    tokens = np.frombuffer(b"".join([p["ids"] for p in parts]), "<u4").astype(np.int32)
+                    at, counts, tokens = (np.concatenate(x) for x in zip(*map(_unpack, found.as_py()), strict=True))
                     count, start = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
                     count[at], start[at] = counts, np.cumsum(counts) - counts
                 ends = np.concatenate([[0], np.cumsum(wide)])

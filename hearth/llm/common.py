@@ -61,8 +61,8 @@ def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
     spark = df.sparkSession
     path, buckets = scratch(spark, name), int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = path.rsplit("/", 1)[-1].replace("-", "_")
-    (df.write.bucketBy(buckets, key).option("path", path).option("parquet.block.size", 32 << 20)
-     .option("parquet.block.size.row.check.min", 1).saveAsTable(own))
+    (df.write.bucketBy(buckets, key).option("path", path).option("compression", "zstd")
+     .option("parquet.block.size", 32 << 20).option("parquet.block.size.row.check.min", 1).saveAsTable(own))
     _TABLES.append(own)
     return spark.table(own)
 

@@ -33,7 +33,7 @@ def test_query_equals_the_library(spark, library):
         assert got[doc].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
 
 
-@pytest.mark.parametrize("block", [bpe.BLOCK_CHARS, 40])
+@pytest.mark.parametrize("block", [bpe.BLOCK_BYTES, 40])
 def test_edge_rows(spark, documents, edge_rows, library, block):
     odd = ["  two  spaces ", "tab\t\ttab \n\n line\r\n", "it's we'll '' 's", " \x1c \x1d x\x85y  z  q", "½ ² १२ abc123 \U0001f642 é",
            "<|endoftext|> <|endoftext|>", "᠎ ﻿ mixed​width", " ", "\n", "x" * 200]
@@ -42,7 +42,7 @@ def test_edge_rows(spark, documents, edge_rows, library, block):
         rows = [r for r in rows if len(r[1] or "") < 1000]
     docs = documents(rows, [*CLASHES, "1 AS ids", "2 AS pre_tokens", "3 AS token", "4 AS bytes", "5 AS step"]).repartition(3)
     keep = ["doc_id", "ids", "pre_tokens", "token", "bytes", "step", "text"]
-    encoded = bpe.encode(docs, PATH, tokenizers.PATTERN, carry=keep, block_chars=block)
+    encoded = bpe.encode(docs, PATH, tokenizers.PATTERN, carry=keep, block_bytes=block)
     assert encoded.columns == [*keep, "_ids"]
     decoded = bpe.decode(encoded, bpe.token_bytes(spark, PATH), ids="_ids", carry=[*keep, "_ids"]).collect()
     key = lambda t: (t[0] is None, t[0] or 0, t[1] is None, t[1] or "")
