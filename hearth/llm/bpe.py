@@ -42,6 +42,8 @@ from hearth.llm.common import bucketed, col, free, table
 
 #: Bytes of text in a block (a longer text is a block of its own).
 BLOCK_BYTES = 16 << 20
+#: Bytes of text whose pre-tokens are found at once.
+GROUP_BYTES = 2 << 20
 #: Words whose ids are sent back together, and ids decoded with one set of look-ups.
 GROUP_WORDS = 1 << 17
 GROUP_IDS = 1 << 21
@@ -67,44 +69,70 @@ class _Numbers(dict):
             return [self.setdefault(cut[:-1], len(self)), self.setdefault(cut[-1], len(self))]
         return [self.setdefault(w, len(self)) for w in self.find(cut)]
 
-    def all_of(self, lists: pa.ListArray, spaced: bool) -> tuple[np.ndarray, np.ndarray]:
-        """(numbers one after the other, number of them in each list) of lists of cuts. With
-        ``spaced``, all but a list's first cut lack the space in front. Each distinct cut is split
-        once."""
-        offsets = lists.offsets.to_numpy().astype(np.int64)
-        offsets -= offsets[0]
-        cuts = lists.flatten()
-        coded = cuts.dictionary_encode()
-        at = coded.indices.to_numpy().astype(np.int64)
-        entries = coded.dictionary.to_pylist()
-        if spaced:
-            entries = [" " + c for c in entries]
-            heads = offsets[:-1][np.diff(offsets) > 0]
-            at[heads] = np.arange(len(entries), len(entries) + len(heads))
-            entries += cuts.take(pa.array(heads)).to_pylist()
-        found = [self.of(c) for c in entries]
-        widths = np.array([len(f) for f in found], np.int64)
-        flat = np.array([n for f in found for n in f], np.uint32)
-        count = widths[at]
-        ends = np.concatenate([[0], np.cumsum(count)])[offsets]
-        return flat[_spans((np.cumsum(widths) - widths)[at], count)], np.diff(ends)
-
-
-def _number(texts: pa.Array, find) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+
+class _Cuts:
+    """Distinct cuts and the numbers of their pre-tokens; what is not one word of letters is split
+    one by one."""
+
+    def __init__(self, cuts: pa.Array, numbers: _Numbers):
+        whole = np.asarray(pc.utf8_is_alpha(pc.utf8_ltrim(cuts, " ")))
+        single = cuts.filter(pa.array(whole)).to_pylist()
+        rest = [numbers.of(c) for c in cuts.filter(pa.array(~whole)).to_pylist()]
+        self.widths, self.starts = np.ones(len(cuts), np.int64), np.zeros(len(cuts), np.int64)
+        self.widths[~whole] = [len(r) for r in rest]
+        self.starts[whole] = np.arange(len(single))
+        self.starts[~whole] = np.cumsum(self.widths[~whole]) - self.widths[~whole] + len(single)
+        self.flat = np.array([*[numbers.setdefault(w, len(numbers)) for w in single], *[n for r in rest for n in r]], np.uint32)
+
+    def expanded(self, at: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the cuts ``at``, one after the other, and how many each list of cuts has."""
+        count = self.widths[at]
+        return self.flat[_spans(self.starts[at], count)], np.diff(np.concatenate([[0], np.cumsum(count)])[offsets])
+
+
+def _offsets(lists: pa.ListArray) -> np.ndarray:
+    own = lists.offsets.to_numpy().astype(np.int64)
+    return own - own[0]
+
+
+def _number(parts: list[pa.Array], find) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Distinct pre-tokens of some texts, sorted; the texts as positions in that list, one after the
     other; and the number of them in each text."""
     numbers = _Numbers(find)
-    odd = np.asarray(pc.match_substring_regex(texts, _ODD))
-    plain, sizes = numbers.all_of(pc.split_pattern(texts.filter(pa.array(~odd)), " "), True)
-    if not odd.any():
-        return *_sorted(numbers, plain), sizes
-    rest = pa.array([[c for c in _CUTS.split(t) if c] for t in texts.filter(pa.array(odd)).to_pylist()], pa.list_(pa.string()))
-    others, their_sizes = numbers.all_of(rest, False)
-    count, start = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
-    count[~odd], count[odd] = sizes, their_sizes
-    start[~odd] = np.cumsum(sizes) - sizes
-    start[odd] = np.cumsum(their_sizes) - their_sizes + len(plain)
-    return *_sorted(numbers, np.concatenate([plain, others])[_spans(start, count)]), count
+    odd = [np.asarray(pc.match_substring_regex(texts, _ODD)) for texts in parts]
+    lists = [pc.split_pattern(texts.filter(pa.array(~o)), " ") for texts, o in zip(parts, odd, strict=True)]
+    # a text's first cut has no space in front, all others have lost theirs
+    heads = [_offsets(x)[:-1][np.asarray(x.value_lengths()) > 0] for x in lists]
+    cuts = [x.flatten() for x in lists]
+    coded = pa.chunked_array(cuts, pa.string()).dictionary_encode().unify_dictionaries()
+    known = _Cuts(pc.binary_join_element_wise(" ", coded.chunk(0).dictionary, ""), numbers)
+    found = []
+    for texts, o, own, head, code in zip(parts, odd, lists, heads, coded.chunks, strict=True):
+        at = code.indices.to_numpy().astype(np.int64)
+        first = _Cuts(own.flatten().take(pa.array(head)), numbers)
+        merged = _joined(known, first)
+        at[head] = np.arange(len(known.widths), len(known.widths) + len(head))
+        plain, sizes = merged.expanded(at, _offsets(own))
+        if not o.any():
+            found.append((plain, sizes))
+            continue
+        rest = pa.array([[c for c in _CUTS.split(t) if c] for t in texts.filter(pa.array(o)).to_pylist()], pa.list_(pa.string()))
+        their = rest.flatten().dictionary_encode()
+        others, their_sizes = _Cuts(their.dictionary, numbers).expanded(their.indices.to_numpy().astype(np.int64), _offsets(rest))
+        count, start = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+        count[~o], count[o] = sizes, their_sizes
+        start[~o] = np.cumsum(sizes) - sizes
+        start[o] = np.cumsum(their_sizes) - their_sizes + len(plain)
+        found.append((np.concatenate([plain, others])[_spans(start, count)], count))
+    flat, counts = (np.concatenate(x) for x in zip(*found, strict=True))
+    return *_sorted(numbers, flat), counts
+
+
+def _joined(a: _Cuts, b: _Cuts) -> _Cuts:
+    both = object.__new__(_Cuts)
+    both.widths, both.starts = np.concatenate([a.widths, b.widths]), np.concatenate([a.starts, b.starts + len(a.flat)])
+    both.flat = np.concatenate([a.flat, b.flat])
+    return both
 
 
 def _sorted(words: _Numbers, numbers: np.ndarray) -> tuple[pa.Array, np.ndarray]:
@@ -166,30 +194,32 @@ def _blocks(docs: DataFrame, text: str, carry: Sequence[str], pattern: str, coun
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
-        part, made, held, size = TaskContext.get().partitionId(), 0, [], 0
+        part, made, held, texts, size = TaskContext.get().partitionId(), 0, [], [], 0
 
         def block() -> pa.RecordBatch:
             nonlocal made
-            texts = pa.concat_arrays([b.column(len(carry)) for b in held]).fill_null("")
             words, numbers, counts = _number(texts, find)
             packed = pa.compress(numbers.tobytes(), "zstd", asbytes=True) if len(numbers) else b""
-            own = _rows([b.select(list(range(len(carry)))) for b in held], counts, count)
+            own = _rows(held, counts, count)
             made += 1
             return pa.RecordBatch.from_arrays(
                 [pa.array([(part << 33) + made], pa.int64()), own, pa.array([packed], pa.binary()),
                  pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)], names=schema.names)
 
         for b in batches:
-            ends = np.asarray(pc.binary_length(b.column(len(carry))).fill_null(0)).astype(np.int64).cumsum()
+            text, rest = b.column(len(carry)).fill_null(""), b.select(list(range(len(carry))))
+            ends = np.asarray(pc.binary_length(text)).astype(np.int64).cumsum()
             i = 0
-            while i < b.num_rows:  # rows up to the one that fills the block
+            while i < b.num_rows:  # rows that fill the block, in groups of bounded size
                 before = ends[i - 1] if i else 0
-                j = min(b.num_rows, int(np.searchsorted(ends, before + limit - size, "left")) + 1)
-                held.append(b.slice(i, j - i))
+                room = before + min(GROUP_BYTES, limit - size)
+                j = min(b.num_rows, int(np.searchsorted(ends, room, "left")) + 1)
+                held.append(rest.slice(i, j - i))
+                texts.append(text.slice(i, j - i))
                 size += int(ends[j - 1] - before)
                 if size >= limit:
                     yield block()
-                    held, size = [], 0
+                    held, texts, size = [], [], 0
                 i = j
         if held:
             yield block()
