@@ -41,12 +41,12 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stri
 from hearth.llm.common import bucketed, col, free, table
 
 #: Bytes of text in a block (a longer text is a block of its own).
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: Bytes of text whose pre-tokens are found at once.
 GROUP_BYTES = 2 << 20
 #: Words whose ids are sent back together, and ids decoded with one set of look-ups.
 GROUP_WORDS = 1 << 17
-GROUP_IDS = 1 << 21
+GROUP_IDS = 1 << 18
 
 #: Texts are cut at spaces; those with a space before another white space are cut before ``_CUTS`` only.
 _ODD = r" [\s\v\x1c-\x1f\x{85}\p{Z}]"
@@ -290,7 +290,11 @@ def _encode_words(words: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
 def _spans(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """starts[i], starts[i] + 1, ... (counts[i] of them), one after the other."""
     before = np.cumsum(counts) - counts
-    return np.repeat(starts - before, counts) + np.arange(int(counts.sum()))
+    total = int(counts.sum())
+    kind = np.int64 if total >= 1 << 30 or (len(starts) and int(starts.max()) >= 1 << 30) else np.int32
+    out = np.repeat((starts - before).astype(kind), counts)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 def _distinct(ids: np.ndarray) -> np.ndarray:
@@ -369,8 +373,8 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", c
                     count[at], start[at] = counts, np.cumsum(counts) - counts
                 ends = np.concatenate([[0], np.cumsum(wide)])
                 i = 0
-                while i < len(wide):  # rows of about a million pre-tokens at once
-                    j = max(i + 1, int(np.searchsorted(ends, ends[i] + (1 << 20), "right")) - 1)
+                while i < len(wide):  # rows of so many pre-tokens at once
+                    j = max(i + 1, int(np.searchsorted(ends, ends[i] + GROUP_WORDS, "right")) - 1)
                     if ends[j] > ends[i]:
                         n = numbers[ends[i]:ends[j]]
                         flat = tokens[_spans(start[n], count[n])]
