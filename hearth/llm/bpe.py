@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from hearth.llm.common import bucketed, col, free, table
+from hearth.llm.common import bucketed, col, free, release, table, tidy
 
 #: Bytes of text in a block (a longer text is a block of its own).
 BLOCK_BYTES = 8 << 20
@@ -220,11 +220,12 @@ def _blocks(docs: DataFrame, text: str, carry: Sequence[str], pattern: str, coun
                 if size >= limit:
                     yield block()
                     held, texts, size = [], [], 0
+                    release()
                 i = j
         if held:
             yield block()
 
-    return kept.mapInArrow(each, schema)
+    return kept.mapInArrow(tidy(each), schema)
 
 
 def _pack(numbers: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> bytes:
@@ -284,7 +285,7 @@ def _encode_words(words: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
         if held:
             yield send()
 
-    return words.mapInArrow(each, "block bigint, found binary")
+    return words.mapInArrow(tidy(each), "block bigint, found binary")
 
 
 def _spans(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -386,7 +387,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", c
                     i = j
 
     return blocks.select("block", "rows", "numbers").join(found.hint("merge"), "block", "left").select(
-        "rows", "numbers", "found").mapInArrow(each, schema)
+        "rows", "numbers", "found").mapInArrow(tidy(each), schema)
 
 
 def decode(rows: DataFrame, tokens: DataFrame, ids: str = "ids", carry: Sequence[str] = ("doc_id",),
@@ -454,8 +455,8 @@ def decode(rows: DataFrame, tokens: DataFrame, ids: str = "ids", carry: Sequence
 
     bytes_of = F.broadcast(tokens.select(F.col("token").alias(free([*stream.names, found], "known")), F.col("bytes").alias(found)))
     known = bytes_of.columns[0]
-    joined = kept.mapInArrow(ahead, stream).join(bytes_of, F.col(token) == F.col(known), "left").drop(known)
-    return joined.mapInArrow(together, schema)
+    joined = kept.mapInArrow(tidy(ahead), stream).join(bytes_of, F.col(token) == F.col(known), "left").drop(known)
+    return joined.mapInArrow(tidy(together), schema)
 
 
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:

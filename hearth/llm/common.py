@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import hashlib
 import pickle
 from collections.abc import Callable, Iterator, Sequence
@@ -67,6 +68,26 @@ def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
     return spark.table(own)
 
 
+def release() -> None:
+    """Give memory that Arrow and the allocator keep for later back to the machine."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(each: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``each``, which frees what a task held when it ends: Spark's Python workers live on, several
+    for each core, and wait with all that they have once used."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from each(batches)
+        finally:
+            release()
+
+    return run
+
+
 class Remote:
     """An object that was made in a task. The driver holds it pickled only; a worker unpickles it
     once (``value``)."""
