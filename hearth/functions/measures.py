@@ -64,6 +64,47 @@ def round_half_up_cents(total: ColumnOrName, count: ColumnOrName) -> Column:
     return F.when(count > 0, (cents / F.lit(100)).cast(MONEY))
 
 
+def scaled_mean(total: ColumnOrName, count: ColumnOrName, digits: int = 6) -> Column:
+    """Mean of an exact scale-2 decimal ``total``, rounded to ``digits`` places (half away from 0),
+    as the integer ``mean * 10**digits``."""
+    total, count = _col(total), _col(count)
+    whole_num = "decimal(38,0)"
+    scaled = (total * F.lit(100)).cast(whole_num) * F.lit(10 ** (digits - 2)).cast("decimal(18,0)")
+    n = count.cast(whole_num)
+    mag = (F.abs(scaled.cast(whole_num)) * 2 + n).cast(whole_num)
+    den = (n * 2).cast(whole_num)
+    q = ((mag - mag % den).cast(whole_num) / den).cast(whole_num)
+    return F.when(count > 0, F.when(scaled < 0, -q).otherwise(q))
+
+
+#: Parts of the state of a correlation: counts and sums that are added to merge two states.
+MOMENTS = ("n", "sx", "sy", "sxy", "sxx", "syy")
+
+
+def moments(x: ColumnOrName, y: ColumnOrName) -> list[Column]:
+    """Aggregates: exact moments of the pairs (x, y) of integers (up to 18 digits) that both are not
+    null. Sums of states are the state of all their pairs, in any order and grouping."""
+    x, y = _col(x).cast("decimal(18,0)"), _col(y).cast("decimal(18,0)")
+    both = x.isNotNull() & y.isNotNull()
+    terms = {"sx": x, "sy": y, "sxy": x * y, "sxx": x * x, "syy": y * y}
+    return [F.count_if(both).alias("n"), *[F.sum(F.when(both, t)).cast("decimal(38,0)").alias(k) for k, t in terms.items()]]
+
+
+def merge_moments() -> list[Column]:
+    """Aggregates: the state of all rows' states."""
+    return [F.sum(c).cast("bigint" if c == "n" else "decimal(38,0)").alias(c) for c in MOMENTS]
+
+
+def pearson() -> Column:
+    """Sample Pearson correlation from a state; NULL for less than two pairs or a flat series. All
+    differences are exact integers; each is rounded to a double once."""
+    n = F.col("n").cast("decimal(20,0)")
+    less = lambda s, a, b: (n * F.col(s)).cast("decimal(38,0)") - (F.col(a) * F.col(b)).cast("decimal(38,0)")
+    vx, vy = less("sxx", "sx", "sx").cast("double"), less("syy", "sy", "sy").cast("double")
+    r = less("sxy", "sx", "sy").cast("double") / (F.sqrt(vx) * F.sqrt(vy))
+    return F.when((F.col("n") > 1) & (vx > 0) & (vy > 0), F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)))
+
+
 def guarded_ratio(num: ColumnOrName, den: ColumnOrName) -> Column:
     """``num / den`` when ``den > 0``, else NULL (the insight queries' guard)."""
     num, den = _col(num), _col(den)

@@ -3,7 +3,7 @@ DataFrame transforms. All are narrow (row-local) — no shuffle, no UDF."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from hearth.functions.text import clean_count_int as _clean_count_int
 from hearth.functions.text import clean_money_int as _clean_money_int
 from hearth.functions.text import is_blank, norm
 from hearth.functions.text import upper_trim as _upper_trim
-from hearth.sources.files import write_table
+from hearth.sources.versions import VersionedTable
 
 
 def add_clean_money_int(df: DataFrame, src: str, dst: str | None = None, blank_as_zero: bool = False) -> DataFrame:
@@ -104,10 +104,11 @@ def enforce_not_null(df: DataFrame, cols: Sequence[str], fail: bool = False) ->
     return df.filter(~any_null(cols))
 
 
-def reload_after_fix(loaded: str, rebuilt: DataFrame) -> DataFrame:
-    """Delete all rows of the table written at ``loaded`` and load ``rebuilt`` (which must not read
-    that table) in their place."""
-    return write_table(rebuilt.sparkSession, rebuilt, loaded)
+def reload_after_fix(loaded: VersionedTable, rebuilt: DataFrame, check: Callable[[], None] | None = None) -> DataFrame:
+    """Delete all rows of the table ``loaded`` and load ``rebuilt`` in their place, in one step:
+    readers see the old rows or the new ones, and the old ones stay if the load does not end or
+    ``check`` (run once the rows are written) raises."""
+    return loaded.load(rebuilt, check)
 
 
 def widen_decimal(df: DataFrame, cols: Sequence[str], dtype: str = "decimal(18,2)") -> DataFrame:

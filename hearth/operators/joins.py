@@ -40,3 +40,32 @@ def size_checked_broadcast(df: DataFrame, row_bound: int | None) -> DataFrame:
     """``broadcast(df)`` when ``row_bound`` allows it (:func:`within_limit`); otherwise ``df``
     unchanged."""
     return F.broadcast(df) if within_limit(df, row_bound) else df
+
+
+#: Share of the rows from which a key counts as hot.
+HOT_SHARE = 0.01
+
+
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
+    """All keys that more than ``share`` of the rows have, and perhaps some others: at most 1 / share
+    values, from a frequent-items sketch whose states are merged (one pass, no shuffle of rows)."""
+    found = df.select(F.col(key).alias("k")).where("k IS NOT NULL").stat.freqItems(["k"], share).first()
+    return [v for v in found[0] if v is not None] if found is not None and found[0] is not None else []
+
+
+def heavy_key_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, share: float = HOT_SHARE) -> DataFrame:
+    """Inner join of ``left``, whose keys may be skewed, with ``right``, which has few rows for a key.
+
+    Rows of hot keys meet their side of ``right`` - the rows of at most 1 / share keys, counted
+    before they are broadcast - map-side, so a key with a third of all rows stays spread over the tasks
+    that read it. All other rows are shuffled by key; no key of theirs has more than ``share`` of them,
+    and no row of ``right`` is copied.
+    """
+    hot = hot_keys(left, left_key, share)
+    on = F.col(left_key) == F.col(right_key)
+    if not hot:
+        return left.join(right, on)
+    few = right.where(F.col(right_key).isin(hot))
+    warm = left.where(F.col(left_key).isin(hot)).join(size_checked_broadcast(few, few.count()), on)
+    cold = left.where(~F.col(left_key).isin(hot)).join(right.where(~F.col(right_key).isin(hot)), on)
+    return cold.unionByName(warm)

@@ -23,6 +23,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearth.session import shared_dir
+from hearth.sources.versions import VersionedTable
+
+#: Columns of a table of known keys.
+KNOWN_KEYS = "code string, key bigint"
 
 # monotonically_increasing_id() puts the partition id in the upper 31 bits and the record
 # number inside the partition in the lower 33 bits.
@@ -50,3 +54,26 @@ def dense_key(df: DataFrame, order_cols: Sequence[str], key_col: str, num_partit
     return placed.join(F.broadcast(offsets), "_pid").select(
         (F.col("_off") + position + 1).alias(key_col), *[F.col(c) for c in df.columns]
     )
+
+
+def stable_key(df: DataFrame, natural: str, key_col: str, known: VersionedTable, num_partitions: int | None = None) -> DataFrame:
+    """``df`` with a ``key_col`` (BIGINT) that a value of ``natural`` keeps from load to load.
+
+    ``known`` holds every value numbered so far; values that it lacks are numbered after its largest
+    key, in order and in parallel, and become known in one commit (of two loads at the same time one
+    is refused). Null has no key.
+    """
+    values = df.select(F.col(natural).alias("code")).where("code IS NOT NULL").distinct()
+    if known.current() is None:
+        last, unseen = 0, values
+    else:
+        seen = known.read(KNOWN_KEYS)
+        last = seen.agg(F.max("key")).first()[0] or 0
+        unseen = values.join(seen, "code", "left_anti")
+    new = dense_key(unseen, ["code"], "key", num_partitions).select("code", (F.col("key") + last).alias("key"))
+    if not new.isEmpty():
+        known.load(new if last == 0 else known.read(KNOWN_KEYS).unionByName(new))
+    elif known.current() is None:
+        known.load(new)
+    keys = known.read(KNOWN_KEYS).select(F.col("code").alias("_code"), F.col("key").alias(key_col))
+    return df.join(keys, F.col(natural) == F.col("_code"), "left").select(key_col, *[F.col(c) for c in df.columns])

@@ -58,7 +58,7 @@ def per_region(fact: DataFrame, time_col: str, value_col: str) -> DataFrame:
 
 
 # Rows of the district fan-out made by one task, about.
-FAN_OUT_ROWS = 10_000
+FAN_OUT_ROWS = 100_000
 MAX_FAN_OUT_TASKS = 20_000
 
 

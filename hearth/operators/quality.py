@@ -61,13 +61,15 @@ def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
 def unmatched_names(df: DataFrame, col: str, dim: DataFrame, dim_col: str, normalise_left: bool = True) -> DataFrame:
     """Distinct values of ``df.col`` with no normalised match in ``dim.dim_col``.
 
-    Distinct first (partial aggregation collapses repeated and hot names map-side), then the
-    anti-join runs on one row per name: the same result as anti-joining every row.
+    Distinct first (one grouping under the collation, whose partial aggregation collapses repeated
+    and hot names map-side), then the anti-join runs on one row per name: the same result as
+    anti-joining every row. A group's key holds all that its spellings share, so the normalised name
+    follows from it; without ``normalise_left`` leading spaces count.
     """
-    left_key = norm(col) if normalise_left else F.col(col)
-    names = df.select(col, left_key.alias("_k")).groupBy(collated(col).alias("_g"), "_k").agg(F.min(col).alias(col))
+    group = F.col("_g")
+    names = df.groupBy(collated(col).alias("_g")).agg(F.min(col).alias(col)).withColumn("_k", F.ltrim(group) if normalise_left else group)
     keys = dim.select(norm(dim_col).alias("_k"))
-    return names.join(keys.distinct(), "_k", "left_anti").groupBy("_g").agg(F.min(col).alias(col)).select(col)
+    return names.join(keys.distinct(), "_k", "left_anti").select(col)
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int = 10) -> DataFrame:

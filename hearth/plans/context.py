@@ -56,17 +56,19 @@ class Housing:
     trend_years: Sequence[int] = tpch.TREND_YEARS
     dirty: bool = True
     materialize: bool = True
+    # what becomes of rows that break a NOT NULL rule: report, filter or fail (see WrittenModel)
+    rules: str = "filter"
     _given_raw: RawInputs | None = field(default=None, repr=False, compare=False)
 
     @classmethod
     def from_raw(cls, spark: SparkSession, raw: RawInputs, country: str = "ENGLAND",
                  remap: Mapping[str, str] | None = None, trend_years: Sequence[int] = (2023, 2024),
-                 materialize: bool = True) -> Housing:
+                 materialize: bool = True, rules: str = "filter") -> Housing:
         """Workspace over raw inputs read elsewhere (e.g. ``hearth.sources.read_raw``).
 
         ``remap`` maps normalised rent region labels to canonical region names.
         """
-        return cls(spark, None, country, dict(remap or {}), trend_years, materialize=materialize, _given_raw=raw)
+        return cls(spark, None, country, dict(remap or {}), trend_years, materialize=materialize, rules=rules, _given_raw=raw)
 
     def __post_init__(self):
         # everything this workspace writes; fixed before any thread uses it
@@ -82,8 +84,8 @@ class Housing:
 
     def _model(self) -> Model | WrittenModel:
         if self.materialize:
-            return WrittenModel(self.spark, self.cleaned, self.country, path=f"{self.run_dir}/model")
-        return build_model(self.spark, self.cleaned, self.country)
+            return WrittenModel(self.spark, self.cleaned, self.country, path=f"{self.run_dir}/model", rules=self.rules)
+        return build_model(self.spark, self.cleaned, self.country, rules=self.rules)
 
     @property
     def raw(self) -> RawInputs | ImportedRaw:
@@ -100,7 +102,7 @@ class Housing:
     @property
     def fact_rent_before_fix(self) -> DataFrame:
         """Rent fact as first loaded, before the label fix (what the gap checks inspect)."""
-        return M.fact_rent(self.cleaned.rents_unfixed, self.model.dim_region)
+        return M.fact_rent(self.cleaned.rents_unfixed, self.model.dim_region, self.model.row_bound("dim_region"))
 
     def close(self) -> None:
         """Remove the folder of this workspace; its tables cannot be read afterwards."""

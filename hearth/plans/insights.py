@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearth.functions.measures import MONEY, exact_avg, exact_mean, guarded_ratio
+from hearth.functions.measures import MONEY, exact_avg, exact_mean, guarded_ratio, moments, pearson, scaled_mean
 from hearth.operators.joins import size_checked_broadcast
 from hearth.plans.pipeline import Model
 
@@ -185,22 +185,16 @@ def q6_rent_rank(m: Model) -> DataFrame:
     )
 
 
-def q7_price_rent_corr(m: Model, digits: int | None = None) -> DataFrame:
-    """Sample Pearson correlation of yearly price and rent per region, in full precision unless
-    ``digits`` are asked for (single-pass and two-pass formulas differ in the last bits).
+def q7_price_rent_corr(m: Model) -> DataFrame:
+    """Sample Pearson correlation of yearly price and rent per region, in full precision and bit for
+    bit the same however the rows are partitioned; NULL for one year or a flat series.
 
-    One aggregation with the built-in sample covariance / variances (single pass, partial
-    aggregation friendly); NULL for one year or a flat series.
+    Yearly means enter with six places, as the source's decimal averages have; their moments are
+    exact integers, so partial states may be added in any order.
     """
-    s = q1b_price_vs_rent_inner(m)
-    x, y = F.col("AvgHousePrice"), F.col("AvgMonthlyRent")
-    st = s.groupBy("RegionName").agg(
-        F.covar_samp(x, y).alias("cov"), F.var_samp(x).alias("vx"), F.var_samp(y).alias("vy")
-    )
-    den = F.sqrt(F.col("vx") * F.col("vy"))
-    corr = F.when(F.col("vx").isNull() | F.col("vy").isNull() | (den == 0), F.lit(None).cast("double")).otherwise(
-        F.col("cov") / den)
-    return st.select("RegionName", (corr if digits is None else F.round(corr, digits)).alias("PriceRentCorrelation"))
+    yearly = price_with(m, "rent").groupBy("Year", "RegionName").agg(
+        scaled_mean(F.sum("ps"), F.sum("pn")).alias("x"), scaled_mean(F.sum("xs"), F.sum("xn")).alias("y"))
+    return yearly.groupBy("RegionName").agg(*moments("x", "y")).select("RegionName", pearson().alias("PriceRentCorrelation"))
 
 
 def q7b_overlap_years(m: Model) -> DataFrame:

@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hearth.operators import cleaning as C
 from hearth.operators import model as M
+from hearth.operators.gate import MODES, Gate, Report
 from hearth.session import new_run_dir
-from hearth.sources.files import write_table
+from hearth.sources.versions import VersionedTable
 from hearth.sources.tpch import RawInputs
 
 
@@ -123,11 +124,13 @@ def build_model(
     country: str = "ENGLAND",
     date_start: str = M.DATE_START,
     date_end: str = M.DATE_END,
+    rules: str = "filter",
 ) -> Model:
-    """Lazy star schema over the cleaned inputs."""
+    """Lazy star schema over the cleaned inputs. ``rules`` says what becomes of rows that break a
+    NOT NULL rule: they are kept (``report``), left out (``filter``) or stop the job (``fail``)."""
     dim = M.dim_region(cleaned.regions, country)
     bridge_u = M.bridge_lad_region_unchecked(cleaned.lad, dim)
-    bridge = M.enforce(bridge_u, "bridge_lad_region")
+    bridge = M.enforce(bridge_u, "bridge_lad_region", rules)
     unchecked = {
         "bridge_lad_region": bridge_u,
         "fact_earnings": M.fact_earnings_unchecked(cleaned.earnings, dim),
@@ -138,9 +141,9 @@ def build_model(
         dim_region=dim,
         dim_date=M.dim_date(spark, date_start, date_end),
         bridge=bridge,
-        fact_earnings=M.enforce(unchecked["fact_earnings"], "fact_earnings"),
-        fact_rent=M.enforce(unchecked["fact_rent"], "fact_rent"),
-        fact_house_price=M.enforce(unchecked["fact_house_price"], "fact_house_price"),
+        fact_earnings=M.enforce(unchecked["fact_earnings"], "fact_earnings", rules),
+        fact_rent=M.enforce(unchecked["fact_rent"], "fact_rent", rules),
+        fact_house_price=M.enforce(unchecked["fact_house_price"], "fact_house_price", rules),
         unchecked=unchecked,
     )
 
@@ -167,38 +170,65 @@ class WrittenModel:
     Each table is written once, *before* its NOT NULL rules; the model's table is the written copy
     read through those rules (a filter that reaches the Parquet scan), so the constraint checks
     inspect the written table instead of recomputing it from the raw inputs. The rent fact is loaded
-    first as imported, then emptied and loaded again after the label fix.
+    first as imported, then emptied and loaded again after the label fix; every load replaces the
+    table in one step.
+
+    ``rules``: violations of NOT NULL rules are counted while a table is written (``reports``). With
+    ``filter`` (the default) the model leaves those rows out, with ``report`` it keeps them, and with
+    ``fail`` a table that breaks one is not published: the build stops and an earlier version stays.
+    With the latter two, declared keys are checked in the same pass.
     """
 
     def __init__(self, spark: SparkSession, cleaned: CleanedInputs, country: str = "ENGLAND",
-                 date_start: str = M.DATE_START, date_end: str = M.DATE_END, path: str | None = None):
-        self._spark, self._root = spark, path or new_run_dir(spark, "model")
+                 date_start: str = M.DATE_START, date_end: str = M.DATE_END, path: str | None = None, rules: str = "filter"):
+        if rules not in MODES:
+            raise ValueError(f"rules must be one of {MODES}, got {rules!r}")
+        self._spark, self._root, self._rules = spark, path or new_run_dir(spark, "model"), rules
+        #: What each load held, by table (of the rent fact: after the label fix).
+        self.reports: dict[str, Report] = {}
 
         def rent() -> DataFrame:
-            self._write("fact_rent", M.fact_rent_unchecked(cleaned.rents_unfixed, self.dim_region))
-            return C.reload_after_fix(f"{self._root}/fact_rent", M.fact_rent_unchecked(cleaned.rents, self.dim_region))
+            # loaded as imported, whatever its gaps; the rules apply once the labels are fixed
+            regions = self.dim_region, self.rows("dim_region")
+            self.table("fact_rent").load(M.fact_rent_unchecked(cleaned.rents_unfixed, *regions))
+            return self._write("fact_rent", M.fact_rent_unchecked(cleaned.rents, *regions), C.reload_after_fix)
 
         plans = {
             "dim_region": lambda: M.dim_region(cleaned.regions, country),
             "dim_date": lambda: M.dim_date(spark, date_start, date_end),
-            "bridge_lad_region": lambda: M.bridge_lad_region_unchecked(cleaned.lad, self.dim_region),
-            "fact_earnings": lambda: M.fact_earnings_unchecked(cleaned.earnings, self.dim_region),
+            "bridge_lad_region": lambda: M.bridge_lad_region_unchecked(cleaned.lad, self.dim_region, self.rows("dim_region")),
+            "fact_earnings": lambda: M.fact_earnings_unchecked(cleaned.earnings, self.dim_region, self.rows("dim_region")),
             "fact_house_price": lambda: M.fact_house_price_unchecked(
                 cleaned.prices, self.bridge, self.dim_region, self.rows("bridge_lad_region"), self.rows("dim_region")),
         }
         self.unchecked = Lazily({name: (lambda n, p: lambda: self._write(n, p()))(name, plan) for name, plan in plans.items()}
                                 | {"fact_rent": rent})
-        self._counts = Lazily({name: (lambda n: lambda: self.unchecked[n].count())(name) for name in (*plans, "fact_rent")})
 
-    def _write(self, name: str, df: DataFrame) -> DataFrame:
-        return write_table(self._spark, df, f"{self._root}/{name}")
+    def table(self, name: str) -> VersionedTable:
+        """The written table of this name, with its versions."""
+        return VersionedTable(self._spark, f"{self._root}/{name}")
+
+    def _write(self, name: str, df: DataFrame, load: Callable = VersionedTable.load) -> DataFrame:
+        gate = Gate(name, M.rules(name), keys=self._rules != "filter")
+
+        def check() -> None:
+            self.reports[name] = gate.report()
+            if self._rules == "fail":
+                gate.check()
+
+        return load(self.table(name), gate.through(df), check)
 
     def rows(self, table: str) -> int:
-        """Row count of a written table, from the Parquet footers, once."""
-        return self._counts[table]
+        """Row count of a written table, counted while it was written."""
+        self.unchecked[table]
+        return self.reports[table].rows
 
     row_bound = rows
 
+    def _enforced(self, name: str) -> DataFrame:
+        # behind a gate that let nothing through there is nothing to filter
+        return M.enforce(self.unchecked[name], name, "filter" if self._rules == "filter" else "report")
+
     @property
     def dim_region(self) -> DataFrame:
         return self.unchecked["dim_region"]
@@ -209,16 +239,16 @@ class WrittenModel:
 
     @property
     def bridge(self) -> DataFrame:
-        return M.enforce(self.unchecked["bridge_lad_region"], "bridge_lad_region")
+        return self._enforced("bridge_lad_region")
 
     @property
     def fact_earnings(self) -> DataFrame:
-        return M.enforce(self.unchecked["fact_earnings"], "fact_earnings")
+        return self._enforced("fact_earnings")
 
     @property
     def fact_rent(self) -> DataFrame:
-        return M.enforce(self.unchecked["fact_rent"], "fact_rent")
+        return self._enforced("fact_rent")
 
     @property
     def fact_house_price(self) -> DataFrame:
-        return M.enforce(self.unchecked["fact_house_price"], "fact_house_price")
+        return self._enforced("fact_house_price")

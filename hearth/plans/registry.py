@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.operators import cleaning as C
+from hearth.plans import csv_round
 from hearth.plans.checks import CHECKS
 from hearth.plans.context import Housing, housing
 from hearth.plans.insights import INSIGHTS, q10_national_trend
@@ -92,7 +93,6 @@ CLEANING_QUERIES: dict[str, Callable[[Housing], DataFrame]] = {
 INSIGHT_QUERIES: dict[str, Callable[[Housing], DataFrame]] = {
     name: (lambda fn: (lambda h: fn(h.model)))(fn) for name, fn in INSIGHTS.items()
 }
-INSIGHT_QUERIES["q7_price_rent_corr"] = lambda h: INSIGHTS["q7_price_rent_corr"](h.model, digits=6)
 INSIGHT_QUERIES["q10_national_trend"] = lambda h: q10_national_trend(h.model, h.trend_years)
 
 # The calendar dimension and its wrapper view are generated from two date parameters, not read
@@ -113,7 +113,11 @@ HOUSING_QUERIES: dict[str, Callable[[Housing], DataFrame]] = {
 }
 
 # the same queries over the test tables in ``sf_dir`` (one shared workspace per folder)
-QUERIES: dict[str, Query] = {name: _on(fn) for name, fn in HOUSING_QUERIES.items()}
+QUERIES: dict[str, Query] = {name: _on(fn) for name, fn in HOUSING_QUERIES.items()} | {
+    # the CSV import, over files made of the orders
+    "import_csv_prices": csv_round.imported_prices,
+    "import_csv_rejected": csv_round.rejected_lines,
+}
 
 
 def run_query(h: Housing, name: str) -> DataFrame:

@@ -84,15 +84,63 @@ def _file_system(spark: SparkSession, path: str):
     return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Remove a folder that this application wrote under the shared folder."""
-    if not path.startswith(shared_dir(spark) + "/hearth-"):
+def remove_folder(spark: SparkSession, path: str, root: str | None = None) -> None:
+    """Remove a folder that this application wrote under the shared folder, or a part of the table at ``root``."""
+    if not path.startswith(shared_dir(spark) + "/hearth-" if root is None else root.rstrip("/") + "/"):
         raise ValueError(f"{path} is not a folder of this library")
     fs, p = _file_system(spark, path)
     if fs is not None:
         fs.delete(p, True)
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file; False if it exists already."""
+    fs, p = _file_system(spark, path)
+    if fs.exists(p):
+        return False
+    try:
+        out = fs.create(p, False)
+    except Exception as e:  # noqa: BLE001 - another writer came first
+        if "already exists" in str(e).lower() or "FileAlreadyExists" in str(e):
+            return False
+        raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """Text of a small file."""
+    fs, p = _file_system(spark, path)
+    got = fs.open(p)
+    try:
+        return bytes(got.readAllBytes()).decode()
+    finally:
+        got.close()
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder; none if it does not exist."""
+    fs, p = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """The files at ``path`` (a file, a folder or a pattern), without hidden ones, in order."""
+    fs, p = _file_system(spark, path)
+    if fs is None:
+        raise RuntimeError("files cannot be listed without a SparkContext")
+    hidden = lambda f: f.getPath().getName().startswith(("_", "."))
+    found, todo = [], list(fs.globStatus(p) or [])
+    while todo:
+        f = todo.pop()
+        if f.isDirectory():
+            todo += [x for x in fs.listStatus(f.getPath()) if not hidden(x)]
+        else:
+            found.append(f.getPath().toString())
+    return sorted(found)
+
+
 def file_state(spark: SparkSession, path: str) -> tuple:
     """Sizes and modification times of a table's files; changes when the table does."""
     fs, p = _file_system(spark, path)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from hearth.sources.csv_import import CsvImport, import_csv, read_csv
+
 RAW_SCHEMAS: dict[str, T.StructType] = {
     "earnings": T.StructType(
         [
@@ -52,20 +54,27 @@ RAW_SCHEMAS: dict[str, T.StructType] = {
 }
 
 
-def read_raw(spark: SparkSession, table: str, path: str, fmt: str = "csv", **options) -> DataFrame:
-    """Read one raw input with its declared schema (CSV defaults: header, no inference)."""
+def read_raw(spark: SparkSession, table: str, path: str, fmt: str = "csv", bad: str = "fail", **options) -> DataFrame:
+    """Read one raw input with its declared schema. CSV columns are found by their names in the
+    header, and a line that does not parse stops the job, or (``bad="null"``) has nulls; to set such
+    lines aside use :func:`import_raw`."""
     schema = RAW_SCHEMAS[table]
-    reader = spark.read.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", "true").option("encoding", "UTF-8")
+        return read_csv(spark, schema, path, bad, **options)
+    reader = spark.read.schema(schema)
     for k, v in options.items():
         reader = reader.option(k, v)
     return reader.format(fmt).load(path)
 
 
+def import_raw(spark: SparkSession, table: str, path: str, into: str | None = None, **options) -> CsvImport:
+    """Import one raw CSV input with its declared schema: good rows, rejected lines and their counts."""
+    return import_csv(spark, RAW_SCHEMAS[table], path, into, **options)
+
+
 def write_table(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     """Full rebuild of a table: overwrite ``path`` with ``df`` and return a reader of the written
-    copy (with the known schema, so no footer is read). Readers of a previous copy should switch
-    to a fresh path for an atomic replace."""
+    copy (with the known schema, so no footer is read). For tables that are replaced while they are
+    read see ``hearth.sources.versions``."""
     df.write.mode("overwrite").format(fmt).save(path)
     return spark.read.schema(df.schema).format(fmt).load(path)

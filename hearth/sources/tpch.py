@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.functions.measures import MONEY, exact_mean
-from hearth.operators.joins import within_limit
+from hearth.operators.joins import heavy_key_join, within_limit
 
 # Fixed values of the test mapping.
 COUNTRY = "EUROPE"                      # plays the role of the source's 'ENGLAND' filter
@@ -107,20 +107,13 @@ def prices(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
     )
 
 
-# Parts that an order's customer key is split into when both sides shuffle.
-SALTS = 16
-
-
 def _with_customers(orders: DataFrame, customers: DataFrame, customer_rows: int | None = None) -> DataFrame:
     """Orders with their customer. Customers of a checked size (counted from the Parquet footers) are
-    joined map-side; beyond it the key is salted - customers are unique, so each is repeated once
-    for a salt - and a customer with a third of all orders is spread over SALTS tasks."""
+    joined map-side; beyond it only the customers with a large share of the orders are."""
     rows = customers.count() if customer_rows is None else customer_rows
     if within_limit(customers, rows):
         return orders.join(F.broadcast(customers), F.col("o_custkey") == F.col("c_custkey"))
-    salted = orders.withColumn("_salt", F.pmod(F.xxhash64("o_orderkey"), F.lit(SALTS)).cast("int"))
-    spread = customers.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(spread, (F.col("o_custkey") == F.col("c_custkey")) & (F.col("_salt") == F.col("_part")))
+    return heavy_key_join(orders, customers, "o_custkey", "c_custkey")
 
 
 def nation_year_means(spark: SparkSession, sf_dir: str) -> DataFrame:

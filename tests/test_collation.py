@@ -14,7 +14,7 @@ from hearth.operators import quality as Q
 from hearth.operators.joins import within_limit
 from hearth.operators.levels import FAN_OUT_ROWS, MAX_FAN_OUT_TASKS, fan_out_tasks
 from hearth.session import new_run_dir
-from hearth.sources.files import write_table
+from hearth.sources.versions import VersionedTable
 
 
 def names(spark, *values):
@@ -68,10 +68,11 @@ def test_not_null_can_fail(spark):
 
 
 def test_reload_replaces_all_rows(spark):
-    path = new_run_dir(spark, "reload")
-    write_table(spark, names(spark, "old", "older"), path)
-    assert rows(C.reload_after_fix(path, names(spark, "new"))) == [("new",)]
-    assert rows(spark.read.parquet(path)) == [("new",)]
+    table = VersionedTable(spark, new_run_dir(spark, "reload"))
+    table.load(names(spark, "old", "older"))
+    before = table.read()
+    assert rows(C.reload_after_fix(table, names(spark, "new"))) == [("new",)]
+    assert rows(table.read()) == [("new",)] and rows(before) == [("old",), ("older",)]
 
 
 def test_broadcasts_are_checked_in_rows_and_bytes(spark):
@@ -86,5 +87,5 @@ def test_broadcasts_are_checked_in_rows_and_bytes(spark):
 
 def test_fan_out_tasks_follow_the_rows_made():
     assert fan_out_tasks(None, 5, 5, 8) == 8
-    assert fan_out_tasks(400, 3000, 5, 8) == 3000 * 80 // FAN_OUT_ROWS
+    assert fan_out_tasks(400, 3000, 5, 8) == -(-3000 * 80 // FAN_OUT_ROWS)
     assert fan_out_tasks(10, 10, 5, 8) == 1 and fan_out_tasks(10**9, 10**9, 1, 8) == MAX_FAN_OUT_TASKS

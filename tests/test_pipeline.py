@@ -312,8 +312,8 @@ def test_concurrent_queries_write_each_table_once(spark, monkeypatch):
     from hearth.plans.registry import run_query
 
     written = []
-    write = pipeline.write_table
-    monkeypatch.setattr(pipeline, "write_table", lambda s, df, path: written.append(path) or write(s, df, path))
+    write = pipeline.WrittenModel._write
+    monkeypatch.setattr(pipeline.WrittenModel, "_write", lambda self, name, *a: written.append(name) or write(self, name, *a))
     with Housing(spark, SF_SMALL) as h, ThreadPoolExecutor(4) as pool:
         list(pool.map(lambda n: run_query(h, n).count(), ["fact_rent", "fact_earnings", "bridge_lad_region", "dim_region"] * 2))
         assert len(written) == len(set(written))
