@@ -41,7 +41,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stri
 from hearth.llm.common import bucketed, col, free, release, table, tidy
 
 #: Bytes of text in a block (a longer text is a block of its own).
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 32 << 20
 #: Bytes of text whose pre-tokens are found at once.
 GROUP_BYTES = 2 << 20
 #: Words whose ids are sent back together, and ids decoded with one set of look-ups.
@@ -95,9 +95,9 @@ def _offsets(lists: pa.ListArray) -> np.ndarray:
     return own - own[0]
 
 
-def _number(parts: list[pa.Array], find) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Distinct pre-tokens of some texts, sorted; the texts as positions in that list, one after the
-    other; and the number of them in each text."""
+def _number(parts: list[pa.Array], find) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct pre-tokens of some texts by first appearance, the texts as numbers in that list, one
+    after the other, and the number of them in each text."""
     numbers = _Numbers(find)
     odd = [np.asarray(pc.match_substring_regex(texts, _ODD)) for texts in parts]
     lists = [pc.split_pattern(texts.filter(pa.array(~o)), " ") for texts, o in zip(parts, odd, strict=True)]
@@ -125,7 +125,7 @@ def _number(parts: list[pa.Array], find) -> tuple[pa.Array, np.ndarray, np.ndarr
         start[o] = np.cumsum(their_sizes) - their_sizes + len(plain)
         found.append((np.concatenate([plain, others])[_spans(start, count)], count))
     flat, counts = (np.concatenate(x) for x in zip(*found, strict=True))
-    return *_sorted(numbers, flat), counts
+    return list(numbers), flat, counts
 
 
 def _joined(a: _Cuts, b: _Cuts) -> _Cuts:
@@ -135,14 +135,34 @@ def _joined(a: _Cuts, b: _Cuts) -> _Cuts:
     return both
 
 
-def _sorted(words: _Numbers, numbers: np.ndarray) -> tuple[pa.Array, np.ndarray]:
-    """The words in order, and the numbers as positions in that order (what comes back of sorted
-    words takes little space)."""
+def _by_frequency(words: list[str], numbers: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The words in order; the numbers as ranks by frequency, which take little space; and the place
+    in order of each rank."""
     own = pa.array(words, pa.string())
     order = pc.array_sort_indices(own)
     place = np.empty(len(own), np.uint32)
     place[order.to_numpy()] = np.arange(len(own), dtype=np.uint32)
-    return own.take(order), place[numbers]
+    frequent = np.argsort(-np.bincount(numbers, minlength=len(own)), kind="stable")
+    rank = np.empty(len(own), np.uint32)
+    rank[frequent] = np.arange(len(own), dtype=np.uint32)
+    return own.take(order), rank[numbers], place[frequent]
+
+
+def _squeeze(*columns: np.ndarray) -> bytes:
+    """Columns of unsigned integers in few bytes: the same byte of all values together."""
+    planes = [np.ascontiguousarray(c.view(np.uint8).reshape(len(c), c.itemsize).T).tobytes() for c in columns]
+    return pa.compress(b"".join(planes), "zstd", asbytes=True)
+
+
+def _expand(packed: bytes, *columns: tuple[str, int]) -> list[np.ndarray]:
+    """The columns again, from their kinds and lengths."""
+    sizes = [np.dtype(kind).itemsize * n for kind, n in columns]
+    data, at, out = pa.decompress(packed, sum(sizes), "zstd", asbytes=True), 0, []
+    for (kind, n), size in zip(columns, sizes, strict=True):
+        width = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(np.frombuffer(data, np.uint8, size, at).reshape(width, n).T).view(kind).reshape(n))
+        at += size
+    return out
 
 
 class _Vocabulary:
@@ -184,13 +204,13 @@ def _rows(parts: list[pa.RecordBatch], counts: np.ndarray, name: str) -> pa.List
 
 
 def _blocks(docs: DataFrame, text: str, carry: Sequence[str], pattern: str, count: str, limit: int) -> DataFrame:
-    """One row for each block: its rows (carried columns and pre-token counts), the numbers of their
-    pre-tokens one after the other, and the words that the numbers stand for."""
+    """One row for each block: its rows (carried columns and pre-token counts), the ranks of their
+    pre-tokens one after the other, the place of each rank in the list of words, and that list."""
     source = free(carry, "text")
     kept = docs.select(*[col(c) for c in carry], col(text).cast("string").alias(source))
     row = StructType([StructField(count, IntegerType()), *kept.drop(source).schema.fields])
     schema = (StructType().add("block", LongType()).add("rows", ArrayType(row)).add("numbers", BinaryType())
-              .add("words", ArrayType(StringType())))
+              .add("places", BinaryType()).add("words", ArrayType(StringType())))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
@@ -198,12 +218,13 @@ def _blocks(docs: DataFrame, text: str, carry: Sequence[str], pattern: str, coun
 
         def block() -> pa.RecordBatch:
             nonlocal made
-            words, numbers, counts = _number(texts, find)
-            packed = pa.compress(numbers.tobytes(), "zstd", asbytes=True) if len(numbers) else b""
+            found, numbers, counts = _number(texts, find)
+            words, ranks_, places = _by_frequency(found, numbers)
             own = _rows(held, counts, count)
             made += 1
             return pa.RecordBatch.from_arrays(
-                [pa.array([(part << 33) + made], pa.int64()), own, pa.array([packed], pa.binary()),
+                [pa.array([(part << 33) + made], pa.int64()), own, pa.array([_squeeze(ranks_)], pa.binary()),
+                 pa.array([_squeeze(places)], pa.binary()),
                  pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)], names=schema.names)
 
         for b in batches:
@@ -231,18 +252,15 @@ def _blocks(docs: DataFrame, text: str, carry: Sequence[str], pattern: str, coun
 def _pack(numbers: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> bytes:
     """Rising positions, the number of ids of each and the ids, in few bytes."""
     kind = "<u2" if not len(ids) or ids.max() < 1 << 16 else "<u4"
-    steps = np.diff(numbers, prepend=numbers[:1])
-    data = b"".join([numbers[:1].astype("<u4").tobytes(), steps.astype("<u4").tobytes(), counts.astype("<u4").tobytes(),
-                     ids.astype(kind).tobytes()])
-    return np.array([len(numbers), len(ids), int(kind[2])], "<u4").tobytes() + pa.compress(data, "zstd", asbytes=True)
+    steps = np.diff(numbers, prepend=0).astype("<u4")
+    head = np.array([len(numbers), len(ids), int(kind[2])], "<u4")
+    return head.tobytes() + _squeeze(steps, counts.astype("<u4"), ids.astype(kind))
 
 
 def _unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n, total, wide = np.frombuffer(packed, "<u4", 3).tolist()
-    data = pa.decompress(packed[12:], 4 + 8 * n + wide * total, "zstd", asbytes=True)
-    steps, counts = np.frombuffer(data, "<u4", n, 4), np.frombuffer(data, "<u4", n, 4 + 4 * n)
-    return (np.frombuffer(data, "<u4", 1) + np.cumsum(steps), counts.astype(np.int64),
-            np.frombuffer(data, f"<u{wide}", total, 4 + 8 * n).astype(np.int32))
+    steps, counts, ids = _expand(packed[12:], ("<u4", n), ("<u4", n), (f"<u{wide}", total))
+    return np.cumsum(steps), counts.astype(np.int64), ids.astype(np.int32)
 
 
 def _encode_words(words: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
@@ -362,16 +380,18 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", c
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for rows, packed, found in zip(b.column("rows"), b.column("numbers"), b.column("found"), strict=True):
+            for rows, packed, places, found in zip(*map(b.column, ("rows", "numbers", "places", "found")), strict=True):
                 struct = rows.values
                 wide = np.asarray(struct.field(0)).astype(np.int64)
                 own = [struct.field(i + 1) for i in range(len(carry))]
                 total = int(wide.sum())
                 if total:
-                    numbers = np.frombuffer(pa.decompress(packed.as_py(), total * 4, "zstd", asbytes=True), np.uint32)
+                    (numbers,) = _expand(packed.as_py(), ("<u4", total))
                     at, counts, tokens = (np.concatenate(x) for x in zip(*map(_unpack, found.as_py()), strict=True))
                     count, start = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
                     count[at], start[at] = counts, np.cumsum(counts) - counts
+                    (place,) = _expand(places.as_py(), ("<u4", len(at)))
+                    count, start = count[place], start[place]
                 ends = np.concatenate([[0], np.cumsum(wide)])
                 i = 0
                 while i < len(wide):  # rows of so many pre-tokens at once
@@ -386,8 +406,8 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", c
                     yield pa.RecordBatch.from_arrays([*[c.slice(i, j - i) for c in own], lists], names=[*carry, ids])
                     i = j
 
-    return blocks.select("block", "rows", "numbers").join(found.hint("merge"), "block", "left").select(
-        "rows", "numbers", "found").mapInArrow(tidy(each), schema)
+    return blocks.select("block", "rows", "numbers", "places").join(found.hint("merge"), "block", "left").select(
+        "rows", "numbers", "places", "found").mapInArrow(tidy(each), schema)
 
 
 def decode(rows: DataFrame, tokens: DataFrame, ids: str = "ids", carry: Sequence[str] = ("doc_id",),
