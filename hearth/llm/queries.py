@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearth.llm import bpe, chat, decontaminate, langid, licenses, near_dup, packing, quality, sharding, toxicity, warc
+from hearth.llm import bpe, chat, decontaminate, langid, licenses, near_dup, packing, quality, resample, sharding, toxicity, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dup": near_dup.op1,
@@ -23,6 +23,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_divergence_rules": quality.op9,
     "op10_chat_format": chat.op10,
     "op11_bpe_words": bpe.op11,
+    "op12_importance_resampling": resample.op12,
+    "op13_whitening": whitening.op13,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -31,4 +33,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_license_digest": licenses.oracle_sql(),
     "op9_divergence_rules": quality.oracle_sql(),
     "op10_chat_format": chat.ORACLE_SQL,
+    "op12_importance_resampling": resample.ORACLE_SQL,
 }
