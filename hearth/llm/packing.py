@@ -37,8 +37,8 @@ SEPARATOR = 0
 #: Remains packed together.
 BLOCK = 128
 #: Every FINE-th remain is cut into pieces of FINE_TOKENS.
-FINE = 2
-FINE_TOKENS = 32
+FINE = 8
+FINE_TOKENS = 16
 
 
 def difference(sizes: Sequence[int], k: int) -> list[tuple[int, list[int]]]:
@@ -94,48 +94,56 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, se
         words = memo(tokenizer)
         part = TaskContext.get().partitionId()
         made = 0  # sequences so far
-        rest: list[tuple] = []  # (doc_id, start, ids, doc_tokens)
-        out: list[tuple] = []
-
-        def put(piece: tuple, sequence: int, offset: int) -> None:
-            doc, start, own, total = piece
-            out.append((doc, start, len(own), zlib.crc32(own.astype("<u4").tobytes()), total, (part << 36) + sequence, offset,
-                        own.tolist() if ids else None))
+        rest: list[tuple] = []  # (document, start, length); a document: (doc_id, tokens, ids as little-endian bytes)
+        out: list[list] = [[] for _ in _COLUMNS]
+        found: list[np.ndarray] = []  # ids of the pieces in out
+
+        def put(document: tuple, start: int, length: int, offset: int) -> None:
+            doc, total, own = document
+            span = own[4 * start:4 * (start + length)]
+            for column, value in zip(out, (doc, start, length, zlib.crc32(span), total, (part << 36) + made, offset), strict=True):
+                column.append(value)
+            if ids:
+                found.append(np.frombuffer(span, "<u4"))
 
         def flush() -> None:
             nonlocal made
             pieces = []
-            for i, (doc, start, own, total) in enumerate(rest):
+            for i, (document, start, length) in enumerate(rest):
                 step = FINE_TOKENS if i % FINE == 0 else capacity
-                pieces += [(doc, start + a, own[a:a + step], total) for a in range(0, len(own), step)]
+                pieces += [(document, a, min(step, start + length - a)) for a in range(start, start + length, step)]
             rest.clear()
-            for window in pack([len(p[2]) for p in pieces], capacity):
+            for window in pack([p[2] for p in pieces], capacity):
                 offset = 0
                 for i in window:
-                    put(pieces[i], made, offset)
-                    offset += len(pieces[i][2])
+                    put(*pieces[i], offset)
+                    offset += pieces[i][2]
                 made += 1
 
         def batch() -> pa.RecordBatch:
-            columns = list(zip(*out, strict=True)) if out else [[] for _ in range(8)]
-            schema = _arrow_schema(ids)
-            got = pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema, strict=False)], schema=schema)
-            out.clear()
-            return got
+            columns = [pa.array(c, pa.int64()) for c in out]
+            if ids:
+                ends = np.cumsum([0, *map(len, found)])
+                flat = np.concatenate([*found, np.zeros(0, np.uint32)]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)))
+                found.clear()
+            for c in out:
+                c.clear()
+            return pa.RecordBatch.from_arrays(columns, schema=_arrow_schema(ids))
 
         for b in batches:
             for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
-                own = np.append(words.ids(text.as_py() or ""), separator)
-                total, start = len(own), 0
+                own = np.append(words.ids(text.as_py() or ""), separator).astype("<u4")
+                document, total, start = (doc, len(own), memoryview(own.tobytes())), len(own), 0
                 while total - start >= capacity:
-                    put((doc, start, own[start:start + capacity], total), made, 0)
+                    put(document, start, capacity, 0)
                     made += 1
                     start += capacity
                 if start < total:
-                    rest.append((doc, start, own[start:], total))
+                    rest.append((document, start, total - start))
                 if len(rest) >= BLOCK:
                     flush()
-                if len(out) >= 20_000:
+                if len(out[0]) >= 20_000:
                     yield batch()
         flush()
         yield batch()

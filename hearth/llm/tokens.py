@@ -4,8 +4,9 @@ Byte-level BPE never merges across pre-tokens, and a space that is followed by a
 starts one. A text is cut at such spaces, each distinct cut is encoded once and remembered (as
 16-bit or 32-bit ids), and the text's ids are the concatenation. For the byte-level tokenizers a
 missing cut is split by their own pattern and given to the tokenizer's model directly; any other
-kind of tokenizer encodes whole texts. The memory is bounded: the memo is emptied when it is full,
-and very long cuts are not remembered.
+kind of tokenizer encodes whole texts. The memory is bounded: when the memo is full it becomes the
+older half, whose cuts are taken over as they are met again (so frequent cuts are never encoded
+twice), and the half before it is dropped; very long cuts are not remembered.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from array import array
 import numpy as np
 import regex
 
-#: Remembered cuts, and the longest one remembered (characters).
+#: Remembered cuts in each of two halves, and the longest one remembered (characters).
 MEMO = 300_000
 LONGEST = 48
 
@@ -45,6 +46,7 @@ class WordMemo(dict):
 
     def __init__(self, path: str):
         super().__init__()
+        self.older: dict[str, bytes] = {}
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -58,20 +60,25 @@ class WordMemo(dict):
         self.kind = np.dtype("=u2" if self.code == "H" else "=u4")
 
     def __missing__(self, cut: str) -> bytes:
-        word = cut[1:] if cut[0] == " " else cut
-        if word.isalpha():
-            ids = self._merged(cut)
-        elif word[:-1].isalpha():  # a word and one mark: two pre-tokens
-            ids = self[cut[:-1]] + self[cut[-1]]
-        else:
-            parts = PRE_TOKENS.findall(cut)
-            ids = self._merged(cut) if len(parts) == 1 else b"".join([self[p] for p in parts])
+        ids = self.older.get(cut)
+        if ids is None:
+            ids = self._encoded(cut)
         if len(cut) <= LONGEST:
             if len(self) >= MEMO:
+                self.older = dict(self)
                 self.clear()
             self[cut] = ids
         return ids
 
+    def _encoded(self, cut: str) -> bytes:
+        word = cut[1:] if cut[0] == " " else cut
+        if word.isalpha():
+            return self._merged(cut)
+        if word[:-1].isalpha():  # a word and one mark: two pre-tokens
+            return self[cut[:-1]] + self[cut[-1]]
+        parts = PRE_TOKENS.findall(cut)
+        return self._merged(cut) if len(parts) == 1 else b"".join([self[p] for p in parts])
+
     def _merged(self, part: str) -> bytes:
         """Ids of one pre-token, from the tokenizer's model."""
         if part.isascii() and part.isprintable():

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import base64
+import gzip
 import hashlib
 import os
 import random
+import textwrap
 import zlib
 
 import duckdb
@@ -30,7 +33,7 @@ def tricky_pages():
 def test_archives_give_every_payload_back(spark):
     pages = spark.createDataFrame(tricky_pages(), "page_id bigint, url string, html string").selectExpr("*", *CLASHES).repartition(3)
     path = new_run_dir(spark, "warc-test")
-    warc.write_archives(pages, path, segment_chars=1_000, chunk_chars=333)
+    warc.write_archives(pages, path, segment_bytes=1_000, chunk_bytes=333)
     got = {r.page_id: r for r in warc.read_archives(spark, path).withColumn("page_id", warc._page(warc.F.col("record_id"))).collect()}
     assert len(got) == len(tricky_pages()) and all(r.ok for r in got.values())
     first = {}
@@ -40,14 +43,14 @@ def test_archives_give_every_payload_back(spark):
         whole = len(data) < 100 or first.setdefault(data, p) == p
         assert r.record_type == ("response" if whole else "revisit")
         assert (r.payload_bytes, r.payload_digest) == (len(data), hashlib.sha256(data).hexdigest())
-        assert bytes(r.payload) == data if whole else r.refers_to.startswith(f"urn:page:{first[data]}:")
+        assert bytes(r.payload) == data if whole else r.refers_to == f"urn:page:{first[data]}:{r.payload_digest[:16]}" == got[first[data]].record_id
     assert got[None].record_type == "response"
 
 
 def test_damaged_segments_are_told(spark):
     pages = spark.createDataFrame([(1, "u", "abc" * 900), (2, "u", "x")], "page_id bigint, url string, html string")
     path = new_run_dir(spark, "warc-test")
-    warc.write_archives(pages, path, segment_chars=500)
+    warc.write_archives(pages, path, segment_bytes=500)
     records = warc.read_records(spark, path)
     missing = warc.payloads(warc.reassemble(records.where("segment IS NULL OR segment <> 3"))).collect()
     assert {warc_id.record_id.split(":")[2]: warc_id.ok for warc_id in missing} == {"1": False, "2": True}
@@ -60,12 +63,98 @@ def test_no_pages(spark):
 
 
 def test_chunks():
-    assert warc.dechunk(warc.chunked("héllo" * 100, 7).encode()) == ("héllo" * 100).encode()
+    assert warc.dechunk(warc.chunked("héllo".encode() * 100, 7)) == ("héllo" * 100).encode()
     for bad in (b"", b"5\r\nabc", b"zz\r\n", b"3\r\nabcX\r\n0\r\n\r\n"):
         with pytest.raises(ValueError):
             warc.dechunk(bad)
 
 
+def other_record(version, kind, block, extra=(), length=None, end=b"\r\n\r\n", eol=b"\r\n"):
+    head = [f"WARC/{version}".encode(), b"WARC-Type: " + kind, b"WARC-Record-ID: <urn:uuid:%d>" % len(extra), *extra,
+            b"Content-Length: %d" % (len(block) if length is None else length), b"", b""]
+    return eol.join(head) + block + end
+
+
+def other_archive(version):
+    """(type, payload, ok) wanted, and the records of a writer that is not this library's."""
+    body = bytes(range(256)) * 9 + b"\r\n\r\nWARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <x>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n\xff"
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: image/png\r\n\r\n" + body
+    framed = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: Chunked\r\n\r\n" + warc.chunked(body, 100)
+    kind = b"Content-Type: application/http; msgtype=response"
+    sha1 = b"WARC-Payload-Digest: sha1:" + base64.b32encode(hashlib.sha1(body).digest())
+    wrong = b"WARC-Payload-Digest: sha1:" + base64.b32encode(hashlib.sha1(b"x").digest())
+    records = [
+        other_record(version, b"warcinfo", b"software: other\r\nformat: WARC\r\n", [b"Content-Type: application/warc-fields"]),
+        other_record(version, b"response", http, [kind, sha1, b"Folded: a\r\n b"]),
+        other_record(version, b"response", framed, [kind, sha1]),
+        other_record(version, b"response", http, [kind, wrong]),
+        other_record(version, b"resource", b"", [b"Content-Type: text/plain"]),
+        other_record(version, b"resource", b"\nWARC/", eol=b"\n"),
+        other_record(version, b"resource", b"more than stated", length=4),
+        other_record(version, b"resource", b"less than stated", length=400, end=b""),
+    ]
+    want = [("warcinfo", b"software: other\r\nformat: WARC\r\n", True), ("response", body, True), ("response", body, True), ("response", body, False),
+            ("resource", b"", True), ("resource", b"\nWARC/", True), ("resource", b"more", True), (None, b" than stated\r\n\r", False),
+            ("resource", b"less than stated", False)]
+    return want, records
+
+
+@pytest.mark.parametrize("version", ["0.18", "1.0", "1.1"])
+@pytest.mark.parametrize("form", ["plain", "gzip", "members"])
+def test_archives_of_other_writers(spark, tmp_path, version, form):
+    want, records = other_archive(version)
+    data = {"plain": lambda: b"".join(records), "gzip": lambda: gzip.compress(b"".join(records)),
+            "members": lambda: b"".join(map(gzip.compress, records))}[form]()
+    name = "a.warc" if form == "plain" else "a.warc.gz"
+    (tmp_path / name).write_bytes(data)
+    key = lambda r: (r[0] or "", r[1], r[2])
+    got = [(r.record_type, bytes(r.payload), r.ok) for r in warc.read_archives(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=key) == sorted(want, key=key)
+
+
+def test_bytes_outside_records_are_told(spark, tmp_path):
+    (tmp_path / "a.warc").write_bytes(b"junk \xff before\r\n" + other_record("1.0", b"resource", b"one"))
+    (tmp_path / "b.warc").write_bytes(other_record("1.0", b"resource", b"two") + b"WARC/1.0\r\nWARC-Type: resource")
+    (tmp_path / "c.warc").write_bytes(b"")
+    got = {(r.record_type, bytes(r.block), r.ok) for r in warc.read_records(spark, str(tmp_path)).collect()}
+    assert got == {(None, b"junk \xff before\r", False), ("resource", b"one", True), ("resource", b"two", True),
+                   (None, b"WARC/1.0\r\nWARC-Type: resource", False)}
+
+
+def test_written_records_have_a_date_and_their_own_ids(spark):
+    rows = [(1, "u", "p" * 200)] * 3 + [(2, "u", "p" * 200)] * 2 + [(3, "u", "q" * 200), (4, "u", "q" * 200), (5, "u", "short")]
+    path = new_run_dir(spark, "warc-test")
+    warc.write_archives(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3), path, date="2024-05-06T07:08:09Z")
+    text = "".join(r.value for r in spark.read.option("wholetext", True).text(path).collect())
+    assert text.count("WARC-Date: 2024-05-06T07:08:09Z") == text.count("WARC/1.1") == len(rows)
+    got = warc.read_archives(spark, path).collect()
+    assert len({r.record_id for r in got}) == len(rows) and all(r.ok for r in got)
+    assert sorted(r.record_type for r in got) == ["response"] * 5 + ["revisit"] * 3
+
+
+def test_segments_are_joined_in_any_number(spark):
+    block = b"HTTP/1.1 200 OK\r\n\r\n" + bytes(range(256)) * 4_000
+    cut = [block[i:i + 100] for i in range(0, len(block), 100)]
+    rows = [("r" if i == 0 else f"r{i}", "response" if i == 0 else "continuation", None, "application/http", None, None,
+             None if i == 0 else "r", i + 1, len(block) if i == len(cut) - 1 else None, bytearray(c), True) for i, c in enumerate(cut)]
+    random.Random(1).shuffle(rows)
+    (r,) = warc.payloads(warc.reassemble(spark.createDataFrame(rows, warc.RECORDS).repartition(4))).collect()
+    assert r.ok and bytes(r.payload) == bytes(range(256)) * 4_000
+
+
+def test_payloads_are_not_shuffled(spark):
+    pages = spark.createDataFrame(tricky_pages(), "page_id bigint, url string, html string")
+    seen = []
+    write = type(pages).mapInArrow
+    try:
+        type(pages).mapInArrow = lambda self, *a, **b: (seen.append(self), write(self, *a, **b))[1]
+        warc.write_archives(pages, new_run_dir(spark, "warc-test"))
+    finally:
+        type(pages).mapInArrow = write
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
 # ------------------------------------------------------------------ sharding
 def test_balanced_tree_is_the_tightest_fit():
     r = random.Random(2)
@@ -193,6 +282,46 @@ def test_licenses_are_found_in_any_dress(spark, documents, edge_rows):
     assert licenses.scan(documents([])).collect() == []
 
 
+COMMON = {"Apache-2.0": "Apache-2.0", "CC0-1.0": "CC0-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0",
+          "MPL-2.0": "MPL-2.0", "Artistic": "Artistic-1.0-Perl", "GFDL-1.3": "GFDL-1.3"}
+
+
+def wrapped(text, width, indent=""):
+    return "\n\n".join(textwrap.fill(" ".join(p.split()), width, initial_indent=indent, subsequent_indent=indent) for p in text.split("\n\n"))
+
+
+def test_licenses_are_found_however_they_are_wrapped(documents):
+    whole = [(i, t) for i, t in licenses.KNOWN if len(t) > 600 and i in ("MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause")]
+    head = ["", "Copyright (c) 2021, A. Holder <a@b.org>\nAll rights reserved.\n\n", "© 1999-2004 Someone.\nAll rights\nreserved.\n", "  Copyright by The Authors\n\n"]
+    rows, want = [], {}
+    for k, (name, text) in enumerate(whole):
+        for width in range(40, 121):
+            doc = 1000 * k + width
+            rows.append((doc, head[width % 4] + wrapped(text, width, "" if width % 3 else " * ")))
+            want[doc] = name
+    for k, (file, name) in enumerate(COMMON.items()):
+        path = f"/usr/share/common-licenses/{file}"
+        if os.path.exists(path):
+            text = open(path, encoding="utf-8").read()
+            rows += [(90_000 + k, text), (91_000 + k, text.replace("\n", "\r\n"))]
+            want |= {90_000 + k: name, 91_000 + k: name}
+    docs = documents(rows)
+    got = licenses.scan(docs)
+    assert {r.doc_id: r.license_id for r in got.collect()} == want
+    against_duckdb(docs, got, licenses.oracle_sql())
+
+
+def test_copyright_lines():
+    con = duckdb.connect()
+    drop = lambda t: con.execute("SELECT " + licenses._sql_canonical("?::VARCHAR"), [t]).fetchone()[0]
+    for line in ("Copyright (c) 2020 X", "copyright 2020 by X", "/* Copyright © X */", "(c) 1999 X", "© X by Y 2000", "Copyright by X", "Copyright [yyyy] [name]",
+                 "# Copyright: 2011, X"):
+        assert drop(f"a\n{line}\nb") == "a b", line
+    for line in ("copyright holders be liable", "Copyright notice and this", "(c) You must retain", "copyright owner or", "the copyright (c) 2020"):
+        assert drop(f"a\n{line}\nb") != "a b", line
+    assert drop("X. All rights reserved.\nfoo") == drop("x\nfoo") == "x foo" and drop("All rights reserved.") is None
+
+
 def test_a_catalogue_of_many_licenses(documents):
     known = [(f"L{i:03}", f"license text number {i}") for i in range(150)]
     got = licenses.scan(documents([(1, "License TEXT number 7\nlicense text number 140.\nother"), (2, "license text, number 99")]), known).collect()
