@@ -8,8 +8,10 @@ shorter item) is a hit over those words, and the state tells the items. Runs of
 matter are left out beforehand: a match of n words needs n - 1 neighbouring word pairs that occur in
 items, which one vectorised look-up finds.
 
-The automaton is broadcast, so its size must be bounded: items are dealt to as many automata as
-``MAX_WORDS`` asks for, each scans the documents, and hits are united by document.
+Items are dealt by hash to automata of about ``PART_WORDS`` words, each built in a task and laid out
+in flat arrays. As many of them as hold ``MAX_WORDS`` words are broadcast together and scan the documents in one
+pass; a larger benchmark takes several passes, whose hits are united by document. At each word the
+window's state and its shorter items are looked up, not searched along the automaton's links.
 
 Spans of hits that are longer than ``max_span`` are cut from a text; a text whose share of hit words
 exceeds ``max_coverage`` is rejected as a whole.
@@ -22,6 +24,9 @@ an ordinary row; empty tables give no hits, or an empty result; other columns ar
 from __future__ import annotations
 
 import hashlib
+import pickle
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -30,11 +35,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.llm import words as W
-from hearth.llm.common import col, free, materialize, table
+from hearth.llm.common import Remote, col, free, materialize, table
 
 #: Words of a window.
 WINDOW = 10
-#: Item words in one automaton at most (about; an item is never divided).
+#: Item words in one automaton, and in all that are broadcast together (about; an item is never divided).
+PART_WORDS = 200_000
 MAX_WORDS = 2_000_000
 
 
@@ -46,16 +52,10 @@ class SuffixAutomaton:
         self.next: list[dict[int, int]] = [{}]
         self.link = [-1]
         self.depth = [0]
-        #: state -> names of the items that hold its sequences (window states and short items)
-        self.items: dict[int, set[str]] = {}
-        #: shortest whole item below the window length that ends in a state: state -> its length
-        self.short: dict[int, int] = {}
         for _, own in items:
             last = 0
             for w in own:
                 last = self._extend(last, w)
-        for name, own in items:
-            self._mark(name, own)
 
     def _state(self, depth: int, following: dict[int, int], link: int) -> int:
         self.next.append(following)
@@ -86,70 +86,131 @@ class SuffixAutomaton:
             self.link[new] = self._split(p, w, self.next[p][w])
         return new
 
-    def _mark(self, name: str, own: Sequence[int]) -> None:
-        """Note the item at the state of each of its windows."""
-        if not own:
-            return
-        length = min(self.window, len(own))
-        state = depth = 0
-        for w in own:
-            state = self.next[state][w]  # the item occurs, so it can be followed
-            depth += 1
-            if depth >= length:
-                at = self.shorten(state, length)
-                self.items.setdefault(at, set()).add(name)
-                if length < self.window:
-                    self.short[at] = length
-
-    def shorten(self, state: int, length: int) -> int:
-        """The state of the last ``length`` words of a state's sequences."""
-        while self.depth[self.link[state]] >= length:
-            state = self.link[state]
-        return state
+
+class Automaton:
+    """A suffix automaton in flat arrays, with the items of its window states."""
+
+    def __init__(self, items: Sequence[tuple[str, Sequence[int]]], window: int = WINDOW):
+        built = SuffixAutomaton(items, window)
+        self.window = window
+        self.link, self.depth = array("i", built.link), array("i", built.depth)
+        sizes = np.array([len(f) for f in built.next])
+        #: transitions of state s, by word: word[at[s]:at[s + 1]] to states to[...]
+        self.at = array("i", np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32).tobytes())
+        word, to = array("Q"), array("i")
+        for s, following in enumerate(built.next):
+            for w in sorted(following):
+                word.append(w)
+                to.append(following[w])
+            built.next[s] = None  # a state's table goes once it is laid out
+        self.word, self.to = word, to
+        #: the state of the last ``window`` words of a state's sequences (-1: shorter ones)
+        self.window_of = array("i", [-1]) * len(self.depth)
+        for s in np.argsort(np.array(self.depth), kind="stable").tolist():
+            if self.depth[s] >= window:
+                self.window_of[s] = s if self.depth[self.link[s]] < window else self.window_of[self.link[s]]
+        self.names = [name for name, _ in items]
+        found: dict[int, set[int]] = {}  # items by window state, or by the state of a whole shorter item
+        short: dict[int, int] = {}
+        for i, (_, own) in enumerate(items):
+            state = 0
+            for k, w in enumerate(own, 1):
+                state = self.follow(state, w)  # the item occurs, so it can be followed
+                if k >= window:
+                    found.setdefault(self.window_of[state], set()).add(i)
+            if 0 < len(own) < window:
+                while self.depth[self.link[state]] >= len(own):
+                    state = self.link[state]
+                found.setdefault(state, set()).add(i)
+                short[state] = len(own)
+        self.found_at = array("i", [0]) * (len(self.depth) + 1)
+        self.found = array("i")
+        for s in range(len(self.depth)):
+            self.found.extend(sorted(found.get(s, ())))
+            self.found_at[s + 1] = len(self.found)
+        #: length of the whole shorter item that ends in a state (0: none), and the nearest state with
+        #: one along the links, itself included (-1: none)
+        self.short = array("i", [0]) * len(self.depth)
+        self.short_of = array("i", [-1]) * len(self.depth)
+        for s, n in short.items():
+            self.short[s] = n
+        if short:
+            for s in np.argsort(np.array(self.depth), kind="stable").tolist():
+                self.short_of[s] = s if self.short[s] else self.short_of[self.link[s]] if s else -1
+        self.any_short = bool(short)
+
+    def follow(self, state: int, w: int) -> int:
+        """The state after a word; -1 if no item goes on like this."""
+        end = self.at[state + 1]
+        i = bisect_left(self.word, w, self.at[state], end)
+        return self.to[i] if i < end and self.word[i] == w else -1
+
+    def items_of(self, state: int) -> array:
+        return self.found[self.found_at[state]:self.found_at[state + 1]]
 
     def scan(self, own: Sequence[int]) -> tuple[list[tuple[int, int]], set[str]]:
         """Hit spans (first, after last; possibly overlapping) of a word sequence, and the items
         whose windows occur in it."""
-        follow, link, depth, window, short = self.next, self.link, self.depth, self.window, self.short
+        follow, link, depth, window = self.follow, self.link, self.depth, self.window
         spans: list[tuple[int, int]] = []
-        found: set[str] = set()
+        states: set[int] = set()
         state = length = 0
         for i, w in enumerate(own):
-            while state and w not in follow[state]:
+            to = follow(state, w)
+            while to < 0 and state:
                 state = link[state]
                 length = depth[state]
-            if w in follow[state]:
-                state = follow[state][w]
+                to = follow(state, w)
+            if to >= 0:
+                state = to
                 length += 1
             if length >= window:
                 spans.append((i + 1 - length, i + 1))
-                found |= self.items[self.shorten(state, window)]
-            if short:
-                s = state
-                while s > 0:
-                    n = short.get(s)
-                    if n is not None and n <= length:
-                        spans.append((i + 1 - n, i + 1))
-                        found |= self.items[s]
-                    s = link[s]
-        return spans, found
-
-
-class Scanner:
+                states.add(self.window_of[state])
+            if self.any_short:
+                s = self.short_of[state]
+                while s > 0:  # at most one for each length below a window
+                    if self.short[s] <= length:
+                        spans.append((i + 1 - self.short[s], i + 1))
+                        states.add(s)
+                    s = self.short_of[link[s]]
+        return spans, {self.names[i] for s in states for i in self.items_of(s)}
+
+
+class Part:
     """An automaton, and the word pairs that occur in its items."""
 
-    def __init__(self, items: Sequence[tuple[str, Sequence[int]]], window: int = WINDOW):
-        self.automaton = SuffixAutomaton(items, window)
-        hashes = [np.array(own, np.uint64) for _, own in items if len(own)]
+    def __init__(self, items: Sequence[tuple[str, np.ndarray]], window: int = WINDOW):
+        self.automaton = Automaton([(name, own.tolist()) for name, own in items], window)
+        hashes = [np.asarray(own, np.uint64) for _, own in items if len(own)]
         pairs = [pair_hashes(h) for h in hashes if len(h) > 1]
         self.singles = np.unique(np.array([h[0] for h in hashes if len(h) == 1], np.uint64))
         self.pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.uint64)
         lengths = [min(window, len(h)) for h in hashes if len(h) > 1]
         #: neighbouring pairs that the shortest window of two or more words needs
         self.least = min(lengths, default=window) - 1
+
+
+class Scanner:
+    """Automata that scan together; the word pairs of all of them tell where."""
+
+    def __init__(self, parts: Sequence[Part]):
+        self.automata = [p.automaton for p in parts]
+        self.singles = np.unique(np.concatenate([np.zeros(0, np.uint64), *[p.singles for p in parts]]))
+        self.pairs = np.unique(np.concatenate([np.zeros(0, np.uint64), *[p.pairs for p in parts]]))
+        self.least = min((p.least for p in parts), default=WINDOW - 1)
         self.bits = np.zeros(1 << 20, bool)
         self.bits[(self.pairs >> np.uint64(44)).astype(np.int64)] = True
 
+    def scan(self, own: Sequence[int]) -> tuple[list[tuple[int, int]], set[str]]:
+        """Hit spans and items of a word sequence, over all automata."""
+        spans, items = [], set()
+        for a in self.automata:
+            s, i = a.scan(own)
+            spans += s
+            items |= i
+        return spans, items
+
     def runs(self, h: np.ndarray, begins: np.ndarray) -> list[tuple[int, int]]:
         """Word ranges that may hold a window; none crosses a row (``begins``: first words)."""
         out: list[tuple[int, int]] = []
@@ -192,18 +253,28 @@ def _item_words(texts: list[str | None]) -> list[np.ndarray]:
     return [h[a:z] for a, z in zip(at[:-1], at[1:], strict=True)]
 
 
-def scanners(items: DataFrame, window: int = WINDOW, max_words: int = MAX_WORDS) -> list:
-    """Broadcast scanners over all ``items`` (item_id, text), each over at most about ``max_words``
-    words; items are dealt by hash of their id."""
-    items = items.where("item_id IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), "text")
+def scanners(items: DataFrame, window: int = WINDOW, max_words: int = MAX_WORDS, part_words: int = PART_WORDS) -> list[Remote]:
+    """Scanners over all ``items`` (item_id, text), each over at most about ``max_words`` words. Equal
+    items count once; automata are built in tasks, by the hash of their items, and only their arrays
+    pass through the driver, one scanner at a time."""
+    items = items.where("item_id IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"),
+                                                      F.col("text").cast("string").alias("text")).distinct()
     # an upper bound of the words of a text: half its bytes, and one
-    total = items.agg(F.sum(F.octet_length("text") / 2 + 1)).first()[0] or 0
-    parts = max(1, -(-int(total) // max_words))
+    total = int(items.agg(F.sum(F.octet_length("text") / 2 + 1)).first()[0] or 0)
+    part_words = min(part_words, max_words)
+    count, together = max(1, -(-total // part_words)), max(1, max_words // part_words)
+
+    def build(own: pa.Table) -> pa.Table:
+        rows = list(zip(own.column("item_id").to_pylist(), _item_words(own.column("text").to_pylist()), strict=True))
+        made = pickle.dumps(Part(sorted(rows, key=lambda r: (r[0], r[1].tolist())), window), protocol=5)
+        return pa.table({"part": own.column("part").slice(0, 1), "made": pa.array([made], pa.binary())})
+
+    dealt = items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(count)).cast("int"))
+    built = materialize(dealt.repartition(count, "part").groupBy("part").applyInArrow(build, "part int, made binary"), "automata")
     out = []
-    for k in range(parts):
-        own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == k).collect()  # at most about max_words words
-        listed = [(r.item_id, h.tolist()) for r, h in zip(own, _item_words([r.text for r in own]), strict=True)]
-        out.append(items.sparkSession.sparkContext.broadcast(Scanner(listed, window)))
+    for k in range(0, count, together):
+        own = built.where(F.col("part").between(k, k + together - 1)).orderBy("part").collect()
+        out.append(Remote(items.sparkSession, pickle.dumps(Scanner([pickle.loads(bytes(r.made)) for r in own]), protocol=5)))
     return out
 
 
@@ -225,7 +296,7 @@ def hits(docs: DataFrame, scanner, carry: Sequence[str], clean: bool = False, ma
                 starts, ends, h, at = W.words(buf[off[i]:off[j]], off[i:j + 1] - off[i], W.ALNUM)
                 found: dict[int, tuple[list, set]] = {}
                 for a, z in know.runs(h, at[:-1]):
-                    spans, items = know.automaton.scan(h[a:z].tolist())
+                    spans, items = know.scan(h[a:z].tolist())
                     if spans:
                         row = int(np.searchsorted(at, a, "right")) - 1
                         own = found.setdefault(row, ([], set()))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -105,3 +106,39 @@ def test_edge_rows_and_empty_tables(spark, documents, edge_rows):
     assert all(not r["items"] for r in D.contamination(documents(edge_rows), none).collect())
     assert D.contamination(documents([]), items).collect() == []
     assert D.decontaminate(documents([]), items).collect() == []
+
+
+def test_automata_are_flat_and_hold_no_more_than_their_words():
+    r = random.Random(7)
+    items = [(str(i), [r.randrange(1, 1 << 40) for _ in range(400)]) for i in range(50)]
+    a = D.Automaton(items)
+    assert len(a.depth) <= 2 * 20_000 and len(a.word) <= 3 * 20_000
+    held = sum(x.itemsize * len(x) for x in vars(a).values() if hasattr(x, "itemsize"))
+    assert held < 60 * 20_000  # bytes a word
+    own = items[7][1][100:150]
+    assert a.scan([1, *own, 2]) == ([(1, 1 + k) for k in range(10, 51)], {"7"})
+
+
+def test_repetitive_items_take_one_look_at_each_word():
+    took = []
+    for n in (4_000, 32_000):
+        one = [5] * n
+        a = D.Automaton([("x", one), ("y", [5, 5, 5])])
+        steps = time.perf_counter()
+        spans, found = a.scan(one)
+        took.append(time.perf_counter() - steps)
+        assert found == {"x", "y"} and D._united(spans) == [(0, n)]
+    assert took[1] < 40 * took[0]  # 8 times the words
+
+
+def test_many_parts_scan_in_one_pass(spark, documents):
+    docs, items = case(4)
+    table = spark.createDataFrame(items * 3, "item_id bigint, text string")
+    known = [i for i in items if i[0] is not None]
+    all_ = D.scanners(table, part_words=40)
+    assert len(all_) == 1 and len(all_[0].value.automata) >= 3
+    for d, text in docs:
+        own = [D.W.word_hash(w) for w in words(text)]
+        spans, found = all_[0].value.scan(own)
+        _, hit, want = direct(text, known)
+        assert sorted(found) == want and {i for a, z in spans for i in range(a, z)} == hit
