@@ -36,12 +36,14 @@ from hearth.llm.common import Remote, col, free, made_in_task, table
 ORDERS = (1, 2, 3, 4)
 CELLS = 1 << 17
 #: Labelled texts learned from, and landmarks among them, for each language; languages at most (the
-#: most frequent).
+#: most frequent by documents; texts in others get the language that is most like theirs).
 PER_LANGUAGE = 300
 LANDMARKS = 60
 LANGUAGES = 200
 #: Ridge.
 RIDGE = 1e-3
+#: Weights (cells x languages) gathered at once when texts are scored.
+GATHERED = 1 << 22
 
 UNKNOWN = "und"
 _MULT = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)
@@ -82,8 +84,12 @@ class Model:
         out = np.zeros((len(own), len(self.languages)))
         full = np.flatnonzero(n)
         if len(full):
-            at = np.concatenate([[0], np.cumsum(n[full])[:-1]])
-            out[full] = np.add.reduceat(self.weights[np.concatenate([own[i] for i in full])], at, axis=0, dtype=np.float64)
+            flat, owner = np.concatenate([own[i] for i in full]), np.repeat(full, n[full])
+            step = max(1, GATHERED // max(1, len(self.languages)))
+            for a in range(0, len(flat), step):  # so many weights are gathered at once
+                of = owner[a:a + step]
+                cuts = np.flatnonzero(np.diff(of, prepend=-1))
+                out[of[cuts]] += np.add.reduceat(self.weights[flat[a:a + step]], cuts, axis=0, dtype=np.float64)
             out[full] /= np.sqrt(n[full])[:, None]
         return out
 
@@ -150,15 +156,17 @@ def _train_frame(rows: pd.DataFrame) -> Model | None:
 
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES) -> Remote | None:
     """A model from a bounded sample of ``labelled`` (doc_id, text, lang), fitted in one task; None
-    without a row. The sample's ids are chosen without the texts; a language's candidates are
-    thinned before they are ranked."""
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
-    # a share of each language's rows that holds per_language of them many times over
-    keyed = labelled.join(F.broadcast(counts), "lang").withColumn("h", F.xxhash64("doc_id", F.lit("lang")))
-    thin = keyed.where("pmod(h, 1000003) / 1000003D <= " + f"{8.0 * per_language} / n").select("lang", "h", "doc_id")
+    without a row. At most ``per_language`` texts are taken of each of the ``languages`` most
+    frequent languages (by documents): one text of a doc_id and language, the smallest, so that rows
+    that share an id neither fill the sample nor thin their language away. The sample's ids are
+    chosen without the texts; a language's candidates are thinned before they are ranked."""
+    ids = labelled.select("lang", "doc_id").distinct().withColumn("h", F.xxhash64("doc_id", F.lit("lang")))
+    counts = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
+    # a share of each language's documents that holds per_language of them many times over
+    thin = ids.join(F.broadcast(counts), "lang").where("pmod(h, 1000003) / 1000003D <= " + f"{8.0 * per_language} / n")
     ranked = thin.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(f"r <= {per_language}")
-    ids = ranked.select("doc_id").distinct()
-    rows = keyed.join(F.broadcast(ids), "doc_id", "left_semi").select("lang", "h", "doc_id", "text")
+    chosen = F.broadcast(ranked.select("lang", "doc_id", "h"))
+    rows = labelled.join(chosen, ["lang", "doc_id"]).groupBy("lang", "h", "doc_id").agg(F.min("text").alias("text"))
     return made_in_task(rows, _train_frame)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import corpus_pipeline as P
 from hearth.llm import decontaminate, langid, packing
 from hearth.llm.common import table
@@ -36,7 +38,7 @@ def test_stages_in_turn(spark):
                     assert d not in kept
                 else:
                     assert d not in kept or not direct(kept[d], items)[1]
-        if name == "language":
+        if name == "language":  # no document with a letter goes
             assert {d for d, t in before if any(c.isalpha() for c in t)} == set(kept)
     name, stage = P.STAGES[-1]
     pieces = stage(spark, docs, SF).collect()
@@ -73,8 +75,24 @@ def test_edge_rows_pass_every_stage(spark, documents, edge_rows):
         assert empty.collect() == []
 
 
-def test_unknown_language_is_the_only_rejection_of_clean_text(spark):
-    docs = table(spark, SF, "documents")
-    model = langid.fit_documents(docs)
-    low = langid.identify(docs, model).where(f"score < {P.LEAST_LANGUAGE_SCORE} AND lang_pred <> '{langid.UNKNOWN}'")
-    assert low.count() == 0
+def test_the_language_stage_rejects_what_is_no_language(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    r = random.Random(5)
+    word = lambda letters: "".join(r.choice(letters) for _ in range(r.randint(2, 10)))
+    odd = [(900_000 + i, " ".join(word(letters) for _ in range(n))) for i, (letters, n) in enumerate(
+        [(a, n) for a in ("abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхц", "abcXYZ0189#$%") for n in (20, 60, 400) for _ in range(10)])]
+    odd += [(990_000, "Nopea ruskea kettu hyppää laiskan koiran yli ja juoksee metsän läpi kotiin. " * 4), (990_001, "... 123 ..."), (990_002, None)]
+    more = spark.createDataFrame([(d, t, None, "x", 0) for d, t in odd], docs.schema)
+    kept = {x.doc_id for x in P.keep_known_language(spark, docs.unionByName(more), SF).collect()}
+    assert not kept & {d for d, _ in odd}
+    assert kept == {x.doc_id for x in docs.collect() if x.text and any(map(str.isalpha, x.text))}
+
+
+def test_of_repeated_rows_the_same_one_stays(spark, documents):
+    rows = [(1, "a b c d e f"), (1, "z y x w v u"), (1, "a b c d e f"), (2, "some other words are here today"), (3, "Some other words are here today"), (None, "q"), (None, "q")]
+    kept = lambda df: sorted(((x.doc_id, x.text) for x in P.drop_near_duplicates(spark, df, SF).collect()), key=str)
+    first = kept(documents(rows, CLASHES))
+    assert [d for d, _ in first] == [1, 2, None, None]
+    for seed in (1, 2):
+        random.Random(seed).shuffle(rows)
+        assert kept(documents(rows, CLASHES).repartition(5)) == first
