@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from hearth.llm.common import bucketed, col, free, release, table, tidy
+from hearth.llm.words import spans, strings
 
 #: Bytes of text in a block (a longer text is a block of its own).
 BLOCK_BYTES = 32 << 20
@@ -76,8 +77,8 @@ class _Cuts:
 
     def __init__(self, cuts: pa.Array, numbers: _Numbers):
         whole = np.asarray(pc.utf8_is_alpha(pc.utf8_ltrim(cuts, " ")))
-        single = cuts.filter(pa.array(whole)).to_pylist()
-        rest = [numbers.of(c) for c in cuts.filter(pa.array(~whole)).to_pylist()]
+        single = strings(cuts.filter(pa.array(whole)))
+        rest = [numbers.of(c) for c in strings(cuts.filter(pa.array(~whole)))]
         self.widths, self.starts = np.ones(len(cuts), np.int64), np.zeros(len(cuts), np.int64)
         self.widths[~whole] = [len(r) for r in rest]
         self.starts[whole] = np.arange(len(single))
@@ -87,7 +88,7 @@ class _Cuts:
     def expanded(self, at: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the cuts ``at``, one after the other, and how many each list of cuts has."""
         count = self.widths[at]
-        return self.flat[_spans(self.starts[at], count)], np.diff(np.concatenate([[0], np.cumsum(count)])[offsets])
+        return self.flat[spans(self.starts[at], count)], np.diff(np.concatenate([[0], np.cumsum(count)])[offsets])
 
 
 def _offsets(lists: pa.ListArray) -> np.ndarray:
@@ -123,7 +124,7 @@ def _number(parts: list[pa.Array], find) -> tuple[list[str], np.ndarray, np.ndar
         count[~o], count[o] = sizes, their_sizes
         start[~o] = np.cumsum(sizes) - sizes
         start[o] = np.cumsum(their_sizes) - their_sizes + len(plain)
-        found.append((np.concatenate([plain, others])[_spans(start, count)], count))
+        found.append((np.concatenate([plain, others])[spans(start, count)], count))
     flat, counts = (np.concatenate(x) for x in zip(*found, strict=True))
     return list(numbers), flat, counts
 
@@ -279,7 +280,7 @@ def _encode_words(words: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
             word = own.column("word").combine_chunks()
             new = np.ones(len(word), bool)
             new[1:] = np.asarray(pc.not_equal(word[1:], word[:-1]))
-            heads = word.filter(pa.array(new)).to_pylist()
+            heads = strings(word.filter(pa.array(new)))
             found = [ids if heads[0] == last else encode(heads[0]), *map(encode, heads[1:])]
             last, ids = heads[-1], found[-1]
             of = np.cumsum(new) - 1  # the head of each row's run
@@ -290,7 +291,7 @@ def _encode_words(words: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
             block, number, of = block[order], number[order], of[order]
             cuts = np.flatnonzero(np.diff(block, prepend=block[0] - 1))
             count = widths[of]
-            tokens, ends = flat[_spans(starts[of], count)], np.concatenate([[0], np.cumsum(count)])
+            tokens, ends = flat[spans(starts[of], count)], np.concatenate([[0], np.cumsum(count)])
             bounds = [*cuts.tolist(), len(block)]
             packed = [_pack(number[i:j], count[i:j], tokens[ends[i]:ends[j]]) for i, j in zip(bounds, bounds[1:], strict=False)]
             return pa.RecordBatch.from_arrays([pa.array(block[cuts], pa.int64()), pa.array(packed, pa.binary())], names=["block", "found"])
@@ -306,16 +307,6 @@ def _encode_words(words: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     return words.mapInArrow(tidy(each), "block bigint, found binary")
 
 
-def _spans(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """starts[i], starts[i] + 1, ... (counts[i] of them), one after the other."""
-    before = np.cumsum(counts) - counts
-    total = int(counts.sum())
-    kind = np.int64 if total >= 1 << 30 or (len(starts) and int(starts.max()) >= 1 << 30) else np.int32
-    out = np.repeat((starts - before).astype(kind), counts)
-    out += np.arange(total, dtype=kind)
-    return out
-
-
 def _distinct(ids: np.ndarray) -> np.ndarray:
     """The distinct ids, in order."""
     if not len(ids) or ids.min() < 0 or ids.max() >= 1 << 22:
@@ -359,7 +350,7 @@ class _LookUp:
         bad = np.concatenate([[0], bad])
         void = (bad[ends[1:]] > bad[ends[:-1]]) | np.asarray(lists.is_null())
         widths = self.widths[at]
-        data = self.bytes[_spans(self.starts[at], widths)]
+        data = self.bytes[spans(self.starts[at], widths)]
         bounds = np.concatenate([[0], np.cumsum(widths)])[ends] if len(at) else np.zeros(len(ends), np.int64)
         got = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)])
         return pc.if_else(pa.array(~void), got, pa.scalar(None, pa.binary()))
@@ -398,7 +389,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", c
                     j = max(i + 1, int(np.searchsorted(ends, ends[i] + GROUP_WORDS, "right")) - 1)
                     if ends[j] > ends[i]:
                         n = numbers[ends[i]:ends[j]]
-                        flat = tokens[_spans(start[n], count[n])]
+                        flat = tokens[spans(start[n], count[n])]
                         offsets = np.concatenate([[0], np.cumsum(count[n])])[ends[i:j + 1] - ends[i]]
                     else:
                         flat, offsets = np.zeros(0, np.int32), np.zeros(j - i + 1, np.int64)

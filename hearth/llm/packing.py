@@ -30,10 +30,13 @@ from pyspark.sql import functions as F
 
 from hearth.llm.common import table
 from hearth.llm.tokens import memo
+from hearth.llm.words import arrow_bytes, groups
 
 #: Tokens of a sequence, and the id that ends a document.
 CAPACITY = 1024
 SEPARATOR = 0
+#: Bytes of text tokenized at once.
+GROUP_BYTES = 8 << 20
 #: Remains packed together.
 BLOCK = 128
 #: Every FINE-th remain is cut into pieces of FINE_TOKENS.
@@ -106,6 +109,17 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, se
             if ids:
                 found.append(np.frombuffer(span, "<u4"))
 
+        def documents(b: pa.RecordBatch) -> Iterator[tuple[int | None, memoryview]]:
+            """Id and tokens, as little-endian bytes, of every document; texts are tokenized in groups."""
+            names, texts = b.column("doc_id").to_pylist(), b.column("text")
+            _, offsets = arrow_bytes(texts)
+            for i, j in groups(offsets, GROUP_BYTES):
+                flat, at = words.ids_of(texts.slice(i, j - i))
+                data = memoryview(np.insert(flat.astype("<u4"), at[1:], separator).tobytes())  # each text's ids, and its end
+                at = 4 * (at + np.arange(len(at)))
+                for k in range(i, j):
+                    yield names[k], data[at[k - i]:at[k - i + 1]]
+
         def flush() -> None:
             nonlocal made
             pieces = []
@@ -132,9 +146,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, se
             return pa.RecordBatch.from_arrays(columns, schema=_arrow_schema(ids))
 
         for b in batches:
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
-                own = np.append(words.ids(text.as_py() or ""), separator).astype("<u4")
-                document, total, start = (doc, len(own), memoryview(own.tobytes())), len(own), 0
+            for doc, own in documents(b):
+                document, total, start = (doc, len(own) // 4, own), len(own) // 4, 0
                 while total - start >= capacity:
                     put(document, start, capacity, 0)
                     made += 1

@@ -16,10 +16,14 @@ import re
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
+from hearth.llm.words import spans, strings
+
 #: Remembered cuts in each of two halves, and the longest one remembered (characters).
-MEMO = 300_000
+MEMO = 500_000
 LONGEST = 48
 
 #: The pattern that splits text before byte-level merges (a fixed value of these tokenizers).
@@ -27,6 +31,8 @@ PRE_TOKENS = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _ODD = re.compile(r" (?=\s)")
 _CUTS = re.compile(r"(?= \S)")
+#: ``_ODD`` in Arrow's regular expressions.
+_ODD_COLUMN = r" [\s\v\x1c-\x1f\x{85}\p{Z}]"
 
 
 def _byte_letters() -> dict[int, int]:
@@ -100,6 +106,40 @@ class WordMemo(dict):
         return np.frombuffer(b"".join([get(c) for c in cuts if c]), self.kind)
 
 
+    def ids_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and the n + 1 offsets of the texts' ids. Each
+        distinct cut of the column is looked up once."""
+        n = len(texts)
+        texts = texts.fill_null("")
+        odd = np.asarray(pc.match_substring_regex(texts, _ODD_COLUMN)) if self.by_bytes else np.ones(n, bool)
+        lists = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
+        bounds = lists.offsets.to_numpy().astype(np.int64)
+        bounds -= bounds[0]
+        cuts = lists.flatten()
+        coded = cuts.dictionary_encode()
+        at = coded.indices.to_numpy().astype(np.int64)
+        # a text's first cut has no space in front, all others have lost theirs
+        heads = bounds[:-1][np.diff(bounds) > 0]
+        get = self.__getitem__
+        found = [get(" " + c) for c in strings(coded.dictionary)]
+        at[heads] = np.arange(len(found), len(found) + len(heads))
+        found += [get(c) if c else b"" for c in strings(cuts.take(pa.array(heads)))]
+        width = self.kind.itemsize
+        widths = np.array([len(f) for f in found], np.int64) // width
+        starts = np.cumsum(widths) - widths
+        flat, count = np.frombuffer(b"".join(found), self.kind), widths[at]
+        plain = flat[spans(starts[at], count)]
+        sizes = np.diff(np.concatenate([[0], np.cumsum(count)])[bounds])
+        if not odd.any():
+            return plain, np.concatenate([[0], np.cumsum(sizes)])
+        rest = [self.ids(t) for t in strings(texts.filter(pa.array(odd)))]
+        size, start = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        size[~odd], size[odd] = sizes, [len(r) for r in rest]
+        start[~odd] = np.cumsum(sizes) - sizes
+        start[odd] = np.cumsum(size[odd]) - size[odd] + len(plain)
+        return np.concatenate([plain, *rest])[spans(start, size)], np.concatenate([[0], np.cumsum(size)])
+
+
 _MEMOS: dict[str, WordMemo] = {}
 
 

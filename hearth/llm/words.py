@@ -136,3 +136,18 @@ def word_hash(word: str) -> int:
     for i, v in enumerate(_VALUE[b].tolist()):
         h = (h + v * pow(_P, i, 1 << 64)) & _MASK
     return int(mix(np.array([h], np.uint64))[0])
+
+
+def strings(texts: pa.Array) -> list[str]:
+    """A string column without nulls as a list (many times faster than its values one by one)."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
+def spans(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """starts[i], starts[i] + 1, ... (counts[i] of them), one after the other."""
+    before = np.cumsum(counts) - counts
+    total = int(counts.sum())
+    kind = np.int64 if total >= 1 << 30 or (len(starts) and int(starts.max()) >= 1 << 30) else np.int32
+    out = np.repeat((starts - before).astype(kind), counts)
+    out += np.arange(total, dtype=kind)
+    return out
