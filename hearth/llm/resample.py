@@ -304,8 +304,8 @@ runs AS (
 features AS (SELECT side, id, feature, count(*) AS n FROM runs GROUP BY ALL),
 hashes AS (
   SELECT feature, xor(list_reduce(list_prepend(4294967295::BIGINT,
-    list_transform(range(octet_length(f)), p -> ('0x' || substr(hex(f), (2 * p + 1)::INT, 2))::BIGINT)),
-    (c, b) -> xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+    list_transform(range(octet_length(f)), lambda p: ('0x' || substr(hex(f), (2 * p + 1)::INT, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
   FROM (SELECT DISTINCT feature, encode(feature) AS f FROM features), crc),
 counts AS (
   SELECT b.bucket, coalesce(sum(n) FILTER (WHERE side = 'd'), 0) AS s, coalesce(sum(n) FILTER (WHERE side = 'b'), 0) AS t
