@@ -57,8 +57,9 @@ def per_region(fact: DataFrame, time_col: str, value_col: str) -> DataFrame:
     return fact.groupBy(time_col, "RegionKey").agg(F.sum(v).alias("_s"), F.count(v).alias("_n"))
 
 
-# Rows of the district fan-out made by one task, about.
+# Rows of the district fan-out made by one task, about, and from which two tasks share it.
 FAN_OUT_ROWS = 100_000
+SHARED_ROWS = 10_000
 MAX_FAN_OUT_TASKS = 20_000
 
 
@@ -69,7 +70,7 @@ def fan_out_tasks(model_rows: int | None, bridge_rows: int | None, region_rows:
     if model_rows is None or bridge_rows is None or region_rows is None:
         return default
     made = bridge_rows * model_rows // max(1, region_rows)
-    return min(MAX_FAN_OUT_TASKS, max(1, -(-made // FAN_OUT_ROWS)))
+    return min(MAX_FAN_OUT_TASKS, max(2 if made > SHARED_ROWS else 1, -(-made // FAN_OUT_ROWS)))
 
 
 def districts_by_name(bridge: DataFrame, tasks: int | None = None) -> DataFrame:
