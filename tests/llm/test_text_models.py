@@ -103,6 +103,28 @@ def test_the_toxicity_sample_is_bounded_in_rows(spark, documents):
     assert Counter(x.y for x in seen[0]) == {1: 1, 0: 30} and [x.text for x in seen[0] if x.y] == ["bad thing 0"]
 
 
+def test_toxicity_learns_from_every_labelled_document(spark, documents):
+    """With a sample of 6 + 6 to begin with: every word of a document to learn from has an embedding,
+    and the thresholds are those of all documents that calibrate."""
+    r = random.Random(4)
+    rows = [(i, " ".join([*r.choices(["blue", "green", "red", "grey", "the", "und"], k=12), f"bad{i % 40}"])) for i in range(1, 241)] \
+        + [(i, " ".join(r.choices(["blue", "green", "red", "grey", "the", "und"], k=12))) for i in range(241, 481)]
+    docs = documents(rows + [(1, "another text of one")] + rows[-1:])
+    labels = spark.createDataFrame([(i, 1, int(i <= 240)) for i, _ in rows], "doc_id bigint, quality int, toxic int")
+    net = X.fit_documents(docs, labels, toxic=6, other=6).value
+    side = docs.where(~X.held_out()).distinct().withColumn("side", F.expr("pmod(xxhash64(doc_id, 'toxic'), 4)")).collect()
+    read = lambda texts: X.Texts.of(*__import__("hearth.llm.words", fromlist=["x"]).arrow_bytes(pa.array(texts)))
+    learned = {w for d in side if d.side != 3 for w in d.text.split() if w.startswith("bad")}
+    assert len(learned) > 30
+    assert {w for w in learned if net.row_of[read([w]).cells[0][0]]} == learned
+    held = [d for d in side if d.side == 3]
+    own, y = read([d.text for d in held]), np.array([int(d.doc_id <= 240) for d in held])
+    logit = np.rint(net.logits(own, calibrated=False) / X.STEP) * X.STEP
+    want = X._thresholds(logit, X._guesses(own.h, own.at), y, np.ones(len(y), np.int64))
+    assert net.thresholds.keys() == want.keys() and len(want) > 1
+    assert all(abs(net.thresholds[k] - want[k]) <= X.STEP for k in want)
+
+
 def test_scores_do_not_depend_on_how_much_is_gathered(monkeypatch):
     r = random.Random(2)
     texts = ["".join(r.choices("abcdefg hij", k=n)) for n in (30, 400, 5, 90, 2000)] + ["", "é"]
