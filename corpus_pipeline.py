@@ -25,6 +25,9 @@ from hearth.operators.joins import size_checked_broadcast
 #: shorter text holds too few n-grams to tell.
 LEAST_LANGUAGE_SCORE = 0.3
 LEAST_LANGUAGE_CHARS = 20
+#: Text tokenized at once and cuts remembered at the packing stage: less than where packing is alone,
+#: as executors' heaps are at their largest after the stages before.
+PACKED_BYTES, PACKED_CUTS = 2 << 20, 150_000
 #: Words of a shingle at the near-duplicate stage (similarity 0.8 or more).
 SHINGLE_WORDS = 5
 
@@ -74,7 +77,7 @@ def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 1024 tokens."""
-    return packing.pack_documents(docs, packing.tokenizer_path())
+    return packing.pack_documents(docs, packing.tokenizer_path(), group_bytes=PACKED_BYTES, remembered=PACKED_CUTS)
 
 
 STAGES = [

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.llm import words as W
-from hearth.llm.common import materialize, runs, table
+from hearth.llm.common import materialize, runs, table, tidy
 from hearth.llm.components import components
 
 #: Signature components, and chunks of the pigeonhole (keys = K, distance = 2 * CHUNKS - 1).
@@ -117,7 +117,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
             yield pa.record_batch([rows.column("doc_id"), pa.array(n), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)),
                                    _binary(sig)], names=["doc_id", "n_shingles", "f1", "f2", "sig"])
 
-    return docs.select("doc_id", "text").mapInArrow(each, "doc_id bigint, n_shingles bigint, f1 bigint, f2 bigint, sig binary")
+    return docs.select("doc_id", "text").mapInArrow(tidy(each), "doc_id bigint, n_shingles bigint, f1 bigint, f2 bigint, sig binary")
 
 
 def _signature_array(column) -> np.ndarray:
@@ -144,7 +144,7 @@ def _keys(nodes: DataFrame) -> DataFrame:
                 yield pa.record_batch([pa.array(np.concatenate(out).view(np.int64)), pa.array(np.tile(node[i:i + 4096], K))],
                                       names=["key", "node"])
 
-    return nodes.select("node", "sig").mapInArrow(each, "key bigint, node bigint")
+    return nodes.select("node", "sig").mapInArrow(tidy(each), "key bigint, node bigint")
 
 
 def _close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -158,7 +158,7 @@ def _close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             near = (_signature_array(b.column("sa")) != _signature_array(b.column("sb"))).sum(1) <= DISTANCE
             yield b.select(["a", "b"]).filter(pa.array(near))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(each, "a bigint, b bigint")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(tidy(each), "a bigint, b bigint")
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -202,7 +202,7 @@ def _join_blocks(open_rows: DataFrame) -> DataFrame:
                     yield pa.record_batch([pa.array([p[0] for p in links], pa.int64()), pa.array([p[1] for p in links], pa.int64())],
                                           names=["a", "b"])
 
-    return open_rows.mapInArrow(each, "a bigint, b bigint")
+    return open_rows.mapInArrow(tidy(each), "a bigint, b bigint")
 
 
 def _squares(rows: DataFrame, key: str, size: str, seed: str) -> DataFrame:
@@ -261,7 +261,7 @@ def _block_sets(docs: DataFrame, members: DataFrame, width: int) -> DataFrame:
             yield pa.record_batch([rows.column("doc_id"), packed, *[rows.column(c) for c in carried]], names=["node", "set", *carried])
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in members.schema.fields if f.name != "node")
-    return rows.select("doc_id", "text", *carried).mapInArrow(each, f"node bigint, set binary, {fields}")
+    return rows.select("doc_id", "text", *carried).mapInArrow(tidy(each), f"node bigint, set binary, {fields}")
 
 
 class _Sets:
@@ -332,7 +332,7 @@ def _confirm_small(sets: DataFrame) -> DataFrame:
             if edges:
                 yield _edge_batch(node, edges)
 
-    return sets.repartition("block").sortWithinPartitions("block", "node").mapInArrow(each, _EDGES)
+    return sets.repartition("block").sortWithinPartitions("block", "node").mapInArrow(tidy(each), _EDGES)
 
 
 def _confirm_squares(rows: DataFrame) -> DataFrame:
@@ -351,7 +351,7 @@ def _confirm_squares(rows: DataFrame) -> DataFrame:
                 yield _edge_batch(node, edges)
 
     dealt = rows.select("block", "i", "j", "side", "node", "label", "set").repartition("block", "i", "j")
-    return dealt.sortWithinPartitions("block", "i", "j").mapInArrow(each, _EDGES)
+    return dealt.sortWithinPartitions("block", "i", "j").mapInArrow(tidy(each), _EDGES)
 
 
 def _confirm_large(sets: DataFrame) -> DataFrame:

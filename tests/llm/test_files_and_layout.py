@@ -437,3 +437,18 @@ def test_package_is_not_imported_by_the_rest():
         for n in names:
             if n.endswith(".py"):
                 assert "hearth.llm" not in open(os.path.join(folder, n)).read()
+
+
+def test_packing_in_little_memory_gives_the_same_pieces(spark, documents):
+    from hearth.llm import tokens
+
+    r = random.Random(6)
+    word = lambda: "".join(r.choices("abcdefghij", k=r.randrange(2, 6)))
+    texts = [None, "", " ", "a \n b"] + [" ".join(word() for _ in range(r.randrange(1, 900))) for _ in range(60)]
+    docs = documents(list(enumerate(texts))).coalesce(1)
+    pieces = lambda **given: sorted(tuple(p) for p in packing.pack_documents(docs, TOKENIZER, ids=True, **given).collect())
+    assert pieces(group_bytes=1 << 10, remembered=50) == pieces()
+    small = tokens.WordMemo(TOKENIZER, 50)
+    for t in texts[4:]:
+        assert small.ids(t).tolist() == small.tokenizer.encode(t, add_special_tokens=False).ids
+        assert len(small) <= 50 and len(small.older) <= 50
