@@ -280,7 +280,7 @@ class Training:
         return [*self.net.filters, self.net.bias, self.net.out, np.array([self.net.constant])]
 
     def state(self) -> State:
-        cells = np.flatnonzero(self.touched[self.net.row_of])
+        cells = np.flatnonzero(self.touched[self.net.row_of]).astype(np.int32)
         rows = self.net.row_of[cells]
         return State(cells, self.net.embedding[rows], self.seen[rows], self.dense(), self.sums)
 
@@ -500,8 +500,12 @@ def fit_documents(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, other:
     sizes = {r.y: r.n for r in learn.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     weight = _weights(sizes.get(0, 0), sizes.get(1, 0))
     for k in range(ROUNDS):
-        begun = _go_on(learn, begun, weight, k)
-    return _calibrated(rows.where(f"pmod(h, {CALIBRATE}) = {CALIBRATE - 1}"), begun)
+        before, begun = begun, _go_on(learn, begun, weight, k)
+        if begun is not before:
+            before.free()
+    net = _calibrated(rows.where(f"pmod(h, {CALIBRATE}) = {CALIBRATE - 1}"), begun)
+    begun.free()
+    return net
 
 
 def classify(docs: DataFrame, net: Network | Remote | None, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
