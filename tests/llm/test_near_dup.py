@@ -143,6 +143,47 @@ def test_pairs_within_the_distance_share_a_key():
         assert any(changed[a:z].sum() <= 1 for a, z in zip(N._BOUNDS[:-1], N._BOUNDS[1:], strict=True))
 
 
+def written_folders(name):
+    from hearth.llm import common
+
+    return sum(f"/hearth-{name}-" in path for _, path in common._SCRATCH)
+
+
+def test_components_of_stars_or_nothing_take_no_round(spark):
+    """The driver plans and runs no round that changes nothing."""
+    for edges, want in (([], {}), ([(1, 5), (1, 6), (2, 9)], {1: 1, 5: 1, 6: 1, 2: 2, 9: 2})):
+        before = written_folders("cc")
+        got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+        assert got == want
+        assert written_folders("cc") - before == 1
+
+
+def test_components_against_union_find_of_random_edges(spark):
+    rng = np.random.default_rng(11)
+    for n, m in ((60, 40), (200, 230), (30, 90)):
+        edges = [(int(a), int(b)) for a, b in rng.integers(-n // 2, n, (m, 2))]
+        want = {x: x for e in edges if e[0] != e[1] for x in e}
+        changed = True
+        while changed:
+            changed = False
+            for a, b in edges:
+                if a != b and want[a] != want[b]:
+                    want[a] = want[b] = min(want[a], want[b])
+                    changed = True
+        got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+        assert got == want
+
+
+def test_written_stages_give_the_drivers_freed_memory_back(spark, monkeypatch):
+    from hearth.llm import common
+    from hearth.session import trim_driver
+
+    told = []
+    monkeypatch.setattr(common, "trim_driver", lambda s: told.append(trim_driver(s)))
+    assert common.materialize(spark.range(3), "trimmed").count() == 3
+    assert len(told) == 1 and "Trim native heap" in told[0]
+
+
 def test_components_of_chains_cycles_and_stars(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (101, 102), (102, 100), (7, 7)] + [(200, 200 + i) for i in range(1, 30)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
